@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tillroll.functions.scalars import (
     fineline_feature,
     is_mon_to_fri,
-    is_return,
     signed_department,
     upc_feature,
     weekday_ordinal,
@@ -135,50 +134,63 @@ def _entry(family: int | Column, feature: Column, value: Column) -> Column:
     )
 
 
-def _entries(scans: DataFrame, categories: DataFrame, upcs: DataFrame) -> DataFrame:
-    # Every feature a scan line adds to: one row each.
-    members = categories.groupBy("department").agg(F.collect_set("category").alias("categories"))
+def _sums_by_level(scans: DataFrame, upcs: DataFrame) -> DataFrame:
+    # Sums per visit by signed department, by fineline, by kept UPC, and over the visit.
     kept = F.broadcast(upcs.select("upc", F.lit(True).alias("kept")))  # top-k rows
-    joined = scans.join(lookup(members), "department", "left").join(kept, "upc", "left")
-
-    count = F.col("scan_count")
-    returned = count < 0
-    ordinal = weekday_ordinal(F.col("weekday"))
-    single = F.array(
-        _entry(
-            F.when(returned, RETURNED).otherwise(PURCHASED),
-            signed_department(F.col("department"), count),
-            count,
-        ),
-        _entry(FINELINE, fineline_feature(F.col("fineline")), count),
-        _entry(UPC, F.when(F.col("kept"), upc_feature(F.col("upc"))), count),
-        _entry(VISIT, F.lit(RETURNS), is_return(count)),
-        _entry(VISIT, F.lit(WEEKDAY), ordinal),
-        _entry(VISIT, F.lit(MON_TO_FRI), is_mon_to_fri(ordinal)),
+    rows = scans.join(kept, "upc", "left").select(
+        "visit_number",
+        (F.col("scan_count") < 0).alias("returned"),
+        "department",
+        "fineline",
+        F.when(F.col("kept"), F.col("upc")).alias("upc"),
+        "scan_count",
+        weekday_ordinal(F.col("weekday")).alias("weekday"),
     )
-    by_category = F.transform(
-        F.coalesce("categories", F.array().cast("array<string>")),
-        lambda category: _entry(CATEGORY, _signed_category(category, returned), count),
+    keys = ["visit_number", "returned", "department", "fineline", "upc"]
+    levels = [keys[:3], ["visit_number", "fineline"], ["visit_number", "upc"], ["visit_number"]]
+    return rows.groupingSets(levels, *keys).agg(
+        F.sum("scan_count").alias("value"),
+        F.count_if(F.col("scan_count") < 0).alias("n_returns"),
+        F.min("weekday").alias("weekday"),
+        *[F.grouping(key).alias(f"no_{key}") for key in keys[2:]],
     )
-    rows = joined.select("visit_number", F.inline(F.concat(single, by_category)))
-    return rows.where(F.col("feature").isNotNull() & F.col("value").isNotNull())
 
 
 def visit_features(scans: DataFrame, categories: DataFrame, upcs: DataFrame) -> DataFrame:
     """(visit_number, family, feature, value): all features of every visit.
 
-    One scan and one aggregation: each line is expanded to the features it adds to, and
-    these combine per visit before the shuffle. Every visit has the visit features, so
-    one without any department is kept too.
+    One scan feeds one aggregation over grouping sets, which combines per visit before
+    the shuffle; names are made from its far fewer rows. Categories are summed from the
+    department level. Every visit has the visit features, so one without any department
+    is kept too.
     """
-    feature, value = F.col("feature"), F.col("value")
-    combined = (
-        F.when(feature == WEEKDAY, F.min(value))
-        .when(feature == MON_TO_FRI, F.max(value))
-        .otherwise(F.sum(value))
+    sums = _sums_by_level(scans, upcs)
+    value, returned, weekday = F.col("value"), F.col("returned"), F.col("weekday")
+    by_department = F.col("no_department") == 0
+    signed = F.when(returned, F.concat(F.lit("-"), F.col("department"))).otherwise(F.col("department"))
+    entries = (
+        F.when(
+            by_department,
+            F.array(_entry(F.when(returned, RETURNED).otherwise(PURCHASED), signed, value)),
+        )
+        .when(F.col("no_fineline") == 0, F.array(_entry(FINELINE, fineline_feature(F.col("fineline")), value)))
+        .when(F.col("no_upc") == 0, F.array(_entry(UPC, upc_feature(F.col("upc")), value)))
+        .otherwise(
+            F.array(
+                _entry(VISIT, F.lit(RETURNS), F.col("n_returns")),
+                _entry(VISIT, F.lit(WEEKDAY), weekday),
+                _entry(VISIT, F.lit(MON_TO_FRI), is_mon_to_fri(weekday)),
+            )
+        )
     )
-    entries = _entries(scans, categories, upcs)
-    return entries.groupBy("visit_number", "family", "feature").agg(combined.alias("value"))
+    named = sums.select("visit_number", F.inline(entries))
+    members = sums.where(by_department & F.col("department").isNotNull()).join(lookup(categories), "department")
+    rolled = (
+        members.groupBy("visit_number", "returned", "category")
+        .agg(F.sum("value").alias("value"))
+        .select("visit_number", F.inline(F.array(_entry(CATEGORY, _signed_category(F.col("category"), returned), value))))
+    )
+    return named.where(F.col("feature").isNotNull() & F.col("value").isNotNull()).unionByName(rolled)
 
 
 def fitted_feature(values: DataFrame, column: str, feature: str) -> DataFrame:
@@ -193,15 +205,23 @@ def fitted_feature(values: DataFrame, column: str, feature: str) -> DataFrame:
 
 def mean_features(scans: DataFrame) -> DataFrame:
     """(visit_number, feature, value): mean counts by raw department and fineline, and the weekday."""
-    count = F.col("scan_count").cast("double")
-    named = [
-        (F.col("department"), count),
-        (fineline_feature(F.col("fineline")), count),
-        (F.lit(WEEKDAY), weekday_ordinal(F.col("weekday")).cast("double")),
-    ]
-    parts = F.array(*[F.struct(f.alias("feature"), v.alias("value")) for f, v in named])
-    rows = scans.select("visit_number", F.inline(parts)).where(F.col("feature").isNotNull())
-    return rows.groupBy("visit_number", "feature").agg(F.avg("value").alias("value"))
+    rows = scans.withColumn("weekday", weekday_ordinal(F.col("weekday")))
+    keys = ["visit_number", "department", "fineline"]
+    means = rows.groupingSets([keys[:2], ["visit_number", "fineline"], keys[:1]], *keys).agg(
+        F.avg("scan_count").alias("mean"),
+        F.min("weekday").cast("double").alias("weekday"),
+        *[F.grouping(key).alias(f"no_{key}") for key in keys[1:]],
+    )
+    by_department, by_fineline = F.col("no_department") == 0, F.col("no_fineline") == 0
+    feature = (
+        F.when(by_department, F.col("department"))
+        .when(by_fineline, fineline_feature(F.col("fineline")))
+        .otherwise(F.lit(WEEKDAY))
+    )
+    value = F.when(by_department | by_fineline, F.col("mean")).otherwise(F.col("weekday"))
+    return means.select("visit_number", feature.alias("feature"), value.alias("value")).where(
+        F.col("feature").isNotNull() & F.col("value").isNotNull()
+    )
 
 
 def wide(features: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
