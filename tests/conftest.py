@@ -22,9 +22,39 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    from tillroll.session import prepare
+
+    return prepare(spark)
 
 
 @pytest.fixture(scope="session")
 def spark():
     return session()
+
+
+@pytest.fixture(scope="session")
+def train(spark):
+    from fixture import SCHEMA, TRAIN
+
+    return spark.createDataFrame(TRAIN, SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def test_log(spark):
+    from fixture import SCHEMA, TEST
+
+    return spark.createDataFrame(TEST, SCHEMA).drop("trip_type")
+
+
+@pytest.fixture(scope="session")
+def both(train, test_log):
+    from tillroll.sources.scanlog import union_inputs
+
+    return union_inputs(train, test_log)
+
+
+@pytest.fixture(scope="session")
+def categories(spark):
+    from fixture import CATEGORIES
+
+    return spark.createDataFrame(CATEGORIES, "department string, category string")
