@@ -134,63 +134,77 @@ def _entry(family: int | Column, feature: Column, value: Column) -> Column:
     )
 
 
-def _sums_by_level(scans: DataFrame, upcs: DataFrame) -> DataFrame:
-    # Sums per visit by signed department, by fineline, by kept UPC, and over the visit.
+# Levels at which a scan line is summed; categories take one level each from the last on.
+_DEPARTMENT, _FINELINE, _UPC, _VISIT, _CATEGORY = range(5)
+
+
+def _sums_by_level(scans: DataFrame, categories: DataFrame, upcs: DataFrame) -> DataFrame:
+    # One row per visit, level and key of that level: a name or a number.
+    members = categories.groupBy("department").agg(F.collect_set("category").alias("categories"))
     kept = F.broadcast(upcs.select("upc", F.lit(True).alias("kept")))  # top-k rows
-    rows = scans.join(kept, "upc", "left").select(
+    n_categories = F.when(F.col("categories").isNull(), 0).otherwise(F.size("categories"))
+    last = F.lit(_CATEGORY - 1) + n_categories
+    lines = (
+        scans.join(lookup(members), "department", "left")
+        .join(kept, "upc", "left")
+        .withColumn("level", F.explode(F.sequence(F.lit(0), last)))
+    )
+    level = F.col("level")
+    category = F.when(level >= _CATEGORY, F.get("categories", level - _CATEGORY))
+    keyed = lines.select(
         "visit_number",
-        (F.col("scan_count") < 0).alias("returned"),
-        "department",
-        "fineline",
-        F.when(F.col("kept"), F.col("upc")).alias("upc"),
+        F.least(level, F.lit(_CATEGORY)).alias("level"),
+        F.when(level.isin(_FINELINE, _UPC, _VISIT), False).otherwise(F.col("scan_count") < 0).alias("returned"),
+        F.when(level == _DEPARTMENT, F.col("department")).otherwise(category).alias("name"),
+        F.when(level == _FINELINE, F.col("fineline"))
+        .when((level == _UPC) & F.col("kept"), F.col("upc"))
+        .alias("number"),
         "scan_count",
         weekday_ordinal(F.col("weekday")).alias("weekday"),
     )
-    keys = ["visit_number", "returned", "department", "fineline", "upc"]
-    levels = [keys[:3], ["visit_number", "fineline"], ["visit_number", "upc"], ["visit_number"]]
-    return rows.groupingSets(levels, *keys).agg(
-        F.sum("scan_count").alias("value"),
-        F.count_if(F.col("scan_count") < 0).alias("n_returns"),
-        F.min("weekday").alias("weekday"),
-        *[F.grouping(key).alias(f"no_{key}") for key in keys[2:]],
+    used = (level == _VISIT) | F.col("name").isNotNull() | F.col("number").isNotNull()
+    return (
+        keyed.where(used)
+        .groupBy("visit_number", "level", "returned", "name", "number")
+        .agg(
+            F.sum("scan_count").alias("value"),
+            F.count_if(F.col("scan_count") < 0).alias("n_returns"),
+            F.min("weekday").alias("weekday"),
+        )
     )
 
 
 def visit_features(scans: DataFrame, categories: DataFrame, upcs: DataFrame) -> DataFrame:
     """(visit_number, family, feature, value): all features of every visit.
 
-    One scan feeds one aggregation over grouping sets, which combines per visit before
-    the shuffle; names are made from its far fewer rows. Categories are summed from the
-    department level. Every visit has the visit features, so one without any department
-    is kept too.
+    One scan and one aggregation: each line is repeated for the levels it is summed at,
+    with plain typed keys, and the copies combine per visit before any shuffle. Feature
+    names are made from the far fewer sums. Every visit has the visit features, so one
+    without any department is kept too.
     """
-    sums = _sums_by_level(scans, upcs)
-    value, returned, weekday = F.col("value"), F.col("returned"), F.col("weekday")
-    by_department = F.col("no_department") == 0
-    signed = F.when(returned, F.concat(F.lit("-"), F.col("department"))).otherwise(F.col("department"))
-    entries = (
-        F.when(
-            by_department,
-            F.array(_entry(F.when(returned, RETURNED).otherwise(PURCHASED), signed, value)),
-        )
-        .when(F.col("no_fineline") == 0, F.array(_entry(FINELINE, fineline_feature(F.col("fineline")), value)))
-        .when(F.col("no_upc") == 0, F.array(_entry(UPC, upc_feature(F.col("upc")), value)))
-        .otherwise(
-            F.array(
-                _entry(VISIT, F.lit(RETURNS), F.col("n_returns")),
-                _entry(VISIT, F.lit(WEEKDAY), weekday),
-                _entry(VISIT, F.lit(MON_TO_FRI), is_mon_to_fri(weekday)),
-            )
-        )
+    level, name, number = F.col("level"), F.col("name"), F.col("number")
+    returned, value, weekday = F.col("returned"), F.col("value"), F.col("weekday")
+    signed = F.when(returned, F.concat(F.lit("-"), name)).otherwise(name)
+    family = (
+        F.when(level == _FINELINE, FINELINE)
+        .when(level == _UPC, UPC)
+        .when(level == _CATEGORY, CATEGORY)
+        .when(returned, RETURNED)
+        .otherwise(PURCHASED)
+    )
+    feature = (
+        F.when(level == _FINELINE, fineline_feature(number))
+        .when(level == _UPC, upc_feature(number))
+        .otherwise(signed)
     )
-    named = sums.select("visit_number", F.inline(entries))
-    members = sums.where(by_department & F.col("department").isNotNull()).join(lookup(categories), "department")
-    rolled = (
-        members.groupBy("visit_number", "returned", "category")
-        .agg(F.sum("value").alias("value"))
-        .select("visit_number", F.inline(F.array(_entry(CATEGORY, _signed_category(F.col("category"), returned), value))))
+    of_visit = F.array(
+        _entry(VISIT, F.lit(RETURNS), F.col("n_returns")),
+        _entry(VISIT, F.lit(WEEKDAY), weekday),
+        _entry(VISIT, F.lit(MON_TO_FRI), is_mon_to_fri(weekday)),
     )
-    return named.where(F.col("feature").isNotNull() & F.col("value").isNotNull()).unionByName(rolled)
+    entries = F.when(level == _VISIT, of_visit).otherwise(F.array(_entry(family, feature, value)))
+    named = _sums_by_level(scans, categories, upcs).select("visit_number", F.inline(entries))
+    return named.where(F.col("value").isNotNull())
 
 
 def fitted_feature(values: DataFrame, column: str, feature: str) -> DataFrame:

@@ -49,7 +49,8 @@ def build(
     sets = spark.read.parquet(f"{out}/itemset_table")
     sinks.write_itemsets(sets, f"{out}/itemsets")
 
-    vectors = clusters.department_vectors(purchases, vocabulary.column_terms(train, "department"))
+    departments = vocabulary.column_terms(train, "department")
+    vectors = checkpoint(clusters.department_vectors(purchases, departments))
     model = clusters.train_clusters(split.of_visits(vectors, train), n_clusters, seed)
 
     terms = vocabulary.feature_terms(both, categories, upcs, features.FITTED_FEATURES)

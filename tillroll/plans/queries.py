@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.constants import MIN_SUPPORT, N_CLUSTERS, SAMPLE_VISITS, TOP_UPCS, WEEKDAYS
 from tillroll.operators import clusters, crosstab, features, itemsets, profile, split, vocabulary
+from tillroll.session import checkpoint
 from tillroll.sources import scanlog, sinks, star
 
 # Parameters of the order tables. The UPC vocabulary is small enough to leave UPCs out
@@ -109,7 +110,8 @@ def _shuffled_train(spark: SparkSession, folder: str) -> DataFrame:
 
 def _visit_clusters(spark: SparkSession, folder: str) -> DataFrame:
     departments = vocabulary.column_terms(star.scans(spark, folder, ["department"]), "department")
-    vectors = clusters.department_vectors(_purchases(spark, folder), departments)
+    # Read twice: to fit on the training visits, and to assign all.
+    vectors = checkpoint(clusters.department_vectors(_purchases(spark, folder), departments))
     train = star.scans(spark, folder, ["visit_number"], "train")
     model = clusters.train_clusters(split.of_visits(vectors, train), N_CLUSTERS)
     return clusters.assign_clusters(model, vectors)

@@ -39,9 +39,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tillroll-"))
     return df.checkpoint()
 
 
