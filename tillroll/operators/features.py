@@ -18,7 +18,7 @@ from tillroll.functions.scalars import (
     upc_feature,
     weekday_ordinal,
 )
-from tillroll.session import lookup
+from tillroll.session import lookup, size_checked
 
 # Families in the order of the feature dictionary.
 RETURNED, PURCHASED, FINELINE, UPC, VISIT, CATEGORY, FITTED = range(7)
@@ -247,10 +247,11 @@ def wide(features: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
 def sparse_rows(features: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(visit_number, indices, values): non-zero values per visit in index order.
 
-    A visit has at most one entry per dictionary term. Features outside the dictionary
-    are left out; a visit with no entry keeps empty arrays.
+    ``dictionary`` is a materialised (idx, feature) table. A visit has at most one entry
+    per term of it. Features outside the dictionary are left out; a visit with no entry
+    keeps empty arrays.
     """
-    indexed = features.join(lookup(dictionary), "feature", "left")
+    indexed = features.join(size_checked(dictionary), "feature", "left")
     used = F.col("idx").isNotNull() & (F.col("value") != 0)
     entries = F.sort_array(F.collect_list(F.when(used, F.struct("idx", "value"))))
     return (

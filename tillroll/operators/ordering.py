@@ -6,15 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(rows: DataFrame, order: Column, amount: Column, buckets: int = 64) -> DataFrame:
+def running_total(
+    rows: DataFrame, order: Column, amount: Column, buckets: int | None = None
+) -> DataFrame:
     """Add ``before``: the sum of ``amount`` over all rows with a smaller ``order``.
 
     ``order`` must be unique. The order is cut into ranges at ``buckets - 1`` of its own
     values, the ones with the smallest hashes, so the ranges are even whatever the
     values are. Only one row per range is put in sequence; within a range the window
-    runs in that range's task. Use more buckets for more rows. The rows are read three
-    times, so pass a checkpointed table.
+    runs in that range's task. By default there are as many ranges as cores, at least 64.
+    The rows are read three times, so pass a checkpointed table.
     """
+    buckets = buckets or max(64, rows.sparkSession.sparkContext.defaultParallelism)
     keyed = rows.withColumn("_order", order)
     cuts = (
         keyed.select("_order")

@@ -35,16 +35,22 @@ def _upcs(spark: SparkSession, folder: str) -> DataFrame:
     return vocabulary.top_terms(star.scans(spark, folder, ["upc"]), "upc", UPC_VOCABULARY)
 
 
-def _features(spark: SparkSession, folder: str) -> DataFrame:
-    return features.visit_features(
-        star.scans(spark, folder, FEATURE_COLUMNS), star.categories(spark, folder), _upcs(spark, folder)
-    )
+def _features(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
+    rows, groups = star.scans(spark, folder, FEATURE_COLUMNS), star.categories(spark, folder)
+    return features.visit_features(rows, groups, upcs or _upcs(spark, folder))
 
 
-def _dictionary(spark: SparkSession, folder: str) -> DataFrame:
+def _dictionary(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
     rows = star.scans(spark, folder, ["scan_count", "department", "fineline"])
-    terms = vocabulary.feature_terms(rows, star.categories(spark, folder), _upcs(spark, folder))
-    return vocabulary.feature_dictionary(terms)
+    groups = star.categories(spark, folder)
+    return vocabulary.feature_dictionary(vocabulary.feature_terms(rows, groups, upcs or _upcs(spark, folder)))
+
+
+def _matrix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    # Vocabularies first, each fitted once; then the rows over them.
+    upcs = checkpoint(_upcs(spark, folder))
+    dictionary = checkpoint(_dictionary(spark, folder, upcs))
+    return features.sparse_rows(_features(spark, folder, upcs), dictionary), dictionary
 
 
 def _baskets(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,9 +83,12 @@ def _long(rows: DataFrame) -> DataFrame:
     return rows.select("visit_number", "feature", "value")
 
 
+def _sparse_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _joined(_matrix(spark, folder)[0], "indices", "values")
+
+
 def _dense_rows(spark: SparkSession, folder: str) -> DataFrame:
-    dictionary = _dictionary(spark, folder)
-    sparse = features.sparse_rows(_features(spark, folder), dictionary)
+    sparse, dictionary = _matrix(spark, folder)
     return sinks.dense_lines(sparse, dictionary.count()).select("visit_number", "line")
 
 
@@ -190,9 +199,7 @@ QUERIES: dict[str, Query] = {
     ),
     "visit_features": lambda spark, folder: _long(_features(spark, folder)),
     "feature_dictionary": _dictionary,
-    "sparse_rows": lambda spark, folder: _joined(
-        features.sparse_rows(_features(spark, folder), _dictionary(spark, folder)), "indices", "values"
-    ),
+    "sparse_rows": _sparse_rows,
     "dense_rows": _dense_rows,
     # itemsets
     "transactions": lambda spark, folder: _joined(itemsets.with_label_item(_baskets(spark, folder)), "items"),
