@@ -24,7 +24,7 @@ def clustered(spark):
         for name, mean in zip("ABC", centres[visit % 4]):
             sums.append((visit, name, int(mean + rng.integers(0, 4))))
     purchases = spark.createDataFrame(sums, "visit_number bigint, department string, value bigint")
-    vectors = clusters.department_vectors(purchases, ["A", "B", "C"])
+    vectors = clusters.points(purchases, ["A", "B", "C"])
     return vectors, clusters.train_clusters(vectors, k=4)
 
 

@@ -21,7 +21,8 @@ def long(both, categories, upcs):
 
 @pytest.fixture(scope="module")
 def dictionary(both, categories, upcs):
-    return vocabulary.feature_dictionary(vocabulary.feature_terms(both, categories, upcs)).cache()
+    terms = vocabulary.feature_terms(vocabulary.occurring_terms(both), categories, upcs)
+    return vocabulary.feature_dictionary(terms).cache()
 
 
 DEPARTMENT_SUMS = [

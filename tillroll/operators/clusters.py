@@ -30,11 +30,17 @@ def department_vectors(purchases: DataFrame, departments: Sequence[str]) -> Data
     return sums.select("visit_number", array_to_vector(cells).alias("vector"))
 
 
+def points(purchases: DataFrame, departments: Sequence[str]) -> DataFrame:
+    """The vectors, materialised once in a fixed order.
+
+    A fit passes over them many times, and a lost executor must not change its start.
+    """
+    return checkpoint(department_vectors(purchases, departments).sortWithinPartitions("visit_number"))
+
+
 def train_clusters(vectors: DataFrame, k: int = N_CLUSTERS, seed: int = 0) -> KMeansModel:
-    """Fit k-means. The vectors are checkpointed in a fixed order: the fit passes over
-    them many times, and a lost executor must not change what its start points are."""
-    points = checkpoint(vectors.sortWithinPartitions("visit_number"))
-    return KMeans(featuresCol="vector", predictionCol="cluster", k=k, seed=seed).fit(points)
+    """Fit k-means on materialised vectors."""
+    return KMeans(featuresCol="vector", predictionCol="cluster", k=k, seed=seed).fit(vectors)
 
 
 def assign_clusters(model: KMeansModel, vectors: DataFrame) -> DataFrame:

@@ -52,36 +52,36 @@ def retail_categories(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pairs, "department string, category string")
 
 
-def feature_terms(
-    scans: DataFrame, categories: DataFrame, upcs: DataFrame, fitted: Sequence[str] = ()
-) -> DataFrame:
-    """(family, feature): every feature name of a scan log and its fitted vocabularies.
-
-    Departments and finelines are those that occur; UPCs, visit features and the
-    categories with their return side are always there, and so are ``fitted`` names.
-    """
-
-    def terms(rows, family, feature):
-        return rows.select(family.alias("family"), feature.alias("feature"))
-
-    returned = F.col("scan_count") < 0
+def occurring_terms(scans: DataFrame) -> DataFrame:
+    """(family, feature): the signed departments and the finelines of a scan log."""
     per_line = F.array(
         F.struct(
-            F.when(returned, RETURNED).otherwise(PURCHASED).alias("family"),
+            F.when(F.col("scan_count") < 0, RETURNED).otherwise(PURCHASED).alias("family"),
             signed_department(F.col("department"), F.col("scan_count")).alias("feature"),
         ),
         F.struct(
             F.lit(FINELINE).alias("family"), fineline_feature(F.col("fineline")).alias("feature")
         ),
     )
+    return scans.select(F.inline(per_line)).where(F.col("feature").isNotNull()).distinct()
+
+
+def feature_terms(
+    occurring: DataFrame, categories: DataFrame, upcs: DataFrame, fitted: Sequence[str] = ()
+) -> DataFrame:
+    """(family, feature): ``occurring`` terms and those of the fitted vocabularies.
+
+    UPCs, visit features and the categories with their return side are always there, and
+    so are ``fitted`` names.
+    """
+    names = upcs.select(F.lit(UPC).alias("family"), upc_feature(F.col("upc")).alias("feature"))
     signs = F.explode(F.array(F.col("category"), F.concat(F.lit("-"), F.col("category"))))
+    grouped = categories.select("category").distinct()
     given = [(VISIT, name) for name in VISIT_FEATURES] + [(FITTED, name) for name in fitted]
-    always = scans.sparkSession.createDataFrame(given, "family int, feature string")
-    occurring = scans.select(F.inline(per_line)).where(F.col("feature").isNotNull()).distinct()
     return (
-        occurring.unionAll(terms(upcs, F.lit(UPC), upc_feature(F.col("upc"))))
-        .unionAll(terms(categories.select("category").distinct(), F.lit(CATEGORY), signs))
-        .unionAll(always)
+        occurring.unionAll(names)
+        .unionAll(grouped.select(F.lit(CATEGORY).alias("family"), signs.alias("feature")))
+        .unionAll(occurring.sparkSession.createDataFrame(given, "family int, feature string"))
     )
 
 

@@ -50,10 +50,12 @@ def build(
     sinks.write_itemsets(sets, f"{out}/itemsets")
 
     departments = vocabulary.column_terms(train, "department")
-    vectors = checkpoint(clusters.department_vectors(purchases, departments))
+    vectors = clusters.points(purchases, departments)
     model = clusters.train_clusters(split.of_visits(vectors, train), n_clusters, seed)
 
-    terms = vocabulary.feature_terms(both, categories, upcs, features.FITTED_FEATURES)
+    summed = F.col("family").isin(features.RETURNED, features.PURCHASED, features.FINELINE)
+    occurring = base.where(summed).select("family", "feature").distinct()
+    terms = vocabulary.feature_terms(occurring, categories, upcs, features.FITTED_FEATURES)
     dictionary = checkpoint(vocabulary.feature_dictionary(terms))
     sinks.write_columns(dictionary.orderBy("idx"), f"{out}/features")
 

@@ -42,8 +42,9 @@ def _features(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -
 
 def _dictionary(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
     rows = star.scans(spark, folder, ["scan_count", "department", "fineline"])
-    groups = star.categories(spark, folder)
-    return vocabulary.feature_dictionary(vocabulary.feature_terms(rows, groups, upcs or _upcs(spark, folder)))
+    occurring = vocabulary.occurring_terms(rows)
+    terms = vocabulary.feature_terms(occurring, star.categories(spark, folder), upcs or _upcs(spark, folder))
+    return vocabulary.feature_dictionary(terms)
 
 
 def _matrix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -119,8 +120,7 @@ def _shuffled_train(spark: SparkSession, folder: str) -> DataFrame:
 
 def _visit_clusters(spark: SparkSession, folder: str) -> DataFrame:
     departments = vocabulary.column_terms(star.scans(spark, folder, ["department"]), "department")
-    # Read twice: to fit on the training visits, and to assign all.
-    vectors = checkpoint(clusters.department_vectors(_purchases(spark, folder), departments))
+    vectors = clusters.points(_purchases(spark, folder), departments)
     train = star.scans(spark, folder, ["visit_number"], "train")
     model = clusters.train_clusters(split.of_visits(vectors, train), N_CLUSTERS)
     return clusters.assign_clusters(model, vectors)
