@@ -66,8 +66,7 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
         found.append(sets)
         keys = size_checked(sets.select("trip_type", "items"))
         grown = grown.join(keys, ["trip_type", "items"], "left_semi")
-    empty = baskets.sparkSession.createDataFrame([], "trip_type int, items array<string>, freq bigint")
-    return reduce(DataFrame.unionAll, found) if found else empty
+    return reduce(DataFrame.unionAll, found or [sets])
 
 
 def _frequent_departments(patterns: DataFrame, frequent) -> DataFrame:

@@ -21,7 +21,7 @@ from tillroll.operators.features import (
     VISIT_FEATURES,
 )
 from tillroll.operators.ordering import running_total
-from tillroll.session import checkpoint
+from tillroll.session import checkpoint, constants
 
 # Spark's own bound on the columns of a pivot.
 MAX_COLUMNS = 10_000
@@ -49,7 +49,7 @@ def column_terms(rows: DataFrame, column: str) -> list[str]:
 def retail_categories(spark: SparkSession) -> DataFrame:
     """(department, category) for the retail departments."""
     pairs = [(d, c) for c, departments in RETAIL_CATEGORIES.items() for d in departments]
-    return spark.createDataFrame(pairs, "department string, category string")
+    return constants(spark, pairs, "department", "category")
 
 
 def occurring_terms(scans: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def feature_terms(
     return (
         occurring.unionAll(names)
         .unionAll(grouped.select(F.lit(CATEGORY).alias("family"), signs.alias("feature")))
-        .unionAll(occurring.sparkSession.createDataFrame(given, "family int, feature string"))
+        .unionAll(constants(occurring.sparkSession, given, "family", "feature"))
     )
 
 

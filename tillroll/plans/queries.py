@@ -36,8 +36,8 @@ def _upcs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
-    rows, groups = star.scans(spark, folder, FEATURE_COLUMNS), star.categories(spark, folder)
-    return features.visit_features(rows, groups, upcs or _upcs(spark, folder))
+    rows = star.scans(spark, folder, FEATURE_COLUMNS, even=True)
+    return features.visit_features(rows, star.categories(spark, folder), upcs or _upcs(spark, folder))
 
 
 def _dictionary(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
@@ -194,8 +194,8 @@ QUERIES: dict[str, Query] = {
         "visit_number scan_count fineline",
         lambda r: _rounded(features.visit_means(r, "fineline"), "mean_scan_count"),
     ),
-    "visit_mean_features": _on(
-        "visit_number weekday scan_count department fineline", lambda r: _rounded(features.mean_features(r), "value")
+    "visit_mean_features": lambda spark, folder: _rounded(
+        features.mean_features(star.scans(spark, folder, FEATURE_COLUMNS, even=True)), "value"
     ),
     "visit_features": lambda spark, folder: _long(_features(spark, folder)),
     "feature_dictionary": _dictionary,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,23 @@ def _size_shuffles(spark: SparkSession) -> None:
         spark.conf.set(initial, str(wanted))
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute a plain scan that comes in fewer splits than there are cores.
+
+    One gzipped file or one row group is read by one task, and all that follows up to the
+    next shuffle would run there too. A scan with enough splits is left alone. Give keys
+    that together are nearly unique.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+
+
+def constants(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFrame:
+    """A few fixed rows, as literals in the plan."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
     sc = df.sparkSession.sparkContext

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.constants import WEEKDAYS
-from tillroll.session import prepare
+from tillroll.session import prepare, spread
 from tillroll.sources.scanlog import SCAN_COLUMNS
 
 _FROM_PART = {"department", "fineline"}
@@ -29,15 +29,20 @@ def scans(
     folder: str,
     columns: Iterable[str] = tuple(SCAN_COLUMNS),
     part: str | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """The scan log; ``part`` is ``train`` (settled orders), ``test`` (open ones) or all.
 
+    ``even`` spreads lines that come in few splits, for queries that multiply them.
+
     Orders are joined last: what follows groups by visit, and the rows are then already
     partitioned by it.
     """
     prepare(spark)
     wanted = set(columns)
     rows = table(spark, folder, "lineitem")
+    if even:
+        rows = spread(rows, "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     if wanted & _FROM_PART:
         parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
         rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
