@@ -99,3 +99,18 @@ def test_schema_of_the_fixture_is_the_canonical_one(train):
     assert train.columns == list(scanlog.SCAN_COLUMNS)
     assert SCHEMA == ", ".join(f"{n} {k}" for n, (_, k) in scanlog.SCAN_COLUMNS.items())
     assert train.select(F.count("*")).first()[0] == len(TRAIN)
+
+
+def test_spread_leaves_scans_with_enough_splits_alone(spark):
+    from tillroll.session import spread
+
+    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=64)
+    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many, "id").rdd.getNumPartitions() == 64
+    assert rows(spread(few, "id")) == rows(few)
+
+
+def test_constants(spark):
+    from tillroll.session import constants
+
+    assert rows(constants(spark, [(1, "a"), (2, "b")], "n", "name")) == [(1, "a"), (2, "b")]

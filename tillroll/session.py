@@ -37,14 +37,14 @@ def _size_shuffles(spark: SparkSession) -> None:
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute a plain scan that comes in fewer splits than there are cores.
+    """Redistribute a plain scan that comes in less than one split per two cores.
 
     One gzipped file or one row group is read by one task, and all that follows up to the
     next shuffle would run there too. A scan with enough splits is left alone. Give keys
     that together are nearly unique.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+    return rows if 2 * rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
 
 
 def constants(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFrame:
