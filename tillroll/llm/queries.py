@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import byte_bpe, quality_rules, sharding, simhash, token_counts
+from tillroll.llm import byte_bpe, nb_svm, pii, quality_rules, sharding, simhash, token_counts
 from tillroll.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,10 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": lambda spark, folder: byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(documents(spark, folder)))),
     "op4_token_counts": lambda spark, folder: token_counts.token_counts(documents(spark, folder)),
     "op6_lpt_shards": lambda spark, folder: sharding.sharded(documents(spark, folder)),
+    "op7_nb_svm_quality": lambda spark, folder: nb_svm.scored(
+        documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    ),
+    "op8_pii_surrogates": lambda spark, folder: pii.surrogates(documents(spark, folder)),
     "op9_simhash_pivots": lambda spark, folder: simhash.near_duplicates(documents(spark, folder)),
     "op10_line_first_rules": lambda spark, folder: quality_rules.quality(documents(spark, folder)),
 }
