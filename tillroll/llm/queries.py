@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import byte_bpe, nb_svm, pii, quality_rules, sharding, simhash, token_counts
-from tillroll.llm.common import documents
+from tillroll.llm import byte_bpe, nb_svm, pii, preference, quality_rules, sharding, simhash, token_counts
+from tillroll.llm.common import documents, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": lambda spark, folder: byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(documents(spark, folder)))),
     "op4_token_counts": lambda spark, folder: token_counts.token_counts(documents(spark, folder)),
+    "op5_preference_pairs": lambda spark, folder: preference.preference_rows(
+        prepare(spark).read.parquet(f"{folder}/conversations.parquet")
+    ),
     "op6_lpt_shards": lambda spark, folder: sharding.sharded(documents(spark, folder)),
     "op7_nb_svm_quality": lambda spark, folder: nb_svm.scored(
         documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
