@@ -262,12 +262,13 @@ def _parts(ends: np.ndarray, limit: int = 1 << 18) -> Iterable[slice]:
         start = stop
 
 
-def digests(tokens: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded tokens."""
+def digests(tokens: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, *more) of decoded tokens."""
     text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return tokens.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(text, 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
+        *more,
     )

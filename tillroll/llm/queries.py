@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import byte_bpe, decontaminate, nb_svm, pii, preference, quality_rules, sharding, simhash, token_counts
+from tillroll.llm import byte_bpe, decontaminate, nb_svm, pii, preference, quality_rules, sharding, simhash, token_counts, token_output
 from tillroll.llm.common import documents, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_context_mixing_tokens": lambda spark, folder: token_output.written(documents(spark, folder)),
     "op2_byte_bpe": lambda spark, folder: byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(documents(spark, folder)))),
     "op3_latent_decontamination": lambda spark, folder: decontaminate.contaminated(
         documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")
