@@ -130,6 +130,9 @@ def clean(docs: DataFrame) -> DataFrame:
 
     All other columns are passed on as they are, whatever their names.
     """
-    measured = measure(docs.select(F.struct("*").alias("row"), "text")).where("kept")
+    measured = measure(docs.select(F.struct("*").alias("row"), "text"))
+    # Moved below the measures the filter would spell each of them out once per use. It
+    # does not move below the number of the row, which it therefore names.
+    measured = measured.withColumn("n", F.monotonically_increasing_id()).where("kept and n >= 0")
     changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("bigint")}
     return measured.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
