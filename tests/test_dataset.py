@@ -31,7 +31,7 @@ def read_csv(pattern, opener=open):
 
 def test_dictionary_heads_the_dense_files(built):
     _, dictionary = read_csv(f"{built}/features/*.csv")
-    names = [name for _, name in dictionary]
+    names = [name for _, _, name in dictionary]
     assert names[-2:] == ["ItemSet", "Dept_Category"]
     for part in ("train", "test"):
         header, _ = read_csv(f"{built}/{part}/*.csv.gz", gzip.open)
@@ -85,7 +85,8 @@ def test_names_with_commas_are_quoted_in_the_header(spark, tmp_path):
     from tillroll.sources import sinks
 
     dictionary = spark.createDataFrame(
-        [(0, "CANDY, TOBACCO, COOKIES"), (1, 'A "B"'), (2, "MEAT - FRESH & FROZEN")], "idx bigint, feature string"
+        [(0, 1, "CANDY, TOBACCO, COOKIES"), (1, 1, 'A "B"'), (2, 1, "MEAT - FRESH & FROZEN")],
+        "idx bigint, family int, feature string",
     )
     sparse = spark.createDataFrame(
         [(1, [0, 2], [5, -3]), (2, [], [])], "visit_number bigint, indices array<bigint>, `values` array<bigint>"
@@ -94,3 +95,51 @@ def test_names_with_commas_are_quoted_in_the_header(spark, tmp_path):
     header, lines = read_csv(str(tmp_path / "dense/*.csv.gz"), gzip.open)
     assert header == ["CANDY, TOBACCO, COOKIES", 'A "B"', "MEAT - FRESH & FROZEN"]
     assert sorted(lines) == [["0", "0", "0"], ["5", "0", "-3"]]
+
+
+def test_later_logs_get_the_columns_of_the_first(spark, train, test_log, categories, tmp_path):
+    fitted = dataset.build(train, test_log, str(tmp_path), categories, ignored=[8], min_support=0.5, top_upcs=2, n_clusters=2)
+    width = fitted.dictionary.count()
+    again = {r.visit_number: r for r in dataset.apply(test_log, fitted).collect()}
+    first = {r.visit_number: r for r in spark.read.parquet(f"{tmp_path}/test_matrix").collect()}
+    assert {v: (r.indices, r["values"]) for v, r in again.items()} == {v: (r.indices, r["values"]) for v, r in first.items()}
+    new = test_log.replace("ACCESSORIES", "UNHEARD OF", "department")
+    assert all(max(r.indices) < width for r in dataset.apply(new, fitted).collect())
+    # Frozen vocabularies are taken as they are.
+    frozen = dataset.build(
+        train, test_log, str(tmp_path / "again"), categories, ignored=[8], min_support=0.5, n_clusters=2,
+        departments=["DAIRY", "PRODUCE"], upcs=fitted.upcs.limit(1), dictionary=fitted.dictionary,
+    )
+    assert frozen.dictionary is fitted.dictionary and list(frozen.departments) == ["DAIRY", "PRODUCE"]
+
+
+def test_from_csv_to_files(spark, tmp_path):
+    """The order tables as CSV, through every file, against the registered queries."""
+    from tillroll.plans import queries
+    from tillroll.sources import scanlog, star
+
+    folder = "/root/testdata/sf0.001"
+    headers = {name: header for name, (header, _) in scanlog.SCAN_COLUMNS.items()}
+    for part, columns in (("train", queries.ALL_COLUMNS), ("test", queries.FEATURE_COLUMNS)):
+        log = star.scans(spark, folder, columns, part).withColumnsRenamed(headers)
+        log.write.option("header", True).csv(f"{tmp_path}/in/{part}.csv")
+    out = f"{tmp_path}/out"
+    fitted = dataset.run(spark, f"{tmp_path}/in", out, star.categories(spark, folder), ignored=queries.IGNORED, n_clusters=3)
+    names = {r.idx: r.feature for r in fitted.dictionary.collect()}
+    for part in ("train", "test"):
+        expected = queries.QUERIES[f"{part}_matrix"](spark, folder)
+        terms = [r.feature for r in queries._dictionary(spark, folder, fitted=["ItemSet"]).orderBy("idx").collect()]
+        want = {
+            r.visit_number: {terms[int(i)]: int(v) for i, v in zip(r.indices.split(";"), r["values"].split(";")) if i}
+            for r in expected.collect()
+        }
+        found = {
+            r.visit_number: {names[i]: v for i, v in zip(r.indices, r["values"]) if names[i] != "Dept_Category"}
+            for r in spark.read.parquet(f"{out}/{part}_matrix").collect()
+        }
+        assert found == want
+    assert rows(spark.read.text(f"{out}/itemsets")) == rows(queries.QUERIES["itemset_lines"](spark, folder))
+    _, labels = read_csv(f"{out}/labels/*.csv")
+    assert sorted((int(v), int(t)) for v, t in labels) == sorted(rows(queries.QUERIES["trip_labels"](spark, folder)))
+    dataset.run(spark, f"{tmp_path}/in", f"{out}-mini", star.categories(spark, folder), mini=True, n_clusters=2)
+    assert spark.read.parquet(f"{out}-mini/test_matrix").count() > 0

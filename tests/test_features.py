@@ -55,9 +55,41 @@ def test_calendar(both):
     assert rows(features.visit_calendar(both)) == CALENDAR
 
 
-def test_unknown_weekday_is_null(spark):
-    days = spark.createDataFrame([("Monday",), ("monday",), (None,), ("Sunday",)], "d string")
-    assert [r[0] for r in days.select(scalars.weekday_ordinal(F.col("d"))).collect()] == [0, None, None, 6]
+def test_weekdays(spark):
+    days = spark.createDataFrame([("Monday",), (None,), ("Sunday",)], "d string")
+    assert [r[0] for r in days.select(scalars.weekday_ordinal(F.col("d"))).collect()] == [0, None, 6]
+
+
+def test_unknown_weekdays_fail(both, categories, upcs):
+    odd = both.withColumn("weekday", F.when(F.col("visit_number") == 4, "monday").otherwise(F.col("weekday")))
+    with pytest.raises(Exception, match="unknown weekday: monday"):
+        features.visit_features(odd, categories, upcs).collect()
+
+
+def test_visit_summary_agrees_with_its_parts(both):
+    parts = features.visit_facts(both).join(features.department_sums(both), "visit_number", "left")
+    summary = features.visit_summary(both)
+    assert rows(summary, *parts.columns) == rows(parts)
+
+
+def test_equal_names_of_several_families(spark, both, upcs, tmp_path):
+    """A category named like a department, and one like the return side of another."""
+    clashing = spark.createDataFrame([("DAIRY", "PRODUCE"), ("TOYS", "-DAIRY")], "department string, category string")
+    long = features.visit_features(both, clashing, upcs)
+    terms = vocabulary.feature_terms(vocabulary.occurring_terms(both), clashing, upcs)
+    dictionary = vocabulary.feature_dictionary(terms).cache()
+    width = dictionary.count()
+    sparse = features.sparse_rows(long, dictionary)
+    keys = {r.idx: (r.family, r.feature) for r in dictionary.collect()}
+    assert len(set(keys.values())) == width
+    for r in sinks.dense_lines(sparse, width).collect():
+        assert list(r.indices) == sorted(set(r.indices)) and len(r.line.split(",")) == width
+    unpacked = {(r.visit_number, *keys[i], v) for r in sparse.collect() for i, v in zip(r.indices, r["values"])}
+    assert unpacked == {t for t in rows(long, "visit_number", "family", "feature", "value") if t[3] != 0}
+    names = [r.name for r in sinks.column_names(dictionary).collect()]
+    assert len(set(names)) == width and {"PRODUCE (1)", "PRODUCE (5)", "-DAIRY (0)", "-DAIRY (5)"} <= set(names)
+    with pytest.raises(ValueError):
+        sinks.write_dense(sparse, dictionary, str(tmp_path / "dense"), max_width=width - 1)
 
 
 def test_visit_facts_agree_with_their_parts(both):

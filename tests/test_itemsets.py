@@ -87,6 +87,26 @@ def test_mine_with_a_hot_basket(spark):
     assert rows(mined) == brute_force(baskets, 20)
 
 
+def test_mine_large_baskets(spark):
+    """Forty departments in each basket, of which few are frequent together."""
+    rng = random.Random(11)
+    baskets = []
+    for v in range(120):
+        often = [f"D{k:02}" for k in range(6) if rng.random() < 0.8]
+        rare = [f"R{k:03}" for k in rng.sample(range(600), 34)]
+        baskets.append((v, 1, sorted(often + rare)))
+    mined = itemsets.mine(spark.createDataFrame(baskets, BASKETS), 0.2)
+    few = [(v, t, [d for d in b if d.startswith("D")]) for v, t, b in baskets]
+    assert rows(mined) == brute_force(few, 24)
+
+
+def test_mine_does_not_repeat_earlier_rounds(spark):
+    """A round reads its materialised baskets: no plan holds the explodes of another."""
+    patterns = spark.createDataFrame(random_baskets(100, 4), BASKETS)
+    mined = itemsets.mine(patterns, 0.05)
+    assert mined._jdf.queryExecution().analyzed().toString().count("explode") == 0
+
+
 def test_mine_without_broadcasts(spark):
     baskets = random_baskets(200, 4)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -113,12 +113,6 @@ def test_top_terms_break_ties_by_value(train):
     assert rows(vocabulary.top_terms(train, "fineline", 1)) == [(10, 3)]
 
 
-def test_column_terms_refuse_what_no_pivot_can_hold(spark, monkeypatch):
-    monkeypatch.setattr(vocabulary, "MAX_COLUMNS", 3)
-    with pytest.raises(ValueError):
-        vocabulary.column_terms(spark.range(4).selectExpr("cast(id as string) as name"), "name")
-
-
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_results_do_not_depend_on_partitions(train, partitions):
     spread = train.orderBy(F.desc("scan_count")).repartition(partitions)

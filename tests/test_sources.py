@@ -101,13 +101,28 @@ def test_schema_of_the_fixture_is_the_canonical_one(train):
     assert train.select(F.count("*")).first()[0] == len(TRAIN)
 
 
-def test_spread_leaves_scans_with_enough_splits_alone(spark):
+def test_spread_is_asked_for(spark):
     from tillroll.session import spread
 
-    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=64)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id").rdd.getNumPartitions() == 64
-    assert rows(spread(few, "id")) == rows(few)
+    few = spark.range(100, numPartitions=1)
+    assert spread(few, 5, "id").select(F.spark_partition_id()).distinct().count() == 5
+    assert spread(few, None, "id") is few
+    assert rows(spread(few, 5, "id")) == rows(few)
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    from tillroll.session import prepare
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+        prepare(spark, input_bytes=100 << 30)
+        chosen = spark.conf.get(name, None)
+    finally:
+        spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert chosen in (None, str((100 << 30) // (64 << 20)))
 
 
 def test_constants(spark):

@@ -8,20 +8,16 @@ from pyspark.sql import functions as F
 from tillroll.constants import WEEKDAYS
 
 
-def is_return(scan_count: Column) -> Column:
-    """1 for a returned line, 0 for any other (a count of zero is not a return)."""
-    return (scan_count < 0).cast("int")
-
-
 def signed_department(department: Column, scan_count: Column) -> Column:
     """Department name, with a leading ``-`` on returned lines; null stays null."""
     return F.when(scan_count < 0, F.concat(F.lit("-"), department)).otherwise(department)
 
 
 def weekday_ordinal(weekday: Column) -> Column:
-    """Monday 0 to Sunday 6; null for any other text."""
+    """Monday 0 to Sunday 6; null stays null, any other text fails the query."""
     position = F.array_position(F.array(*[F.lit(day) for day in WEEKDAYS]), weekday)
-    return F.when(position > 0, position - 1).cast("int")
+    unknown = F.raise_error(F.concat(F.lit("unknown weekday: "), weekday)).cast("int")
+    return F.when(weekday.isNull(), F.lit(None).cast("int")).when(position > 0, (position - 1).cast("int")).otherwise(unknown)
 
 
 def is_mon_to_fri(ordinal: Column) -> Column:

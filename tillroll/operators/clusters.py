@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +16,16 @@ from tillroll.session import checkpoint
 def department_vectors(purchases: DataFrame, departments: Sequence[str]) -> DataFrame:
     """(visit_number, vector): unscaled purchase sums in the order of ``departments``.
 
-    Departments a visit did not buy are 0, also those that never occur.
+    Departments a visit did not buy are 0, also those that never occur; ones outside the
+    list are left out. A vector is sparse where that is smaller.
     """
-    entry = F.when(F.col("department").isNotNull(), F.struct("department", "value"))
-    sums = purchases.groupBy("visit_number").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("sums")
-    )
-    # One look through the visit's own few entries per department.
-    cells = F.transform(
-        F.array(*map(F.lit, departments)),
-        lambda department: F.coalesce(F.try_element_at("sums", department), F.lit(0)).cast("double"),
-    )
-    return sums.select("visit_number", array_to_vector(cells).alias("vector"))
+    # Pivoted by place, as a name may be no good as a column.
+    place = F.array_position(F.array(*map(F.lit, departments)), F.col("department"))
+    places = list(range(1, len(departments) + 1))
+    wide = purchases.withColumn("place", place).groupBy("visit_number").pivot("place", places).sum("value")
+    names = [str(p) for p in places]
+    cells = wide.fillna(0, subset=names)
+    return VectorAssembler(inputCols=names, outputCol="vector").transform(cells).select("visit_number", "vector")
 
 
 def points(purchases: DataFrame, departments: Sequence[str]) -> DataFrame:

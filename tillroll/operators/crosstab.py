@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.profile import grouped_histogram
+from tillroll.session import checkpoint
 
 
 def crosstab(rows: DataFrame, index: str, column: str) -> DataFrame:
@@ -18,7 +19,11 @@ def crosstab(rows: DataFrame, index: str, column: str) -> DataFrame:
 
 def wide_crosstab(rows: DataFrame, index: str, column: str, values: Sequence[str]) -> DataFrame:
     """One row per index value, one count column per given value, 0 where a pair is absent."""
-    cells = crosstab(rows, index, column).groupBy(index).pivot(column, list(values)).sum("n")
+    return _spread_out(crosstab(rows, index, column), index, column, values)
+
+
+def _spread_out(pairs: DataFrame, index: str, column: str, values: Sequence[str]) -> DataFrame:
+    cells = pairs.groupBy(index).pivot(column, list(values)).sum("n")
     return cells.fillna(0, subset=list(values))
 
 
@@ -44,6 +49,7 @@ def cell_histogram(
 
     Columns that never occur have no cells.
     """
-    cells = wide_crosstab(rows, index, column, values).unpivot([index], list(values), column, "cell")
-    occurring = crosstab(rows, index, column).select(column).distinct()
-    return grouped_histogram(cells.join(occurring, column, "left_semi"), column, "cell", bins)
+    pairs = checkpoint(crosstab(rows, index, column))  # a cell each: all that follows reads these
+    cells = _spread_out(pairs, index, column, values).unpivot([index], list(values), column, "cell")
+    occurring = pairs.select(column).distinct()
+    return grouped_histogram(checkpoint(cells.join(occurring, column, "left_semi")), column, "cell", bins)

@@ -127,6 +127,32 @@ def visit_facts(scans: DataFrame) -> DataFrame:
     )
 
 
+def visit_summary(scans: DataFrame) -> DataFrame:
+    """(visit_number, weekday, mon_to_fri, n_returns, has_returns, feature, value): the
+    department sums of a visit beside its returns and calendar, from one pass.
+
+    A visit's list holds one entry per signed department.
+    """
+    feature = signed_department(F.col("department"), F.col("scan_count"))
+    sums = scans.groupBy("visit_number", feature.alias("feature")).agg(
+        F.sum("scan_count").alias("value"),
+        F.count_if(F.col("scan_count") < 0).alias("n_returns"),
+        F.min(weekday_ordinal(F.col("weekday"))).alias("weekday"),
+    )
+    entry = F.when(F.col("feature").isNotNull(), F.struct("feature", "value"))
+    visits = sums.groupBy("visit_number").agg(
+        F.min("weekday").alias("weekday"), F.sum("n_returns").alias("n_returns"), F.collect_list(entry).alias("entries")
+    )
+    return visits.select(
+        "visit_number",
+        "weekday",
+        is_mon_to_fri(F.col("weekday")).alias("mon_to_fri"),
+        "n_returns",
+        (F.col("n_returns") > 0).cast("int").alias("has_returns"),
+        F.inline_outer("entries"),
+    )
+
+
 def _entry(family: int | Column, feature: Column, value: Column) -> Column:
     family = F.lit(family) if isinstance(family, int) else family
     return F.struct(
@@ -247,11 +273,11 @@ def wide(features: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
 def sparse_rows(features: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(visit_number, indices, values): non-zero values per visit in index order.
 
-    ``dictionary`` is a materialised (idx, feature) table. A visit has at most one entry
-    per term of it. Features outside the dictionary are left out; a visit with no entry
+    ``dictionary`` is a materialised (idx, family, feature) table. A visit has at most one
+    entry per term of it. Features outside the dictionary are left out; a visit with no entry
     keeps empty arrays.
     """
-    indexed = features.join(size_checked(dictionary), "feature", "left")
+    indexed = features.join(size_checked(dictionary), ["family", "feature"], "left")
     used = F.col("idx").isNotNull() & (F.col("value") != 0)
     entries = F.sort_array(F.collect_list(F.when(used, F.struct("idx", "value"))))
     return (

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.constants import IGNORED_TRIP_TYPES, MIN_SUPPORT
 from tillroll.functions.scalars import label_item
-from tillroll.session import checkpoint, lookup, size_checked
+from tillroll.session import checkpoint, lookup
 
 SEPARATOR = ";"
 
@@ -43,41 +43,40 @@ def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
     ``min_support`` of all baskets. Equal to mining with the label as one more item.
 
     Sets grow by one department per round, to the right in sorted order, and only from
-    frequent ones. Each round is one map-side pass over the distinct baskets: what is
-    shuffled are counts per candidate set, and those do not grow with the visits. So it
-    parallelises over baskets rather than over the few dozen departments, and a basket
-    many visits share is expanded once.
+    frequent ones. A round counts the extensions of each set, keeps the frequent ones, and
+    strikes all other departments from the baskets of that set before they grow: what is
+    not frequent with a set is not with a larger one. The pruned baskets are materialised,
+    so a round costs its own rows and no earlier round. What is shuffled are counts per
+    candidate set, which combine first; a basket many visits share is expanded once.
     """
     patterns = checkpoint(baskets.groupBy("trip_type", "departments").agg(F.count("*").alias("n")))
     n_baskets = patterns.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(1, math.ceil(min_support * n_baskets))
-
-    def frequent(grown):
-        counts = grown.groupBy("trip_type", "items").agg(F.sum("n").alias("freq"))
-        return checkpoint(counts.where(F.col("freq") >= least))
-
-    grown = _extend(_frequent_departments(patterns, frequent))
+    grown = patterns.select(
+        "trip_type", "n", F.slice("departments", 1, 0).alias("items"), F.col("departments").alias("rest")
+    )
     found = []
     while True:
-        grown = _extend(grown)
-        sets = frequent(grown)
-        if sets.isEmpty():
+        added = _frequent_extensions(grown, least)
+        sets = added.select("trip_type", F.concat("items", F.array("department")).alias("items"), "freq")
+        if added.isEmpty():
             break
         found.append(sets)
-        keys = size_checked(sets.select("trip_type", "items"))
-        grown = grown.join(keys, ["trip_type", "items"], "left_semi")
-    return reduce(DataFrame.unionAll, found or [sets])
+        grown = checkpoint(_extend(_pruned(grown, added)).where(F.size("rest") > 0))
+    return reduce(DataFrame.unionAll, found[1:] or [sets.where(F.size("items") > 1)])
 
 
-def _frequent_departments(patterns: DataFrame, frequent) -> DataFrame:
-    # The empty set of each basket, with the departments that can still be added.
-    start = patterns.select(
-        "trip_type", "n", F.slice("departments", 1, 0).alias("items"), F.col("departments").alias("rest")
-    )
-    singles = frequent(_extend(start))
-    usable = singles.groupBy("trip_type").agg(F.collect_list(F.col("items")[0]).alias("usable"))
-    pruned = start.join(lookup(usable), "trip_type").withColumn("rest", F.array_intersect("rest", "usable"))
-    return pruned.where(F.size("rest") >= 2).select("trip_type", "n", "items", "rest")
+def _frequent_extensions(grown: DataFrame, least: int) -> DataFrame:
+    # (trip_type, items, department, freq) of the departments that may follow a set.
+    each = grown.select("trip_type", "items", "n", F.explode("rest").alias("department"))
+    counts = each.groupBy("trip_type", "items", "department").agg(F.sum("n").alias("freq"))
+    return checkpoint(counts.where(F.col("freq") >= least))
+
+
+def _pruned(grown: DataFrame, added: DataFrame) -> DataFrame:
+    usable = added.groupBy("trip_type", "items").agg(F.collect_list("department").alias("usable"))
+    kept = grown.join(lookup(usable), ["trip_type", "items"])
+    return kept.withColumn("rest", F.array_intersect("rest", "usable")).drop("usable")
 
 
 def _extend(grown: DataFrame) -> DataFrame:

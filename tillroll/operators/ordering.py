@@ -25,12 +25,18 @@ def running_total(
         .limit(buckets - 1)
         .agg(F.sort_array(F.collect_list("_order")).alias("cuts"))
     )
-    reached = F.filter("_cuts", lambda cut: cut <= F.col("_order"))
+    # Two steps: among every sixteenth cut, then among the sixteen behind it.
+    step = 16
+    coarse = F.filter("_coarse", lambda cut: cut <= F.col("_order"))
+    near = F.slice("_cuts", F.greatest(F.size(coarse) - 1, F.lit(0)) * step + 1, F.lit(step))
+    reached = F.filter(near, lambda cut: cut <= F.col("_order"))
+    passed = F.greatest(F.size(coarse) - 1, F.lit(0)) * step + F.size(reached)
     placed = (
         keyed.withColumn("_cuts", cuts.scalar())
-        .withColumn("_range", F.size(reached))
+        .withColumn("_coarse", F.filter("_cuts", lambda cut, n: n % step == 0))
+        .withColumn("_range", passed)
         .withColumn("_amount", amount)
-        .drop("_cuts")
+        .drop("_cuts", "_coarse")
     )
 
     sequence = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

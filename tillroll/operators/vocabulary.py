@@ -23,10 +23,6 @@ from tillroll.operators.features import (
 from tillroll.operators.ordering import running_total
 from tillroll.session import checkpoint, constants
 
-# Spark's own bound on the columns of a pivot.
-MAX_COLUMNS = 10_000
-
-
 def top_terms(rows: DataFrame, column: str, k: int) -> DataFrame:
     """(column, n): the ``k`` most frequent values; ties go to the smallest value."""
     counts = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
@@ -34,16 +30,12 @@ def top_terms(rows: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def column_terms(rows: DataFrame, column: str) -> list[str]:
-    """The sorted distinct values of a column that is to be spread over output columns.
+    """The sorted distinct values of a column whose values become columns.
 
-    Fails beyond the number of columns a pivot can have; such a vocabulary belongs in
-    the long or sparse form, which has no such bound.
+    For fitting such a vocabulary once; pivots and vectors take it as an argument.
     """
     terms = rows.where(F.col(column).isNotNull()).select(column).distinct()
-    found = [row[0] for row in terms.limit(MAX_COLUMNS + 1).collect()]
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"{column} has too many values for one column each")
-    return sorted(found)
+    return sorted(row[0] for row in terms.collect())
 
 
 def retail_categories(spark: SparkSession) -> DataFrame:
@@ -86,7 +78,9 @@ def feature_terms(
 
 
 def feature_dictionary(terms: DataFrame) -> DataFrame:
-    """(idx, feature): a dense index over distinct (family, feature) terms.
+    """(idx, family, feature): a dense index over distinct (family, feature) terms.
+
+    A name may be in several families, as of a department and a category; each has its index.
 
     Order: departments by name (returned ones first), finelines and UPCs by number,
     visit features, categories by name (return side last), fitted features.
@@ -100,4 +94,4 @@ def feature_dictionary(terms: DataFrame) -> DataFrame:
         .otherwise(F.lit(0))
     )
     ordered = running_total(checkpoint(terms), F.struct(family, rank, feature), F.lit(1).cast("bigint"))
-    return ordered.select(F.col("before").alias("idx"), "feature")
+    return ordered.select(F.col("before").alias("idx"), "family", "feature")

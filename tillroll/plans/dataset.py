@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml.clustering import KMeansModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.constants import IGNORED_TRIP_TYPES, MIN_SUPPORT, N_CLUSTERS, TOP_UPCS
+from tillroll.constants import IGNORED_TRIP_TYPES, MIN_SUPPORT, N_CLUSTERS, SAMPLE_VISITS, TOP_UPCS
 from tillroll.operators import clusters, features, itemsets, split, vocabulary
 from tillroll.session import checkpoint, prepare
 from tillroll.sources import scanlog, sinks
@@ -23,63 +25,104 @@ def build(
     top_upcs: int = TOP_UPCS,
     n_clusters: int = N_CLUSTERS,
     seed: int = 0,
-) -> None:
-    """Fit everything on ``train`` and write features of both logs under ``out``.
+    departments: Sequence[str] | None = None,
+    upcs: DataFrame | None = None,
+    dictionary: DataFrame | None = None,
+) -> Fitted:
+    """Fit on ``train`` what is not given, and write features of both logs under ``out``.
 
-    ``out`` is a folder all executors share. Vocabularies, itemsets and clusters are
-    fitted on the training log only. Written are
+    ``out`` is a folder all executors share. UPCs, itemsets, departments of the vectors and
+    clusters come from the training log. The dictionary holds the departments and
+    finelines of both logs, unless a frozen one is given: then other features are left out.
+    Written are
 
     - ``visit_features``, ``itemset_table``, ``train_matrix``, ``test_matrix``: Parquet,
     - ``itemsets``: text lines,
     - ``features``, ``labels``, ``test_ids``: CSV,
     - ``train``, ``test``: dense gzipped CSV in the order of ``labels`` and ``test_ids``.
+
+    What was fitted is returned, for :func:`apply` on later logs.
     """
     spark = prepare(train.sparkSession)
     both = scanlog.union_inputs(train, test)
-    upcs = checkpoint(vocabulary.top_terms(train, "upc", top_upcs))
+    upcs = checkpoint(vocabulary.top_terms(train, "upc", top_upcs)) if upcs is None else upcs
 
     # The one pass over all columns of both logs; what follows reads the written table.
     features.visit_features(both, categories, upcs).write.mode("overwrite").parquet(f"{out}/visit_features")
     base = spark.read.parquet(f"{out}/visit_features")
-    bought = F.when(F.col("family") == features.PURCHASED, F.col("feature"))
-    purchases = base.select("visit_number", bought.alias("department"), "value")
 
     mined = itemsets.mine(itemsets.transactions(train, ignored), min_support)
     mined.write.mode("overwrite").parquet(f"{out}/itemset_table")
     sets = spark.read.parquet(f"{out}/itemset_table")
     sinks.write_itemsets(sets, f"{out}/itemsets")
 
-    departments = vocabulary.column_terms(train, "department")
-    vectors = clusters.points(purchases, departments)
+    departments = vocabulary.column_terms(train, "department") if departments is None else departments
+    vectors = clusters.points(_purchases(base), departments)
     model = clusters.train_clusters(split.of_visits(vectors, train), n_clusters, seed)
 
-    summed = F.col("family").isin(features.RETURNED, features.PURCHASED, features.FINELINE)
-    occurring = base.where(summed).select("family", "feature").distinct()
-    terms = vocabulary.feature_terms(occurring, categories, upcs, features.FITTED_FEATURES)
-    dictionary = checkpoint(vocabulary.feature_dictionary(terms))
+    if dictionary is None:
+        summed = F.col("family").isin(features.RETURNED, features.PURCHASED, features.FINELINE)
+        occurring = base.where(summed).select("family", "feature").distinct()
+        terms = vocabulary.feature_terms(occurring, categories, upcs, features.FITTED_FEATURES)
+        dictionary = checkpoint(vocabulary.feature_dictionary(terms))
     sinks.write_columns(dictionary.orderBy("idx"), f"{out}/features")
 
-    item_sets = itemsets.match(purchases, sets)
-    assigned = clusters.assign_clusters(model, vectors)
+    fitted = Fitted(categories, upcs, sets, departments, model, dictionary)
+    matrix = checkpoint(_matrix(base, vectors, fitted))
+    labelled = matrix.join(features.extract_labels(train), "visit_number")
+    written = _write_part(split.shuffled(labelled, seed), dictionary, f"{out}/train")
+    sinks.write_columns(written.select("visit_number", "trip_type"), f"{out}/labels")
+    written = _write_part(split.of_visits(matrix, test).orderBy("visit_number"), dictionary, f"{out}/test")
+    sinks.write_columns(written.select("visit_number"), f"{out}/test_ids")
+    return fitted
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """Everything a later log needs to get the columns of the first one."""
+
+    categories: DataFrame
+    upcs: DataFrame
+    itemsets: DataFrame
+    departments: Sequence[str]
+    model: KMeansModel
+    dictionary: DataFrame
+
+
+def apply(log: DataFrame, fitted: Fitted) -> DataFrame:
+    """(visit_number, indices, values) of a log over what was fitted before; nothing is refitted."""
+    base = checkpoint(features.visit_features(scanlog.with_label(log), fitted.categories, fitted.upcs))
+    return _matrix(base, clusters.points(_purchases(base), fitted.departments), fitted)
+
+
+def run(spark: SparkSession, source: str, out: str, categories: DataFrame, mini: bool = False, **settings) -> Fitted:
+    """From ``source``/train.csv and test.csv to the files of :func:`build`.
+
+    ``mini`` takes the first SAMPLE_VISITS visits of each log, for development.
+    """
+    logs = [scanlog.read_scans(spark, f"{source}/{part}.csv") for part in ("train", "test")]
+    if mini:
+        logs = [scanlog.sample_visits(log, SAMPLE_VISITS) for log in logs]
+    return build(*logs, out, categories, **settings)
+
+
+def _purchases(base: DataFrame) -> DataFrame:
+    bought = F.when(F.col("family") == features.PURCHASED, F.col("feature"))
+    return base.select("visit_number", bought.alias("department"), "value")
+
+
+def _matrix(base: DataFrame, vectors: DataFrame, fitted: Fitted) -> DataFrame:
+    item_sets = itemsets.match(_purchases(base), fitted.itemsets)
+    assigned = clusters.assign_clusters(fitted.model, vectors)
     full = base.unionByName(
         features.fitted_feature(item_sets, "item_set", features.ITEM_SET)
     ).unionByName(features.fitted_feature(assigned, "cluster", features.DEPT_CATEGORY))
-    matrix = checkpoint(features.sparse_rows(full, dictionary))
+    return features.sparse_rows(full, fitted.dictionary)
 
-    labelled = matrix.join(features.extract_labels(train), "visit_number")
-    _write_part(split.shuffled(labelled, seed), dictionary, f"{out}/train")
-    _write_part(split.of_visits(matrix, test).orderBy("visit_number"), dictionary, f"{out}/test")
-
-    sinks.write_columns(
-        spark.read.parquet(f"{out}/train_matrix")
-        .orderBy("shuffle_key", "visit_number")
-        .select("visit_number", "trip_type"),
-        f"{out}/labels",
-    )
-    test_ids = spark.read.parquet(f"{out}/test_matrix").select("visit_number")
-    sinks.write_columns(test_ids.orderBy("visit_number"), f"{out}/test_ids")
-
-
-def _write_part(rows: DataFrame, dictionary: DataFrame, path: str) -> None:
-    sinks.write_sparse(rows, f"{path}_matrix")
-    sinks.write_dense(rows, dictionary, path)
+
+def _write_part(rows: DataFrame, dictionary: DataFrame, path: str) -> DataFrame:
+    # Sorted once: all forms are written from the materialised order.
+    ordered = checkpoint(rows)
+    sinks.write_sparse(ordered, f"{path}_matrix")
+    sinks.write_dense(ordered, dictionary, path)
+    return ordered

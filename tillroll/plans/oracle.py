@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from tillroll.constants import MIN_SUPPORT, SAMPLE_VISITS, TOP_UPCS, WEEKDAYS
-from tillroll.plans.queries import ALL_COLUMNS, BINS, IGNORED, PROFILED, UPC_VOCABULARY, VISIT
+from tillroll.plans.queries import (
+    ALL_COLUMNS,
+    BINS,
+    DEPARTMENTS,
+    FEW_UPCS,
+    IGNORED,
+    PROFILED,
+    SIGNED_DEPARTMENTS,
+    VISIT,
+)
 
 SCANS = """scans as (
     select l_orderkey as visit_number,
@@ -25,9 +34,13 @@ SIGNED = "case when scan_count < 0 then '-' || department else department end"
 ORDINAL = "array_position([{}], weekday) - 1".format(", ".join(f"'{d}'" for d in WEEKDAYS))
 ALL = ", ".join(ALL_COLUMNS)
 
-_TOP_UPCS = f"""upcs as (
-    select upc from scans where upc is not null group by upc order by count(*) desc, upc limit {UPC_VOCABULARY}
+_TOP_UPCS, _FEW_UPCS = (
+    f"""upcs as (
+    select upc from scans where upc is not null and status <> 'O'
+    group by upc order by count(*) desc, upc limit {k}
 )"""
+    for k in (TOP_UPCS, FEW_UPCS)
+)
 
 _CATEGORIES = """categories as (
     select department, unnest(list_distinct(string_split(department, ' '))) as category
@@ -46,18 +59,28 @@ _CATEGORY_ROWS = (
     f"select visit_number, {_SIGNED_CATEGORY} as feature, scan_count from scans join categories using (department)"
 )
 
+_FAMILIES = " union all ".join(
+    [
+        f"select *, case when scan_count < 0 then 0 else 1 end as family from ({_DEPARTMENT_ROWS})",
+        f"select *, 2 from ({_FINELINE_ROWS})",
+        f"select *, 3 from ({_UPC_ROWS})",
+        f"select *, 5 from ({_CATEGORY_ROWS})",
+    ]
+)
+
 _FEATURES = f"""features as (
-    {_SUMS.format(rows=" union all ".join([_DEPARTMENT_ROWS, _FINELINE_ROWS, _UPC_ROWS, _CATEGORY_ROWS]))}
+    select visit_number, family, feature, cast(sum(scan_count) as bigint) as value
+    from ({_FAMILIES}) as named where feature is not null group by visit_number, family, feature
     union all
-    select visit_number, 'Returns', count(*) filter (where scan_count < 0) from scans group by visit_number
+    select visit_number, 4, 'Returns', count(*) filter (where scan_count < 0) from scans group by visit_number
     union all
-    select visit_number, 'Weekday', cast(min({ORDINAL}) as bigint) from scans group by visit_number
+    select visit_number, 4, 'Weekday', cast(min({ORDINAL}) as bigint) from scans group by visit_number
     union all
-    select visit_number, 'Mon_To_Fri', cast(min({ORDINAL}) < 5 as bigint) from scans group by visit_number
+    select visit_number, 4, 'Mon_To_Fri', cast(min({ORDINAL}) < 5 as bigint) from scans group by visit_number
 )"""
 
 _DICTIONARY = f"""dictionary as (
-    select row_number() over (order by family, rank, feature) - 1 as idx, feature
+    select row_number() over (order by family, rank, feature) - 1 as idx, family, feature
     from (
         select distinct case when scan_count < 0 then 0 else 1 end as family, 0 as rank, {SIGNED} as feature
         from scans where department is not null
@@ -71,10 +94,13 @@ _DICTIONARY = f"""dictionary as (
         select distinct 5, 0, category from categories
         union all
         select distinct 5, 1, '-' || category from categories
+        {{fitted}}
     ) as terms
 )"""
+_FITTED_DICTIONARY = _DICTIONARY.format(fitted="union all select 6, 4, 'ItemSet'")
+_DICTIONARY = _DICTIONARY.format(fitted="")
 
-_LABELLED = f"scans where trip_type not in ({', '.join(map(str, IGNORED))})"
+_LABELLED = f"scans where status <> 'O' and trip_type not in ({', '.join(map(str, IGNORED))})"
 
 # Every subset of the departments of a visit, grown in sorted order.
 _ITEMSETS = f"""least as (
@@ -121,6 +147,12 @@ answer as (
 )"""
 
 
+_PACKED = """select visit_number,
+    coalesce(string_agg(idx, ';' order by idx) filter (where value <> 0), '') as indices,
+    coalesce(string_agg(value, ';' order by idx) filter (where value <> 0), '') as values
+from {rows} join dictionary using (family, feature) group by visit_number"""
+
+
 def _with(*ctes: str, select: str, recursive: bool = False) -> str:
     return f"with {'recursive ' if recursive else ''}{', '.join((SCANS, *ctes))}\n{select}"
 
@@ -197,7 +229,30 @@ def _split(status: str) -> str:
     )
 
 
+def _matrix(status: str) -> str:
+    return _mined(
+        _PACKED.format(rows="whole"),
+        _MATCH,
+        _TOP_UPCS,
+        _CATEGORIES,
+        _FEATURES,
+        _FITTED_DICTIONARY,
+        f"""whole as (
+            select * from (
+                select * from features union all select visit_number, 6, 'ItemSet', item_set from answer
+            ) where visit_number in (select visit_number from scans where status {status})
+        )""",
+    )
+
+
 _WEEKDAY_COLUMNS = ", ".join(f"count(*) filter (where weekday = '{d}') as \"{d}\"" for d in WEEKDAYS)
+_PIVOT_COLUMNS = ", ".join(
+    f"cast(coalesce(sum(value) filter (where feature = '{d}'), 0) as bigint) as \"{d}\"" for d in SIGNED_DEPARTMENTS
+)
+_VECTOR = ", ".join(
+    f"cast(coalesce(sum(scan_count) filter (where department = '{d}' and scan_count >= 0), 0) as bigint)"
+    for d in DEPARTMENTS
+)
 _MISSING = "{} is null and department is not null"
 
 ORACLE_SQL: dict[str, str] = {
@@ -288,16 +343,17 @@ ORACLE_SQL: dict[str, str] = {
                    cast(count(*) filter (where scan_count < 0) > 0 as int) as has_returns
             from scans group by visit_number
         )""",
-        select="select * from facts left join sums using (visit_number)",
+        select="""select visit_number, weekday, mon_to_fri, n_returns, has_returns, feature, value
+        from facts left join sums using (visit_number)""",
     ),
     "department_sums": _with(select=_SUMS.format(rows=_DEPARTMENT_ROWS)),
     "department_pivot": _with(
         f"sums as ({_SUMS.format(rows=_DEPARTMENT_ROWS)})",
-        select="""select visit_number, coalesce(columns(* exclude (visit_number)), 0)
-        from (pivot sums on feature using sum(value)::bigint group by visit_number) as wide""",
+        select=f"select visit_number, {_PIVOT_COLUMNS} from sums group by visit_number",
     ),
     "fineline_sums": _with(select=_SUMS.format(rows=_FINELINE_ROWS)),
     "upc_sums": _with(_TOP_UPCS, select=_SUMS.format(rows=_UPC_ROWS)),
+    "upc_sums_few": _with(_FEW_UPCS, select=_SUMS.format(rows=_UPC_ROWS)),
     "category_sums": _with(_CATEGORIES, select=_SUMS.format(rows=_CATEGORY_ROWS)),
     "visit_dept_mean": _mean("department"),
     "visit_fineline_mean": _mean("fineline"),
@@ -308,17 +364,16 @@ ORACLE_SQL: dict[str, str] = {
             union all select visit_number, 'Weekday', {ORDINAL} from scans
         ) as named where feature is not null group by visit_number, feature"""
     ),
-    "visit_features": _with(_TOP_UPCS, _CATEGORIES, _FEATURES, select="select * from features"),
+    "visit_features": _with(
+        _TOP_UPCS, _CATEGORIES, _FEATURES, select="select visit_number, feature, value from features"
+    ),
     "feature_dictionary": _with(_TOP_UPCS, _CATEGORIES, _DICTIONARY, select="select * from dictionary"),
     "sparse_rows": _with(
         _TOP_UPCS,
         _CATEGORIES,
         _FEATURES,
         _DICTIONARY,
-        select="""select visit_number,
-        coalesce(string_agg(idx, ';' order by idx) filter (where value <> 0), '') as indices,
-        coalesce(string_agg(value, ';' order by idx) filter (where value <> 0), '') as values
-        from features join dictionary using (feature) group by visit_number""",
+        select=_PACKED.format(rows="features"),
     ),
     "dense_rows": _with(
         _TOP_UPCS,
@@ -326,7 +381,7 @@ ORACLE_SQL: dict[str, str] = {
         _FEATURES,
         _DICTIONARY,
         "filled as (select visit_number, map(list(idx), list(value)) as cells "
-        "from features join dictionary using (feature) group by visit_number)",
+        "from features join dictionary using (family, feature) group by visit_number)",
         select="""select visit_number, array_to_string(list_transform(
             range((select count(*) from dictionary)), lambda i: coalesce(cells[i], 0)), ',') as line from filled""",
     ),
@@ -344,6 +399,11 @@ ORACLE_SQL: dict[str, str] = {
     "itemset_trip_types": _mined("select trip_type, count(*) as n_itemsets from itemsets group by trip_type"),
     "itemset_match": _mined("select * from answer", _MATCH),
     "itemset_match_counts": _mined("select item_set, count(*) as n from answer group by item_set", _MATCH),
+    "department_vectors": _with(
+        select=f"select visit_number, concat_ws(';', {_VECTOR}) as vector from scans group by visit_number"
+    ),
+    "train_matrix": _matrix("<> 'O'"),
+    "test_matrix": _matrix("= 'O'"),
     "split_train": _split("<> 'O'"),
     "split_test": _split("= 'O'"),
     "shuffled_train": _with(

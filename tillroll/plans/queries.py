@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +13,17 @@ from tillroll.operators import clusters, crosstab, features, itemsets, profile,
 from tillroll.session import checkpoint
 from tillroll.sources import scanlog, sinks, star
 
-# Parameters of the order tables. The UPC vocabulary is small enough to leave UPCs out
-# at the scale where results are checked.
+# Parameters of the order tables. The small UPC vocabulary leaves UPCs out at the scale
+# where results are checked.
 IGNORED = [5]
-UPC_VOCABULARY = 1000
+FEW_UPCS = 500
+# The department names of the part table, two words each, and both signs of them.
+DEPARTMENTS = [
+    f"{kind} {thing}"
+    for kind in "blue cold hot large new old red small".split()
+    for thing in "anvil bolt gear gizmo plate ring rod widget".split()
+]
+SIGNED_DEPARTMENTS = [f"-{name}" for name in DEPARTMENTS] + DEPARTMENTS
 BINS = 100
 VISIT = 8
 
@@ -31,19 +39,23 @@ def _on(columns: str, operator: Callable[..., DataFrame], *args, part: str | Non
     return lambda spark, folder: operator(star.scans(spark, folder, columns.split(), part), *args)
 
 
-def _upcs(spark: SparkSession, folder: str) -> DataFrame:
-    return vocabulary.top_terms(star.scans(spark, folder, ["upc"]), "upc", UPC_VOCABULARY)
+def _upcs(spark: SparkSession, folder: str, k: int = TOP_UPCS) -> DataFrame:
+    return vocabulary.top_terms(star.scans(spark, folder, ["upc"], "train"), "upc", k)
 
 
-def _features(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
-    rows = star.scans(spark, folder, FEATURE_COLUMNS, even=True)
+def _features(
+    spark: SparkSession, folder: str, upcs: DataFrame | None = None, part: str | None = None
+) -> DataFrame:
+    rows = star.scans(spark, folder, FEATURE_COLUMNS, part, even=True)
     return features.visit_features(rows, star.categories(spark, folder), upcs or _upcs(spark, folder))
 
 
-def _dictionary(spark: SparkSession, folder: str, upcs: DataFrame | None = None) -> DataFrame:
+def _dictionary(
+    spark: SparkSession, folder: str, upcs: DataFrame | None = None, fitted: Sequence[str] = ()
+) -> DataFrame:
     rows = star.scans(spark, folder, ["scan_count", "department", "fineline"])
     occurring = vocabulary.occurring_terms(rows)
-    terms = vocabulary.feature_terms(occurring, star.categories(spark, folder), upcs or _upcs(spark, folder))
+    terms = vocabulary.feature_terms(occurring, star.categories(spark, folder), upcs or _upcs(spark, folder), fitted)
     return vocabulary.feature_dictionary(terms)
 
 
@@ -56,7 +68,7 @@ def _matrix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def _baskets(spark: SparkSession, folder: str) -> DataFrame:
     return itemsets.transactions(
-        star.scans(spark, folder, ["visit_number", "trip_type", "department"]), IGNORED
+        star.scans(spark, folder, ["visit_number", "trip_type", "department"], "train"), IGNORED
     )
 
 
@@ -64,8 +76,8 @@ def _itemsets(spark: SparkSession, folder: str) -> DataFrame:
     return itemsets.mine(_baskets(spark, folder), MIN_SUPPORT)
 
 
-def _purchases(spark: SparkSession, folder: str) -> DataFrame:
-    return features.purchases(star.scans(spark, folder, ["visit_number", "scan_count", "department"]))
+def _purchases(spark: SparkSession, folder: str, part: str | None = None) -> DataFrame:
+    return features.purchases(star.scans(spark, folder, ["visit_number", "scan_count", "department"], part))
 
 
 def _match(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,8 +107,7 @@ def _dense_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _department_pivot(spark: SparkSession, folder: str) -> DataFrame:
     rows = star.scans(spark, folder, ["visit_number", "scan_count", "department"])
-    signed = features.signed_departments(star.scans(spark, folder, ["scan_count", "department"]))
-    return features.wide(features.department_sums(rows), vocabulary.column_terms(signed, "department"))
+    return features.wide(features.department_sums(rows), SIGNED_DEPARTMENTS)
 
 
 def _both_inputs(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,9 +117,20 @@ def _both_inputs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _part_of(part: str) -> Query:
+    # Lines are restricted before any feature is made of them; a visit is in one part.
+    return lambda spark, folder: _long(_features(spark, folder, part=part))
+
+
+def _matrix_of(part: str) -> Query:
+    """The final matrix of a part: all features and the matched itemset, over one dictionary."""
+
     def query(spark, folder):
-        ids = star.scans(spark, folder, ["visit_number"], part)
-        return _long(split.of_visits(_features(spark, folder), ids))
+        upcs = checkpoint(_upcs(spark, folder))
+        dictionary = checkpoint(_dictionary(spark, folder, upcs, [features.ITEM_SET]))
+        matched = itemsets.match(_purchases(spark, folder, part), _itemsets(spark, folder))
+        item_sets = features.fitted_feature(matched, "item_set", features.ITEM_SET)
+        full = _features(spark, folder, upcs, part).unionByName(item_sets)
+        return _joined(features.sparse_rows(full, dictionary), "indices", "values")
 
     return query
 
@@ -119,13 +141,18 @@ def _shuffled_train(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _visit_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    departments = vocabulary.column_terms(star.scans(spark, folder, ["department"]), "department")
-    vectors = clusters.points(_purchases(spark, folder), departments)
+    vectors = clusters.points(_purchases(spark, folder), DEPARTMENTS)
     train = star.scans(spark, folder, ["visit_number"], "train")
     model = clusters.train_clusters(split.of_visits(vectors, train), N_CLUSTERS)
     return clusters.assign_clusters(model, vectors)
 
 
+def _department_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = clusters.department_vectors(_purchases(spark, folder), DEPARTMENTS)
+    sums = F.transform(vector_to_array("vector"), lambda value: value.cast("bigint"))
+    return _joined(vectors.select("visit_number", sums.alias("vector")), "vector")
+
+
 def _describe(rows: DataFrame) -> DataFrame:
     return _rounded(profile.describe(rows, "scan_count"), "mean", "std", *profile.QUARTILES)
 
@@ -133,7 +160,7 @@ def _describe(rows: DataFrame) -> DataFrame:
 def visit_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Department sums beside the returns and the calendar of their visit."""
     rows = star.scans(spark, folder, ["visit_number", "weekday", "scan_count", "department"])
-    return features.visit_facts(rows).join(features.department_sums(rows), "visit_number", "left")
+    return features.visit_summary(rows)
 
 
 QUERIES: dict[str, Query] = {
@@ -183,6 +210,9 @@ QUERIES: dict[str, Query] = {
     "upc_sums": lambda spark, folder: features.upc_sums(
         star.scans(spark, folder, ["visit_number", "upc", "scan_count"]), _upcs(spark, folder)
     ),
+    "upc_sums_few": lambda spark, folder: features.upc_sums(
+        star.scans(spark, folder, ["visit_number", "upc", "scan_count"]), _upcs(spark, folder, FEW_UPCS)
+    ),
     "category_sums": lambda spark, folder: features.category_sums(
         star.scans(spark, folder, ["visit_number", "scan_count", "department"]), star.categories(spark, folder)
     ),
@@ -210,8 +240,11 @@ QUERIES: dict[str, Query] = {
     "itemset_match": _match,
     "itemset_match_counts": lambda spark, folder: profile.value_counts(_match(spark, folder), "item_set"),
     # clusters, training and test sets
+    "department_vectors": _department_vectors,
     "visit_clusters": _visit_clusters,
     "split_train": _part_of("train"),
     "split_test": _part_of("test"),
     "shuffled_train": _shuffled_train,
+    "train_matrix": _matrix_of("train"),
+    "test_matrix": _matrix_of("test"),
 }

@@ -17,34 +17,36 @@ _DEFAULTS = {
 }
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Fill in the settings the operators rely on, where the session leaves them unset."""
+def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Fill in the settings the operators rely on, where the session leaves them unset.
+
+    Give the size of the input where it is known: shuffles then start with one partition
+    per ``advisoryPartitionSizeInBytes`` of it, however many cores there are.
+    """
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    _size_shuffles(spark)
+    _size_shuffles(spark, input_bytes)
     return spark
 
 
-def _size_shuffles(spark: SparkSession) -> None:
-    # 200 partitions are too few for a large cluster. Start from four per core and
-    # let adaptive execution merge the small ones.
+def _size_shuffles(spark: SparkSession, input_bytes: int | None) -> None:
+    # 200 partitions are too few for a large cluster. Start from the input, or else from
+    # four per core, and let adaptive execution merge the small ones.
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     chosen = (spark.conf.get(initial, None), spark.conf.get("spark.sql.shuffle.partitions", None))
     wanted = 4 * spark.sparkContext.defaultParallelism
+    if input_bytes is not None:
+        wanted = max(wanted, -(-input_bytes // in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")))
     if chosen == (None, None) and wanted > 200:
         spark.conf.set(initial, str(wanted))
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Redistribute a plain scan that comes in less than one split per two cores.
-
-    One gzipped file or one row group is read by one task, and all that follows up to the
-    next shuffle would run there too. A scan with enough splits is left alone. Give keys
-    that together are nearly unique.
+def spread(rows: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """Redistribute a scan that comes in few splits, such as one gzipped file, over
+    ``partitions``; None leaves it alone. Give keys that together are nearly unique.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if 2 * rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)
+    return rows if partitions is None else rows.repartition(partitions, *keys)
 
 
 def constants(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFrame:
@@ -54,12 +56,16 @@ def constants(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFr
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage there."""
+    """Write ``df`` to the shared checkpoint folder and cut its lineage there.
+
+    That is ``spark.checkpoint.dir``; on a cluster without it, a folder in the warehouse,
+    which all executors share; in local mode a temporary one.
+    """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = df.sparkSession.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tillroll-"))
     return df.checkpoint()
 
@@ -76,11 +82,11 @@ def size_checked(table: DataFrame) -> DataFrame:
     hint, so its joins shuffle (and split hot keys) instead.
     """
     size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(table) if size <= _broadcast_threshold(table.sparkSession) else table
+    return F.broadcast(table) if size <= in_bytes(table.sparkSession, "spark.sql.autoBroadcastJoinThreshold") else table
 
 
-def _broadcast_threshold(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
+def in_bytes(spark: SparkSession, setting: str) -> int:
+    text = spark.conf.get(setting).lower()
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
     digits = text.rstrip("ib").rstrip("kmg")
     unit = text[len(digits):].rstrip("ib")

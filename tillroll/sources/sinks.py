@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.itemsets import itemset_lines
@@ -41,17 +41,32 @@ def dense_lines(sparse: DataFrame, width: int) -> DataFrame:
     return sparse.withColumn("line", F.rtrim(text, F.lit(",")))
 
 
-def write_dense(sparse: DataFrame, dictionary: DataFrame, path: str) -> None:
+#: Columns a dense file may have: its header is one line that the driver holds.
+MAX_WIDTH = 100_000
+
+
+def column_names(dictionary: DataFrame) -> DataFrame:
+    """(idx, name): the features by name; one that several families have with its family's number."""
+    alone = F.count("*").over(Window.partitionBy("feature")) == 1
+    qualified = F.concat("feature", F.lit(" ("), F.col("family").cast("string"), F.lit(")"))
+    return dictionary.select("idx", F.when(alone, F.col("feature")).otherwise(qualified).alias("name"))
+
+
+def write_dense(sparse: DataFrame, dictionary: DataFrame, path: str, max_width: int = MAX_WIDTH) -> None:
     """Gzipped CSV of the full rows, with the dictionary as its header in every file.
 
-    The rows keep their order; the visit number is not written.
+    The rows keep their order; the visit number is not written. A dictionary beyond
+    ``max_width`` fails before anything is written.
     """
-    name = F.col("feature")
+    width = dictionary.count()
+    if width > max_width:
+        raise ValueError(f"{width} columns; write the sparse form or raise max_width")
+    name = F.col("name")
     quoted = F.when(
         name.rlike('[,"]'), F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
     ).otherwise(name)
     names = F.sort_array(F.collect_list(F.struct("idx", quoted.alias("name"))))
-    header, width = dictionary.agg(F.array_join(names["name"], ","), F.count("*")).first()
+    header = column_names(dictionary).agg(F.array_join(names["name"], ",")).first()[0]
     lines = dense_lines(sparse, width).select("line").toDF(header)
     # One ready-made column: nothing in it is to be quoted or escaped again.
     plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}

@@ -33,7 +33,8 @@ def scans(
 ) -> DataFrame:
     """The scan log; ``part`` is ``train`` (settled orders), ``test`` (open ones) or all.
 
-    ``even`` spreads lines that come in few splits, for queries that multiply them.
+    ``even`` spreads lines over as many partitions as the session sets in
+    ``tillroll.scan.partitions``, for queries that multiply them; unset, a scan stays as it is.
 
     Orders are joined last: what follows groups by visit, and the rows are then already
     partitioned by it.
@@ -42,7 +43,8 @@ def scans(
     wanted = set(columns)
     rows = table(spark, folder, "lineitem")
     if even:
-        rows = spread(rows, "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+        partitions = spark.conf.get("tillroll.scan.partitions", None)
+        rows = spread(rows, partitions and int(partitions), "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     if wanted & _FROM_PART:
         parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
         rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
