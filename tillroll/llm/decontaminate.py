@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import as_texts, slices, worker_cache
-from tillroll.llm.word_tokens import WordIds
+from tillroll.llm.common import as_texts, flat_ranges, slices
 from tillroll.session import checkpoint
 
 #: Words of a passage; passages overlap by half.
 PASSAGE = 48
 #: Columns of the random test matrix, and dimensions kept of the latent space.
-RANK = 96
+RANK = 128
 #: A passage is searched for if this share of its TF-IDF weight lies on benchmark terms.
-MIN_SHARE = 0.1
+MIN_SHARE = 0.12
 #: Cosine in the latent space from which an item is a candidate.
-MIN_COSINE = 0.4
+MIN_COSINE = 0.3
 #: Share of an item in the longest common subsequence: enough alone, and with the answer.
 SURE, LIKELY = 0.8, 0.5
+#: Share of an item's weight, by distinct terms, that must be there for either.
+MIN_WEIGHT = 0.5
 #: The answer of an item: its last words. It counts as found from this share on.
 ANSWER_WORDS, ANSWER_SHARE = 8, 0.75
 #: Items that are searched for in one scan, and bytes that a benchmark may have.
@@ -33,11 +33,12 @@ BLOCK, MAX_BENCHMARK = 1000, 64 << 20
 #: Weight of the items among the passages of the factorisation.
 ITEM_WEIGHT = 30.0
 
-_TERM = re.compile(r"\w+")
+# A-Z in lower case; what is neither letter, digit nor beyond ASCII separates terms.
+_PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def terms(text: str) -> list[str]:
-    return _TERM.findall(text.lower())
+def terms(text: str) -> list[bytes]:
+    return text.encode().translate(_PLAIN).split()
 
 
 @dataclass
@@ -46,35 +47,27 @@ class Index:
 
     item_ids: list[int]
     items: list[np.ndarray]
-    vocabulary: dict[str, int]
-    name: str
+    vocabulary: dict[bytes, int]
+    weights: list[dict[int, float]] = field(default_factory=list)
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
 
 
 def new_index(rows: list[tuple[int, str]]) -> Index:
-    vocabulary: dict[str, int] = {}
+    vocabulary: dict[bytes, int] = {}
     items = []
     for _, text in rows:
         items.append(np.array([vocabulary.setdefault(t, len(vocabulary) + 1) for t in terms(text)], np.int64))
-    name = hashlib.sha256(repr(rows).encode()).hexdigest()
-    return Index([i for i, _ in rows], items, vocabulary, name)
+    return Index([i for i, _ in rows], items, vocabulary)
 
 
-def _table(index: Index) -> WordIds:
-    """The terms of words, of this worker and block."""
-    cache = worker_cache()
-    if cache.get("benchmark") != index.name:
-        find = index.vocabulary.get
-
-        def encoder(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            each = [[find(t, 0) for t in terms(word)] for word in words]
-            lengths = np.fromiter(map(len, each), np.int64, len(each))
-            return lengths, np.fromiter((t for one in each for t in one), np.int32, int(lengths.sum()))
-
-        cache["benchmark"], cache["benchmark table"] = index.name, WordIds(encoder)
-    return cache["benchmark table"]
+def _term_ids(index: Index, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of terms of each text, and the ids of all of them."""
+    each = [terms(text) for text in texts]
+    lengths = np.fromiter(map(len, each), np.int64, len(each))
+    found = map(index.vocabulary.get, chain.from_iterable(each), repeat(0))
+    return lengths, np.fromiter(found, np.int32, int(lengths.sum()))
 
 
 def _halves(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,26 +94,29 @@ def sketch(docs: DataFrame, index: Index) -> tuple[int, np.ndarray, np.ndarray]:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        table, test = _table(index), _test_matrix(index)
+        test = _test_matrix(index)
         width = len(index.vocabulary) + 1
         seen, product, n = np.zeros(width, np.int64), np.zeros(test.shape, np.float64), 0
         for batch in batches:
             texts = as_texts(batch.column("text"))
             n += len(texts)
             for part in slices(texts, 1 << 18):
-                lengths, ids = table.of([t.split() for t in texts[part]])
-                owner = np.repeat(np.arange(len(lengths)), lengths)
-                seen += np.bincount(np.unique(owner * width + ids) % width, minlength=width)
-                starts, _ = _halves(lengths)
-                passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids)))) // 2
+                lengths, ids = _term_ids(index, texts[part])
                 at = np.flatnonzero(ids)
                 if not len(at):
                     continue
-                term, (_, first, row) = ids[at], np.unique(passage[at], return_index=True, return_inverse=True)
+                term, owner = ids[at].astype(np.int64), np.searchsorted(np.cumsum(lengths), at, "right")
+                order = np.lexsort((owner, term))
+                term_sorted, owner_sorted = term[order], owner[order]
+                fresh = np.append(True, (term_sorted[1:] != term_sorted[:-1]) | (owner_sorted[1:] != owner_sorted[:-1]))
+                seen += np.bincount(term_sorted[fresh], minlength=width)
+                # Passages that do not overlap, numbered through all texts.
+                passage = (at - (np.cumsum(lengths) - lengths)[owner]) // PASSAGE + (owner << 32)
+                first = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+                row = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
                 sums = np.add.reduceat(test[term], first, axis=0)
-                order = np.argsort(term, kind="stable")
-                some, starts = np.unique(term[order], return_index=True)
-                product[some] += np.add.reduceat(sums[row[order]], starts, axis=0)
+                some = np.flatnonzero(np.append(True, term_sorted[1:] != term_sorted[:-1]))
+                product[term_sorted[some]] += np.add.reduceat(sums[row[order]], some, axis=0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(width)), pa.array(seen), pa.array(np.full(width, n)), pa.array(list(product), pa.list_(pa.float64()))],
             ["term", "seen", "n", "row"],
@@ -141,6 +137,7 @@ def factorise(index: Index, n_docs: int, seen: np.ndarray, product: np.ndarray)
     test matrix D^-1 T, from which the Nystroem form of the randomised decomposition
     gives A's right singular vectors.
     """
+    n_docs = max(n_docs, 1)
     idf = np.log1p(n_docs / (1.0 + seen))
     idf[0] = np.log1p(n_docs)  # terms outside the block: as rare as can be
     test = _test_matrix(index) / idf[:, None]
@@ -158,6 +155,9 @@ def factorise(index: Index, n_docs: int, seen: np.ndarray, product: np.ndarray)
     basis = np.linalg.svd(root, full_matrices=False)[0] if kept.any() else np.zeros((len(idf), 1))
     latent = items @ basis
     latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    for item in index.items:
+        own = np.unique(item)
+        index.weights.append(dict(zip(own.tolist(), (idf[own] / idf[own].sum()).tolist())))
     index.idf, index.latent = idf.astype(np.float32), latent.astype(np.float32)
     index.basis = (idf[:, None] * basis).astype(np.float32)
     index.basis[0] = 0
@@ -192,26 +192,30 @@ def _matches(index: Index, lengths: np.ndarray, ids: np.ndarray) -> Iterator[tup
     whole = halves.copy()
     whole[:, :-1] += np.where(follows[:-1], halves[:, 1:], 0)
     near = np.flatnonzero((follows | single) & (whole[1] >= MIN_SHARE * whole[0]))
-    text_starts = np.cumsum(lengths) - lengths
+    if not len(near):
+        return
+    text_ends = np.cumsum(lengths)
+    begins, ends = starts[near], np.minimum(starts[near] + PASSAGE, text_ends[owner[near]])
+    sizes = ends - begins
+    vectors = np.add.reduceat(index.basis[ids[flat_ranges(begins, sizes)]], np.cumsum(sizes) - sizes, axis=0)
+    cosines = vectors @ index.latent.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-    for h in near.tolist():
-        text = int(owner[h])
-        begin, end = int(starts[h]), int(min(starts[h] + PASSAGE, text_starts[text] + lengths[text]))
-        vector = index.basis[ids[begin:end]].sum(axis=0)
-        cosines = index.latent @ vector / max(float(np.linalg.norm(vector)), 1e-12)
-        for item in np.flatnonzero(cosines >= MIN_COSINE).tolist():
-            wanted = index.items[item]
-            # An item may begin before the passage and end behind it.
-            low = max(int(text_starts[text]), begin - len(wanted))
-            words = ids[low : min(end + len(wanted), int(text_starts[text] + lengths[text]))]
-            share = common_subsequence(wanted, words) / len(wanted)
-            if share < LIKELY:
-                continue
-            answer = wanted[-ANSWER_WORDS:]
-            answered = common_subsequence(answer, words) >= ANSWER_SHARE * len(answer)
-            if share >= SURE or answered:
-                found = (share, float(cosines[item]), answered)
-                best[text, item] = max(best.get((text, item), found), found)
+    for k, item in np.argwhere(cosines >= MIN_COSINE).tolist():
+        text, wanted = int(owner[near[k]]), index.items[item]
+        # An item may begin before the passage and end behind it.
+        low = max(int(text_ends[text] - lengths[text]), int(begins[k]) - len(wanted))
+        words = ids[low : min(int(ends[k]) + len(wanted), int(text_ends[text]))]
+        here = set(words.tolist())
+        if sum(w for t, w in index.weights[item].items() if t in here) < MIN_WEIGHT:
+            continue
+        share = common_subsequence(wanted, words) / len(wanted)
+        if share < LIKELY:
+            continue
+        answer = wanted[-ANSWER_WORDS:]
+        answered = common_subsequence(answer, words) >= ANSWER_SHARE * len(answer)
+        if share >= SURE or answered:
+            found = (share, float(cosines[k, item]), answered)
+            best[text, item] = max(best.get((text, item), found), found)
     for (text, item), (share, cosine, answered) in sorted(best.items()):
         yield text, item, cosine, share, answered
 
@@ -233,7 +237,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     All texts are cut into passages of 48 words, half overlapping. A passage that lies
     near an item in the latent space is compared with it word by word: the pair counts if
     the longest common subsequence has four fifths of the item, or half of it and the
-    item's answer, its last words. One row per row of ``docs`` and item, at the best
+    item's answer, its last words; and half of the item's weight in either case, so that
+    frequent words alone do not make a match. One row per row of ``docs`` and item, at the best
     passage. Null, empty and short texts have the passages they can; repeated rows are
     found each; an empty table or benchmark gives no rows.
     """
@@ -252,12 +257,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        table = _table(index)
         for batch in batches:
             texts, doc_ids = as_texts(batch.column("text")), batch.column("doc_id").to_pylist()
             made = []
             for part in slices(texts, 1 << 18):
-                lengths, ids = table.of([t.split() for t in texts[part]])
+                lengths, ids = _term_ids(index, texts[part])
                 for text, item, *rest in _matches(index, lengths, ids):
                     made.append((doc_ids[part.start + text], index.item_ids[item], *rest))
             if made:
