@@ -32,8 +32,32 @@ def tokenizer(path: str):
 
 
 def encode(path: str, texts: list[str]) -> list[list[int]]:
-    """Ids of each text as the library gives them, without added special tokens."""
-    return [e.ids for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
+    """Ids of each text as the library gives them, without added special tokens.
+
+    Many words differ only in capitals or in the full stop or comma behind their letters.
+    The tokenizer lower-cases, and never merges letters with marks, so such words share
+    the ids of their letters, which a worker remembers.
+    """
+    if not texts:
+        return []
+    known = worker_cache().setdefault(("letters", path), {})
+    forms = [_letters(text) for text in texts]
+    new = {form for form, _ in forms} - known.keys()
+    if len(known) + len(new) > REMEMBERED:
+        known.clear()
+        new = {form for form, _ in forms}
+    new = [*new, *{mark for _, mark in forms if mark} - known.keys() - new]
+    known.update(zip(new, (e.ids for e in tokenizer(path).encode_batch_fast(new, add_special_tokens=False))))
+    return [known[form] + known[mark] if mark else known[form] for form, mark in forms]
+
+
+def _letters(word: str) -> tuple[str, str]:
+    """A word's letters in lower case and the mark behind them, or the word as it is and nothing."""
+    for letters, mark in ((word, ""), (word[:-1], word[-1:])):
+        # Up to here in Unicode, lower case is one letter for one, whatever stands around it.
+        if letters.isalpha() and max(letters) < "\u0130" and mark in ("", ".", ","):
+            return letters.lower(), mark
+    return word, ""
 
 
 def words(text: str) -> list[str]:
