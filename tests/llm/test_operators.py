@@ -144,7 +144,7 @@ def test_token_files(spark, docs):
         start += len(own)
 
 
-@pytest.mark.parametrize("n", [0, 1, 127, 128, 129, 4095, 4096, 4097, 20_000])
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 1023, 1024, 1025, 20_000])
 def test_range_coder_round_trips(n):
     rng = np.random.default_rng(n)
     for ids in (rng.integers(0, 49_409, n), rng.integers(0, 5, n), np.full(n, 7), np.arange(n)):
@@ -155,11 +155,11 @@ def test_range_coder_round_trips(n):
 def test_range_coder_learns_and_detects_damage():
     ids = np.tile(np.random.default_rng(0).integers(0, 49_409, 100), 160)
     sizes, crcs, payload = range_coder.compress(ids)
-    assert len(payload) * 8 < 2.5 * len(ids)  # 16 bits each without a model
+    assert len(payload) * 8 < 5 * len(ids)  # 16 bits each without a model
     # Blocks stand alone: the second decodes without the first.
-    words = np.cumsum(sizes) * 4
-    alone = range_coder.decompress(4096, sizes[1:2], crcs[1:2], payload[words[0] : words[1]])
-    assert (alone == ids[4096:8192]).all()
+    words, block = np.cumsum(sizes) * 4, range_coder.BLOCK
+    alone = range_coder.decompress(block, sizes[1:2], crcs[1:2], payload[words[0] : words[1]])
+    assert (alone == ids[block : 2 * block]).all()
     with pytest.raises(ValueError):
         range_coder.decompress(len(ids), sizes, crcs, payload[:400] + b"\1" + payload[401:])
 

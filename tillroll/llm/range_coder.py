@@ -18,15 +18,15 @@ import zlib
 import numpy as np
 
 #: Ids of a block, and positions at which its order-0 distribution is renewed.
-BLOCK = 4096
-RENEWALS = (128, 256, 512, 1024, 2048)
+BLOCK = 1024
+RENEWALS = (64, 128, 256, 512)
 #: Steps between renewals of the shares of the three orders.
 SHARE_STEPS = 128
 
 _U = np.uint64
 _WORD, _BOTTOM = _U(32), _U(1 << 32)
 #: Slots of an order-0 distribution, and entries of the tables of orders 1 and 2.
-_SLOTS, _ENTRIES = 4096, 4096
+_SLOTS, _ENTRIES = 4096, 1024
 #: What the proposals of orders 2 and 1 may take of the 2^16 parts of a step.
 _SHARED = 60_000
 #: Stands for an id that order 0 has not met.
@@ -86,11 +86,11 @@ class _Model:
 
     def _share(self) -> None:
         """Sets the shares of orders 2 and 1 for each pair of confidences, from what came true."""
-        for state, hit2, hit1 in self.history:
-            self.seen[0, state] += 1
-            self.seen[1, state] += hit2
-            self.seen[2, state] += hit1
-        self.history = []
+        if self.history:
+            state, hit2, hit1 = (np.concatenate(x) for x in zip(*self.history))
+            for row, some in enumerate((state, state[hit2], state[hit1])):
+                self.seen[row] += np.bincount(some, minlength=self.seen.shape[1])
+            self.history = []
         n, h2, h1 = self.seen.reshape(3, self.lanes, 2, 4, 4)  # same proposal, confidence of order 2, of order 1
         m2 = _SHARED * (h2 + 1) // (n + 2)
         m2[:, :, 0] = 0
@@ -112,10 +112,15 @@ class _Model:
         self.m2, self.m1 = self.share2[self.state], self.share1[self.state]
         self.rest = _U(65536) - self.m1
 
-    def interval(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of order-0 symbols in this step."""
-        start = (self.rest * (symbols & _U(0xFFFF))) >> _U(12)
-        return self.m1 + start, self.m1 + ((self.rest * (symbols >> _U(16) & _U(0xFFFF))) >> _U(12))
+    def interval(self, start: np.ndarray, end: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
+        """Start and end of this step's ids; ``start`` and ``end`` are slots of order 0."""
+        first = self.m1 + (self.rest * start >> _U(12))
+        last = self.m1 + (self.rest * end >> _U(12))
+        if len(at := np.flatnonzero(hit1)):
+            first[at], last[at] = self.m2[at], self.m1[at]
+        if len(at := np.flatnonzero(hit2)):
+            first[at], last[at] = 0, self.m2[at]
+        return first, last
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         self.history.append((self.state, hit2, hit1))
@@ -232,14 +237,12 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
             model.renew(block, start)
         columns = np.ascontiguousarray(block[:, start:stop].T, np.int32)
         symbols = np.ascontiguousarray(model.find(block[:, start:stop]).T)
-        for now, symbol, escape in zip(columns, symbols, symbols >> _WORD == _ESCAPE):
+        slots = zip(symbols & _U(0xFFFF), symbols >> _U(16) & _U(0xFFFF))
+        for now, (first, last), escape in zip(columns, slots, symbols >> _WORD == _ESCAPE):
             model.predict()
             hit2 = (now == model.p2) & (model.m2 > 0)
             hit1 = (now == model.p1) & (model.m1 > model.m2) & ~hit2
-            first, last = model.interval(symbol)
-            first = np.where(hit2, _U(0), np.where(hit1, model.m2, first))
-            last = np.where(hit2, model.m2, np.where(hit1, model.m1, last))
-            coder.put(first, last)
+            coder.put(*model.interval(first, last, hit2, hit1))
             if len(new := np.flatnonzero(escape & ~(hit2 | hit1))):
                 coder.put_some(new, now[new])
             model.learn(now, hit2, hit1)
@@ -268,11 +271,10 @@ def decompress(n: int, sizes: np.ndarray, crcs: np.ndarray, payload: bytes) -> n
         inner = np.where(below1, _U(0), value - model.m1)
         slot = ((inner + _U(1)) * _U(_SLOTS) - _U(1)) // model.rest
         symbol = table[slot_base + slot.astype(np.int64)]
-        first, last = model.interval(symbol)
-        first = np.where(hit2, _U(0), np.where(hit1, model.m2, first))
-        last = np.where(hit2, model.m2, np.where(hit1, model.m1, last))
-        coder.take(first, last)
-        now = np.where(hit2, model.p2, np.where(hit1, model.p1, (symbol >> _WORD).astype(np.int32)))
+        coder.take(*model.interval(symbol & _U(0xFFFF), symbol >> _U(16) & _U(0xFFFF), hit2, hit1))
+        now = (symbol >> _WORD).astype(np.int32)
+        if len(at := np.flatnonzero(below1)):
+            now[at] = np.where(hit2[at], model.p2[at], model.p1[at])
         if len(new := np.flatnonzero((now == _ESCAPE) & ~below1)):
             now[new] = coder.take_some(new)
         model.learn(now, hit2, hit1)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import as_texts, offsets, slices
 from tillroll.llm.range_coder import compress, decompress
 from tillroll.llm.word_tokens import VOCABULARY, word_ids, words
+from tillroll.session import lookup
 
 #: Id that ends every document.
 END = 1
@@ -103,7 +104,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per task that wrote
     parts = frames.groupBy("part").agg(F.sum("n_ids").alias("n"))
     starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    placed = frames.join(starts, "part")
+    placed = frames.join(lookup(starts), "part")  # small beside the frames: these need not move
     return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
