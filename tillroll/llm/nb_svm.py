@@ -18,7 +18,7 @@ from tillroll.session import checkpoint
 #: Hashed n-grams; the last ten stand for the share of repeated three-token windows.
 N_FEATURES = 1 << 18
 N_SHARES = 10
-#: Labelled documents that the linear model is fitted on: those of smallest hash.
+#: Labelled documents that a model is fitted on, about: a hash of their ids picks them.
 MAX_TRAINING = 20_000
 #: Smoothing of the class counts, cost of a violated margin, passes over the sample.
 ALPHA, COST, EPOCHS = 1.0, 1.0, 8
@@ -78,13 +78,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, label, features) of the documents that may be learned from.
+    """(doc_id, label, features) of the documents that are learned from.
 
+    They are a bounded sample of those that may be: of more than MAX_TRAINING the share
+    whose hashes are smallest. So their labels can be broadcast and no other text moves.
     Rows without id or label are left out; a document labelled twice takes the lower
-    label, and a document that comes twice is learned twice.
+    label, and one that comes twice is learned once, by its smallest text.
     """
     known = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("bigint"))
     known = known.agg(F.min(F.col("quality").cast("int")).alias("label")).where(~held_out(F.col("doc_id")))
+    share = min(1.0, MAX_TRAINING / max(known.count(), 1))
+    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).where(~held_out(F.col("doc_id")))
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -93,7 +97,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
             [rows.column("doc_id"), rows.column("label"), lists(lengths, found)], ["doc_id", "label", "features"]
         )
 
-    rows = texts.join(known, "doc_id").select("doc_id", "label", "text")
+    rows = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return rows.mapInArrow(over_batches(batch), "doc_id bigint, label int, features array<int>")
 
 
@@ -103,7 +107,7 @@ def _of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_count_ratios(training: DataFrame) -> np.ndarray:
-    """Per feature the log of its smoothed share among label 1 against label 0, over all of ``training``."""
+    """Per feature the log of its smoothed share among label 1 against label 0."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, N_FEATURES), np.int64)
@@ -154,8 +158,7 @@ def descend(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> n
 def fit(training: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
     """(ratios, weights) from materialised :func:`labelled` rows; None unless both labels occur.
 
-    The ratios count all rows. The linear model is fitted in one task on the MAX_TRAINING
-    rows of smallest hash, a bounded sample.
+    The rows are a bounded sample, so the linear model is fitted in one task.
     """
     if training.select("label").distinct().count() < 2:
         return None
@@ -173,8 +176,7 @@ def fit(training: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
         weights = descend(rows, np.array(labels), shared.value)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tolist()], pa.list_(pa.float64()))], ["weights"])
 
-    hashed = F.xxhash64("doc_id", "label")
-    sample = training.orderBy(hashed, "doc_id").limit(MAX_TRAINING).coalesce(1)
+    sample = training.repartition(1).sortWithinPartitions("doc_id")
     return ratios, np.array(sample.mapInArrow(solve, "weights array<double>").first()[0])
 
 
