@@ -141,5 +141,15 @@ def test_from_csv_to_files(spark, tmp_path):
     assert rows(spark.read.text(f"{out}/itemsets")) == rows(queries.QUERIES["itemset_lines"](spark, folder))
     _, labels = read_csv(f"{out}/labels/*.csv")
     assert sorted((int(v), int(t)) for v, t in labels) == sorted(rows(queries.QUERIES["trip_labels"](spark, folder)))
-    dataset.run(spark, f"{tmp_path}/in", f"{out}-mini", star.categories(spark, folder), mini=True, n_clusters=2)
-    assert spark.read.parquet(f"{out}-mini/test_matrix").count() > 0
+
+
+def test_mini_takes_whole_visits(spark, train, test_log, tmp_path, monkeypatch):
+    from tillroll.sources import scanlog
+
+    headers = {name: header for name, (header, _) in scanlog.SCAN_COLUMNS.items()}
+    for part, log in (("train", train), ("test", test_log)):
+        log.withColumnsRenamed(headers).write.option("header", True).csv(f"{tmp_path}/{part}.csv")
+    monkeypatch.setattr(dataset, "SAMPLE_VISITS", 1)
+    monkeypatch.setattr(dataset, "build", lambda first, second, *_: (first.count(), second.count()))
+    assert dataset.run(spark, str(tmp_path), "out", None, mini=True) == (3, 1)
+    assert dataset.run(spark, str(tmp_path), "out", None) == (9, 4)
