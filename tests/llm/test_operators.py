@@ -252,6 +252,26 @@ def test_latent_recall_against_brute_force(spark):
     assert len(found & exact) >= 0.9 * len(exact) and found <= planted
 
 
+def test_copies_are_found_however_large_or_common():
+    """One item in a third of the documents, and the same shares among 2,000 times as many."""
+    items = [(n, prose(100 + n, 40)) for n in range(20)]
+    filler = prose(7, 400).split()
+    texts = [" ".join(filler[n : n + 90]) + " " + (items[0][1] if n % 3 == 0 else "") + " " + " ".join(filler[n : n + 90]) for n in range(60)]
+    index = decontaminate.new_index(items)
+    lengths, ids = decontaminate._term_ids(index, texts)
+    seen = np.zeros(len(index.vocabulary) + 1, np.int64)
+    for part in np.split(ids, np.cumsum(lengths)[:-1]):
+        seen[np.unique(part[part > 0])] += 1
+    product = np.zeros((len(seen), decontaminate.RANK))
+    for part in np.split(ids, np.cumsum(lengths)[:-1]):
+        known = part[part > 0]
+        np.add.at(product, known, decontaminate._test_matrix(index)[known].sum(axis=0))
+    for scale in (1, 2000, 200000):
+        fitted = decontaminate.factorise(decontaminate.new_index(items), len(texts) * scale, seen * scale, product * scale)
+        found = {m[:2] for m in decontaminate._matches(fitted, lengths, ids)}
+        assert found == {(n, 0) for n in range(0, 60, 3)}
+
+
 # 5: preference pairs
 
 TURNS = [

@@ -18,8 +18,8 @@ from tillroll.session import checkpoint
 PASSAGE = 48
 #: Columns of the random test matrix, and dimensions kept of the latent space.
 RANK = 128
-#: A passage is searched for if this share of its TF-IDF weight lies on benchmark terms.
-MIN_SHARE = 0.12
+#: Share of an item's weight that its most frequent terms may hold to be left out of :func:`_demand`.
+FREQUENT = 0.4
 #: Cosine in the latent space from which an item is a candidate.
 MIN_COSINE = 0.3
 #: Share of an item in the longest common subsequence: enough alone, and with the answer.
@@ -52,6 +52,8 @@ class Index:
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    demand: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    shares: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
 
 def new_index(rows: list[tuple[int, str]]) -> Index:
@@ -139,7 +141,7 @@ def factorise(index: Index, n_docs: int, seen: np.ndarray, product: np.ndarray)
     """
     n_docs = max(n_docs, 1)
     idf = np.log1p(n_docs / (1.0 + seen))
-    idf[0] = np.log1p(n_docs)  # terms outside the block: as rare as can be
+    idf[0] = 1.0  # terms outside the block: no item has them, so they weigh nothing anywhere
     test = _test_matrix(index) / idf[:, None]
     counts = np.zeros((len(index.items), len(idf)))
     for row, item in zip(counts, index.items):
@@ -158,12 +160,36 @@ def factorise(index: Index, n_docs: int, seen: np.ndarray, product: np.ndarray)
     for item in index.items:
         own = np.unique(item)
         index.weights.append(dict(zip(own.tolist(), (idf[own] / idf[own].sum()).tolist())))
+    index.demand = _demand(index)
+    index.shares = np.zeros((len(idf), len(index.items)), np.float32)
+    for item, own in enumerate(index.weights):
+        index.shares[list(own), item] = list(own.values())
     index.idf, index.latent = idf.astype(np.float32), latent.astype(np.float32)
     index.basis = (idf[:, None] * basis).astype(np.float32)
     index.basis[0] = 0
     return index
 
 
+def _demand(index: Index) -> np.ndarray:
+    """Per term a number such that words which hold MIN_WEIGHT of any item sum up to 1 at least.
+
+    An item's most frequent terms, up to FREQUENT of its weight, are left out: the rest
+    of MIN_WEIGHT has to come from its other terms. A term counts for the item that it
+    does most for, so no item is lost.
+    """
+    demand = np.zeros(len(index.vocabulary) + 1)
+    for own in index.weights:
+        terms = np.fromiter(own, np.int64, len(own))
+        shares = np.fromiter(own.values(), np.float64, len(own))
+        order = np.argsort(shares, kind="stable")
+        sums = np.cumsum(shares[order])
+        free = int(np.searchsorted(sums, FREQUENT, "right"))
+        rest = order[free:]
+        left = MIN_WEIGHT - (sums[free - 1] if free else 0.0)
+        demand[terms[rest]] = np.maximum(demand[terms[rest]], shares[rest] / left)
+    return demand
+
+
 def common_subsequence(item: np.ndarray, words: np.ndarray) -> int:
     """Length of the longest common subsequence; term 0 equals nothing. Bit-parallel."""
     masks: dict[int, int] = {}
@@ -178,33 +204,52 @@ def common_subsequence(item: np.ndarray, words: np.ndarray) -> int:
     return len(item) - state.bit_count()
 
 
+def _weighty(index: Index, ids: np.ndarray, low: np.ndarray, high: np.ndarray, close: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The (row, item) pairs of ``close`` whose window of words holds MIN_WEIGHT of the item."""
+    for k in np.flatnonzero(close.any(axis=1)).tolist():
+        here = np.fromiter(set(ids[low[k] : high[k]].tolist()), np.int64)
+        if index.demand[here].sum() < 1 - 1e-6:
+            continue
+        items = np.flatnonzero(close[k])
+        if 4 * len(items) < close.shape[1]:
+            held = index.shares[here[:, None], items].sum(axis=0)
+        else:
+            held = index.shares[here].sum(axis=0)[items]
+        for item in items[held >= MIN_WEIGHT - 1e-4].tolist():
+            yield k, item
+
+
 def _matches(index: Index, lengths: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, int, float, float, bool]]:
     """(text, item, cosine, share, answered) of verified pairs among some texts."""
     starts, owner = _halves(lengths)
     if not len(starts):
         return
-    weight = index.idf[ids].astype(np.float64) ** 2
-    known = np.where(ids > 0, weight, 0.0)
-    halves = np.stack([np.add.reduceat(x, starts) for x in (weight, known)])
     follows = np.append(owner[1:] == owner[:-1], False)
-    last = np.append(owner[1:] != owner[:-1], True)
-    single = last & np.append(True, owner[1:] != owner[:-1])
-    whole = halves.copy()
-    whole[:, :-1] += np.where(follows[:-1], halves[:, 1:], 0)
-    near = np.flatnonzero((follows | single) & (whole[1] >= MIN_SHARE * whole[0]))
+    single = ~follows & np.append(True, owner[1:] != owner[:-1])
+    text_ends = np.cumsum(lengths)
+    begins, ends = starts, np.minimum(starts + PASSAGE, text_ends[owner])
+    # An item may begin before the passage and end behind it.
+    reach = max(map(len, index.items))
+    low = np.maximum(begins - reach, (text_ends - lengths)[owner])
+    high = np.minimum(ends + reach, text_ends[owner])
+    sums = np.concatenate(([0.0], np.cumsum(index.demand[ids])))
+    near = np.flatnonzero((follows | single) & (sums[high] - sums[low] >= 1 - 1e-6))
     if not len(near):
         return
-    text_ends = np.cumsum(lengths)
-    begins, ends = starts[near], np.minimum(starts[near] + PASSAGE, text_ends[owner[near]])
-    sizes = ends - begins
-    vectors = np.add.reduceat(index.basis[ids[flat_ranges(begins, sizes)]], np.cumsum(sizes) - sizes, axis=0)
+    # The sums of the halves that are needed, each once; a passage is a half and the next.
+    needed = np.unique(np.concatenate((near, near[follows[near]] + 1)))
+    sizes = np.minimum(starts[needed] + PASSAGE // 2, text_ends[owner[needed]]) - starts[needed]
+    parts = np.add.reduceat(index.basis[ids[flat_ranges(starts[needed], sizes)]], np.cumsum(sizes) - sizes, axis=0)
+    at = np.searchsorted(needed, near)
+    vectors = parts[at]
+    vectors[follows[near]] += parts[at[follows[near]] + 1]
+    begins, ends = begins[near], ends[near]
     cosines = vectors @ index.latent.T / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-    for k, item in np.argwhere(cosines >= MIN_COSINE).tolist():
+    for k, item in _weighty(index, ids, low[near], high[near], cosines >= MIN_COSINE):
         text, wanted = int(owner[near[k]]), index.items[item]
-        # An item may begin before the passage and end behind it.
-        low = max(int(text_ends[text] - lengths[text]), int(begins[k]) - len(wanted))
-        words = ids[low : min(int(ends[k]) + len(wanted), int(text_ends[text]))]
+        first = max(int(text_ends[text] - lengths[text]), int(begins[k]) - len(wanted))
+        words = ids[first : min(int(ends[k]) + len(wanted), int(text_ends[text]))]
         here = set(words.tolist())
         if sum(w for t, w in index.weights[item].items() if t in here) < MIN_WEIGHT:
             continue
