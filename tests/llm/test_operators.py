@@ -385,6 +385,24 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(found) == 10 and len(set(cards)) == 9 and "3" not in cards
 
 
+def test_surrogates_never_run_out(spark):
+    """Scripts without a list of letters, a full private range, and short forms that are all taken."""
+    names = ["u:محمد علي", "u:สมชาย", "u:გიორგი", "u:Արամ"]
+    full = [f"192.168.{n >> 8}.{n & 255}" for n in range(1 << 16)]
+    mails = [f"{c}@x.example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = [("person", n) for n in names] + [("ip", n) for n in [*full, "8.8.8.8", "192.168.01.7"]] + [("email", m) for m in mails]
+    rows += [("email", f"{c}@y.example.com") for c in "0123456789"]
+    found = pii.assign(spark.createDataFrame(rows, "kind string, entity string")).collect()
+    assert len(found) == len(rows) == len({(r.kind, r.surrogate) for r in found})
+    assert all(r.surrogate != r.entity.removeprefix("u:") for r in found)
+    assert all(r.surrogate.startswith("192.168.") for r in found if r.entity.startswith("192.168.") and r.entity != "192.168.01.7")
+    for name in names:
+        made = pii.surrogate("person", name, 0)
+        assert made != name[2:] and len(made) == len(name[2:]) and pii._letters(name[2]) == pii._letters(made[0])
+    for kind, entity in [("ssn", "111-22-3333"), ("phone", "+1 23 45"), ("ip", "192.168.1.1"), ("person", "u:สมชาย")]:
+        assert len({pii.surrogate(kind, entity, n) for n in range(pii.WIDE, pii.WIDE + 20)}) == 20
+
+
 # 9: near-duplicates
 
 
