@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import byte_bpe, decontaminate, nb_svm, pii, preference, quality_rules, sharding, simhash, token_counts, token_output
+from tillroll.llm import (
+    byte_bpe,
+    decontaminate,
+    merkle,
+    nb_svm,
+    pii,
+    preference,
+    quality_rules,
+    sharding,
+    simhash,
+    token_counts,
+    token_output,
+    web_archives,
+    whitening,
+)
 from tillroll.llm.common import documents, prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,4 +42,11 @@ QUERIES: dict[str, Query] = {
     "op8_pii_surrogates": lambda spark, folder: pii.surrogates(documents(spark, folder)),
     "op9_simhash_pivots": lambda spark, folder: simhash.near_duplicates(documents(spark, folder)),
     "op10_line_first_rules": lambda spark, folder: quality_rules.quality(documents(spark, folder)),
+    "op11_spectral_whitening": lambda spark, folder: whitening.whitened(
+        prepare(spark).read.parquet(f"{folder}/embeddings.parquet")
+    ),
+    "op12_octopus_manifest": lambda spark, folder: merkle.proofs(documents(spark, folder)),
+    "op13_arc_converter": lambda spark, folder: web_archives.archived(
+        prepare(spark).read.parquet(f"{folder}/pages.parquet")
+    ),
 }
