@@ -49,6 +49,7 @@ class Slices:
         self.matrix = matrix
         radius = np.abs(matrix).sum(axis=1).max(initial=0.0) or 1.0  # holds every eigenvalue
         self.scale = float(radius)
+        self.slack = 16 * len(matrix) * EPSILON * self.scale  # what rounding moves an eigenvalue by, at most
         self.above = {-1.1 * self.scale: len(matrix), 1.1 * self.scale: 0}
 
     def count(self, shift: float) -> int:
@@ -65,6 +66,14 @@ class Slices:
         low, high = self.around(number)
         self.count((low + high) / 2)
 
+    def middle(self, number: int) -> float:
+        low, high, _ = self.isolated(number)
+        return (low + high) / 2
+
+    def certifies(self, number: int, value: float) -> bool:
+        """True if the counts just below and above the value say that it has this number."""
+        return self.count(value + self.slack) < number <= self.count(value - self.slack)
+
     def isolated(self, number: int) -> tuple[float, float, int]:
         """An interval of this eigenvalue, and how many it holds: one, or more if doubles cannot part them."""
         while True:
@@ -92,38 +101,37 @@ def _shifted_solve(matrix: np.ndarray, shift: float, right: np.ndarray, scale: f
         shift += 2 * EPSILON * scale  # exactly singular: the shift is an eigenvalue
 
 
-def _alone(slices: Slices, number: int, found: np.ndarray, start: np.ndarray) -> np.ndarray:
-    # Rayleigh quotient iteration; a quotient outside the interval narrows it first.
-    matrix, vector, best, settled = slices.matrix, _orthogonal(start, found), math.inf, None
-    slack = 16 * EPSILON * slices.scale  # an eigenvalue may lie on a cut
-    low, high, _ = slices.isolated(number)
-    shift = (low + high) / 2
+def _alone(slices: Slices, number: int, found: np.ndarray) -> np.ndarray:
+    # Rayleigh quotient iteration. A quotient outside the interval, or one that settles on an
+    # eigenvalue of another number at its edge, narrows the interval, and another vector begins there.
+    matrix, random = slices.matrix, np.random.default_rng(number)
+    start = lambda: _orthogonal(random.standard_normal((len(matrix), 1)), found)
+    vector, shift, best, settled = start(), slices.middle(number), math.inf, None
     for _ in range(_STEPS):
         vector = _orthogonal(_shifted_solve(matrix, shift, vector, slices.scale), found)
         value = float((vector.T @ matrix @ vector)[0, 0])
         low, high, _ = slices.isolated(number)
-        if not low - slack <= value <= high + slack:
-            slices.halve(number)
-            low, high, _ = slices.isolated(number)
-            shift = (low + high) / 2
-            continue
         left = float(np.linalg.norm(matrix @ vector - value * vector))
-        if left < best:
-            best, settled = left, vector
-        elif best <= 64 * EPSILON * slices.scale:  # no step makes it better any more
+        if not low - slices.slack <= value <= high + slices.slack:
+            pass
+        elif left < best:
+            best, settled, shift = left, vector, value
+            continue
+        elif best > 64 * EPSILON * slices.scale:
+            shift = value
+            continue
+        elif slices.certifies(number, value):  # and no step makes it better any more
             return settled
-        shift = value
-    if best > 1e-10 * slices.scale:
-        raise ArithmeticError(f"eigenvalue {number} does not settle")
-    return settled
+        slices.halve(number)
+        vector, shift, best = start(), slices.middle(number), math.inf
+    raise ArithmeticError(f"eigenvalue {number} does not settle")
 
 
-def _together(slices: Slices, number: int, held: int, found: np.ndarray, start: np.ndarray) -> np.ndarray:
+def _together(slices: Slices, number: int, held: int, found: np.ndarray) -> np.ndarray:
     # Equal eigenvalues: any basis of their space.
-    low, high, _ = slices.isolated(number)
-    space = _orthogonal(start, found)
+    space = _orthogonal(np.random.default_rng(number).standard_normal((len(found), held)), found)
     for _ in range(4):
-        space = _orthogonal(_shifted_solve(slices.matrix, (low + high) / 2, space, slices.scale), found)
+        space = _orthogonal(_shifted_solve(slices.matrix, slices.middle(number), space, slices.scale), found)
     return space
 
 
@@ -138,20 +146,18 @@ def leading(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(matrix)
     k = min(k, n)
     slices, found = Slices(matrix), np.zeros((n, 0))
-    starts = np.random.default_rng(11).standard_normal((n, n))
     while found.shape[1] < k:
         number = found.shape[1] + 1
         held = slices.isolated(number)[2]
         if held == 1:
-            more = _alone(slices, number, found, starts[:, number - 1 : number])
+            more = _alone(slices, number, found)
         else:
-            more = _together(slices, number, held, found, starts[:, number - 1 : number - 1 + held])
+            more = _together(slices, number, held, found)
         found = np.hstack([found, more])
     found = found[:, :k]
     values = np.einsum("ij,ij->j", found, matrix @ found)
-    slack = 16 * n * EPSILON * slices.scale
     for number, value in enumerate(values, 1):
-        if not slices.count(value + slack) < number <= slices.count(value - slack):
+        if not slices.certifies(number, float(value)):
             raise ArithmeticError(f"eigenvalue {number} is not certified")
     largest = np.abs(found).argmax(axis=0)
     return values, found * np.where(found[largest, np.arange(k)] < 0, -1.0, 1.0)
