@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from fixture import rows
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
-from tillroll.operators import features, itemsets
+from tillroll.operators import conditional, features, itemsets
 from tillroll.sources import sinks
 
 BASKETS = "visit_number bigint, trip_type int, departments array<string>"
@@ -79,6 +81,33 @@ def test_mine_equals_fp_growth_with_the_label_as_item(spark):
     assert mined.count() > 20
 
 
+@pytest.mark.parametrize("cells", [0, 3, 20, 60])
+def test_mine_grows_large_databases_further(spark, cells):
+    """Whatever a task may hold, the sets are the same."""
+    baskets = random_baskets(150, 8)
+    mined = itemsets.mine(spark.createDataFrame(baskets, BASKETS), 0.03, cells)
+    assert rows(mined) == brute_force(baskets, 5)
+
+
+@pytest.mark.parametrize("n_items", [3, 9, 70])
+def test_conditional_database_in_bits(n_items):
+    rng = np.random.default_rng(n_items)
+    chosen = [np.flatnonzero(rng.random(n_items) < min(0.6, 8 / n_items)) + 3 for _ in range(60)]
+    baskets = [b.astype(np.int32) for b in chosen if len(b)]
+    weights = rng.integers(1, 5, len(baskets))
+    found = {
+        (*shared, int(last)): int(weight)
+        for shared, lasts, sums in conditional.frequent((1,), baskets, weights, 25)
+        for last, weight in zip(lasts, sums)
+    }
+    counts = Counter()
+    for basket, weight in zip(baskets, weights):
+        for size in range(1, len(basket) + 1):
+            for items in combinations(basket.tolist(), size):
+                counts[(1, *items)] += int(weight)
+    assert found == {items: n for items, n in counts.items() if n >= 25}
+
+
 def test_mine_with_a_hot_basket(spark):
     # Half of all visits hold the same full basket.
     full = ["A", "B", "C", "D", "E", "F", "G"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.constants import IGNORED_TRIP_TYPES, MIN_SUPPORT
 from tillroll.functions.scalars import label_item
+from tillroll.operators.conditional import FOUND, mined
 from tillroll.session import checkpoint, lookup
 
 SEPARATOR = ";"
@@ -36,57 +37,96 @@ def with_label_item(baskets: DataFrame) -> DataFrame:
     return baskets.select("visit_number", F.sort_array(items).alias("items"))
 
 
-def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+#: Baskets times items of a conditional database that one task mines.
+CELLS = 1 << 24
+
+
+def mine(baskets: DataFrame, min_support: float = MIN_SUPPORT, cells: int = CELLS) -> DataFrame:
     """(trip_type, items, freq): sets of two or more departments frequent under a trip type.
 
     ``freq`` counts the visits of that trip type holding the set; it must reach
     ``min_support`` of all baskets. Equal to mining with the label as one more item.
 
-    Sets grow by one department per round, to the right in sorted order, and only from
-    frequent ones. A round counts the extensions of each set, keeps the frequent ones, and
-    strikes all other departments from the baskets of that set before they grow: what is
-    not frequent with a set is not with a larger one. The pruned baskets are materialised,
-    so a round costs its own rows and no earlier round. What is shuffled are counts per
-    candidate set, which combine first; a basket many visits share is expanded once.
+    Departments that are frequent under a trip type are numbered there, rarest first. A basket
+    goes to the conditional database of each of its departments with the more frequent ones it
+    holds, which keeps the databases of common departments short; equal baskets are one row. A
+    database of at most ``cells`` baskets times departments is mined by one task, over bits. A
+    larger one grows by one department more first, in a round over all tasks that shuffles its
+    counts, until its parts are small: after d departments at most 2 ** (D - d) rows are left.
     """
     patterns = checkpoint(baskets.groupBy("trip_type", "departments").agg(F.count("*").alias("n")))
     n_baskets = patterns.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = max(1, math.ceil(min_support * n_baskets))
-    grown = patterns.select(
-        "trip_type", "n", F.slice("departments", 1, 0).alias("items"), F.col("departments").alias("rest")
-    )
-    found = []
+    names = lookup(_ranked(patterns, least))
+    grown, found = checkpoint(_conditional(patterns, names)), []
     while True:
-        added = _frequent_extensions(grown, least)
-        sets = added.select("trip_type", F.concat("items", F.array("department")).alias("items"), "freq")
-        if added.isEmpty():
+        small, large = _dealt(grown, cells)
+        found.append(small.groupBy("trip_type", "items").applyInArrow(mined(least), FOUND))
+        if large is None:
             break
-        found.append(sets)
-        grown = checkpoint(_extend(_pruned(grown, added)).where(F.size("rest") > 0))
-    return reduce(DataFrame.unionAll, found[1:] or [sets.where(F.size("items") > 1)])
+        added = _frequent_extensions(large, least)
+        found.append(added.select("trip_type", F.concat("items", F.array("item")).alias("items"), "freq"))
+        grown = checkpoint(_combined(_extend(_pruned(large, added)).where(F.size("rest") > 0)))
+    named = F.sort_array(F.transform("items", lambda rank: F.get("names", rank)))
+    sets = reduce(DataFrame.unionAll, found).join(names, "trip_type")
+    return sets.select("trip_type", named.alias("items"), "freq")
+
+
+def _ranked(patterns: DataFrame, least: int) -> DataFrame:
+    # (trip_type, names): the frequent departments of a trip type, rarest first.
+    each = patterns.select("trip_type", "n", F.explode("departments").alias("department"))
+    counts = each.groupBy("trip_type", "department").agg(F.sum("n").alias("freq")).where(F.col("freq") >= least)
+    ranked = counts.groupBy("trip_type").agg(F.sort_array(F.collect_list(F.struct("freq", "department"))).alias("ranked"))
+    return ranked.select("trip_type", F.col("ranked.department").alias("names"))
+
+
+def _conditional(patterns: DataFrame, names: DataFrame) -> DataFrame:
+    # (trip_type, items, rest, n): each basket under each of its departments, with those ranked above.
+    place = F.transform("departments", lambda d: F.array_position("names", d).cast("int") - 1)
+    ranks = patterns.join(names, "trip_type").select(
+        "trip_type", "n", F.sort_array(F.filter(place, lambda rank: rank >= 0)).alias("rest")
+    )
+    first = ranks.withColumn("items", F.slice("rest", 1, 0)).where(F.size("rest") > 1)
+    return _combined(_extend(first).where(F.size("rest") > 0))
+
+
+def _combined(grown: DataFrame) -> DataFrame:
+    return grown.groupBy("trip_type", "items", "rest").agg(F.sum("n").alias("n"))
+
+
+def _dealt(grown: DataFrame, cells: int) -> tuple[DataFrame, DataFrame | None]:
+    # What single tasks mine, and what has to grow further, if anything.
+    width = F.max(F.element_at("rest", -1)) - F.first(F.element_at("items", -1))
+    sizes = grown.groupBy("trip_type", "items").agg((F.count("*") * width).alias("cells"))
+    over, keys = sizes.where(F.col("cells") > cells).drop("cells"), ["trip_type", "items"]
+    if over.isEmpty():
+        return grown, None
+    over = lookup(over)
+    return grown.join(over, keys, "left_anti"), grown.join(over, keys, "left_semi")
 
 
 def _frequent_extensions(grown: DataFrame, least: int) -> DataFrame:
-    # (trip_type, items, department, freq) of the departments that may follow a set.
-    each = grown.select("trip_type", "items", "n", F.explode("rest").alias("department"))
-    counts = each.groupBy("trip_type", "items", "department").agg(F.sum("n").alias("freq"))
+    # (trip_type, items, item, freq) of the departments that may follow a set.
+    each = grown.select("trip_type", "items", "n", F.explode("rest").alias("item"))
+    counts = each.groupBy("trip_type", "items", "item").agg(F.sum("n").alias("freq"))
     return checkpoint(counts.where(F.col("freq") >= least))
 
 
 def _pruned(grown: DataFrame, added: DataFrame) -> DataFrame:
-    usable = added.groupBy("trip_type", "items").agg(F.collect_list("department").alias("usable"))
+    # What is not frequent with a set is not with a larger one.
+    usable = added.groupBy("trip_type", "items").agg(F.collect_list("item").alias("usable"))
     kept = grown.join(lookup(usable), ["trip_type", "items"])
     return kept.withColumn("rest", F.array_intersect("rest", "usable")).drop("usable")
 
 
 def _extend(grown: DataFrame) -> DataFrame:
     # items + one department of the rest; what follows that department is the new rest.
-    taken = grown.select("trip_type", "n", "items", "rest", F.posexplode("rest").alias("pos", "department"))
+    taken = grown.select("trip_type", "n", "items", "rest", F.posexplode("rest").alias("pos", "item"))
     return taken.select(
         "trip_type",
-        "n",
-        F.concat("items", F.array("department")).alias("items"),
+        F.concat("items", F.array("item")).alias("items"),
         F.slice("rest", F.col("pos") + 2, F.size("rest")).alias("rest"),
+        "n",
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Sequence
 
@@ -18,7 +19,8 @@ _DEFAULTS = {
 
 
 def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Fill in the settings the operators rely on, where the session leaves them unset.
+    """Fill in the settings the operators rely on, where the session leaves them unset, and put
+    this package on the path of the Python workers.
 
     Give the size of the input where it is known: shuffles then start with one partition
     per ``advisoryPartitionSizeInBytes`` of it, however many cores there are.
@@ -27,6 +29,10 @@ def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     _size_shuffles(spark, input_bytes)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join(filter(None, [root, *paths]))
     return spark
 
 
