@@ -57,8 +57,8 @@ def fineline_sums(scans: DataFrame) -> DataFrame:
 
 
 def upc_sums(scans: DataFrame, upcs: DataFrame) -> DataFrame:
-    """Sums over a fitted UPC vocabulary of top-k size, which bounds its broadcast."""
-    kept = scans.join(F.broadcast(upcs.select("upc")), "upc", "left_semi")
+    """Sums over a given UPC vocabulary, broadcast if its size allows."""
+    kept = scans.join(size_checked(upcs.select("upc")), "upc", "left_semi")
     return visit_sums(kept, upc_feature(F.col("upc")))
 
 
@@ -167,7 +167,7 @@ _DEPARTMENT, _FINELINE, _UPC, _VISIT, _CATEGORY = range(5)
 def _sums_by_level(scans: DataFrame, categories: DataFrame, upcs: DataFrame) -> DataFrame:
     # One row per visit, level and key of that level: a name or a number.
     members = categories.groupBy("department").agg(F.collect_set("category").alias("categories"))
-    kept = F.broadcast(upcs.select("upc", F.lit(True).alias("kept")))  # top-k rows
+    kept = size_checked(upcs.select("upc", F.lit(True).alias("kept")))
     n_categories = F.when(F.col("categories").isNull(), 0).otherwise(F.size("categories"))
     last = F.lit(_CATEGORY - 1) + n_categories
     lines = (

@@ -29,13 +29,20 @@ def top_terms(rows: DataFrame, column: str, k: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), column).limit(k)
 
 
-def column_terms(rows: DataFrame, column: str) -> list[str]:
+#: Values that a column may have where each becomes a column or a place in a vector.
+MAX_TERMS = 100_000
+
+
+def column_terms(rows: DataFrame, column: str, most: int = MAX_TERMS) -> list[str]:
     """The sorted distinct values of a column whose values become columns.
 
-    For fitting such a vocabulary once; pivots and vectors take it as an argument.
+    For fitting such a vocabulary once; pivots and vectors take it as an argument. More
+    than ``most`` values are an error, before they reach the driver.
     """
-    terms = rows.where(F.col(column).isNotNull()).select(column).distinct()
-    return sorted(row[0] for row in terms.collect())
+    terms = rows.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
+    if len(terms) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(row[0] for row in terms)
 
 
 def retail_categories(spark: SparkSession) -> DataFrame:

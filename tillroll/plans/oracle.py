@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tillroll.constants import MIN_SUPPORT, SAMPLE_VISITS, TOP_UPCS, WEEKDAYS
+from tillroll.constants import MIN_SUPPORT, N_CLUSTERS, SAMPLE_VISITS, TOP_UPCS, WEEKDAYS
+from tillroll.operators.minibatch import SCALE
 from tillroll.plans.queries import (
     ALL_COLUMNS,
     BINS,
     DEPARTMENTS,
+    FEW_BATCHES,
     FEW_UPCS,
     IGNORED,
     PROFILED,
@@ -97,7 +99,7 @@ _DICTIONARY = f"""dictionary as (
         {{fitted}}
     ) as terms
 )"""
-_FITTED_DICTIONARY = _DICTIONARY.format(fitted="union all select 6, 4, 'ItemSet'")
+_FITTED_DICTIONARY = _DICTIONARY.format(fitted="union all select * from (values (6, 4, 'ItemSet'), (6, 5, 'Dept_Category'))")
 _DICTIONARY = _DICTIONARY.format(fitted="")
 
 _LABELLED = f"scans where status <> 'O' and trip_type not in ({', '.join(map(str, IGNORED))})"
@@ -147,6 +149,78 @@ answer as (
 )"""
 
 
+# Non-zero sums by department and visit, and the first distinct vectors of the shuffled settled visits.
+_POINTS = f"""listed as (
+    select unnest(range({len(DEPARTMENTS)})) as place, unnest([{', '.join(f"'{d}'" for d in DEPARTMENTS)}]) as department
+),
+points as materialized (
+    select visit_number, place, cast(sum(scan_count) as bigint) as value from scans join listed using (department)
+    where scan_count >= 0 group by visit_number, place having sum(scan_count) <> 0
+),
+visits as materialized (
+    select visit_number, any_value(status) as status,
+           cast('0x' || substr(md5('0:' || visit_number), 1, 15) as bigint) as key
+    from scans group by visit_number
+),
+vectors as (
+    select key, visit_number, coalesce(string_agg(place || ':' || value, ',' order by place), '') as vector
+    from visits left join points using (visit_number) where status <> 'O' group by key, visit_number
+),
+chosen as (
+    select min(key) as key, min_by(visit_number, key) as visit_number from vectors
+    group by vector order by key limit {N_CLUSTERS}
+),
+ranked as (select cast(row_number() over (order by key) - 1 as int) as cluster, visit_number from chosen),
+sums0 as materialized (
+    select cluster, place, coalesce(value, 0) as value
+    from ranked cross join listed left join points using (visit_number, place)
+),
+counts0 as materialized (select distinct cluster, cast(1 as bigint) as n from sums0)"""
+
+
+def _assigned(step: int, where: str = "true") -> str:
+    # The nearest centre after so many batches, of equally near ones the smallest.
+    return f"""centres{step} as materialized (
+    select cluster, place, cast({SCALE} * value // n as bigint) as centre from sums{step} join counts{step} using (cluster)
+),
+norms{step} as (select cluster, cast(sum(centre * centre) as bigint) as norm from centres{step} group by cluster),
+dots{step} as (
+    select visit_number, cluster, cast(sum(value * centre) as bigint) as dot
+    from points join centres{step} using (place) group by visit_number, cluster
+),
+assigned{step} as materialized (
+    select visit_number, cluster, norm - {2 * SCALE} * coalesce(dot, 0) as rest
+    from (select * from visits where {where}) as v cross join norms{step} left join dots{step} using (visit_number, cluster)
+    qualify row_number() over (partition by visit_number order by rest, cluster) = 1
+)"""
+
+
+def _step(batch: int) -> str:
+    # One mini-batch: each centre moves to the mean of all visits it has had.
+    return f"""{_assigned(batch, f"status <> 'O' and key % {FEW_BATCHES} = {batch}")},
+sums{batch + 1} as materialized (
+    select cluster, place, cast(sum(value) as bigint) as value from (
+        select * from sums{batch} union all
+        select cluster, place, value from assigned{batch} join points using (visit_number)
+    ) group by cluster, place
+),
+counts{batch + 1} as materialized (
+    select cluster, cast(sum(n) as bigint) as n from (
+        select * from counts{batch} union all select cluster, count(*) from assigned{batch} group by cluster
+    ) group by cluster
+)"""
+
+
+_BATCHES = ",\n".join(map(_step, range(FEW_BATCHES)))
+
+
+def _distances(step: int) -> str:
+    return f"""select visit_number, cluster, cast(rest + coalesce(own, 0) as bigint) as distance
+    from assigned{step} left join (
+        select visit_number, cast({SCALE * SCALE} * sum(value * value) as bigint) as own from points group by visit_number
+    ) using (visit_number)"""
+
+
 _PACKED = """select visit_number,
     coalesce(string_agg(idx, ';' order by idx) filter (where value <> 0), '') as indices,
     coalesce(string_agg(value, ';' order by idx) filter (where value <> 0), '') as values
@@ -237,9 +311,13 @@ def _matrix(status: str) -> str:
         _CATEGORIES,
         _FEATURES,
         _FITTED_DICTIONARY,
+        _POINTS,
+        _BATCHES,
+        _assigned(FEW_BATCHES),
         f"""whole as (
             select * from (
                 select * from features union all select visit_number, 6, 'ItemSet', item_set from answer
+                union all select visit_number, 6, 'Dept_Category', cluster from assigned{FEW_BATCHES}
             ) where visit_number in (select visit_number from scans where status {status})
         )""",
     )
@@ -402,6 +480,14 @@ ORACLE_SQL: dict[str, str] = {
     "department_vectors": _with(
         select=f"select visit_number, concat_ws(';', {_VECTOR}) as vector from scans group by visit_number"
     ),
+    "cluster_centres": _with(
+        _POINTS,
+        _BATCHES,
+        select=f"""select cluster, string_agg({SCALE} * value // n, ';' order by place) as centre, n
+        from sums{FEW_BATCHES} join counts{FEW_BATCHES} using (cluster) group by cluster, n""",
+    ),
+    "nearest_centre": _with(_POINTS, _BATCHES, _assigned(FEW_BATCHES), select=_distances(FEW_BATCHES)),
+    "nearest_frozen_centre": _with(_POINTS, _assigned(0), select=_distances(0)),
     "train_matrix": _matrix("<> 'O'"),
     "test_matrix": _matrix("= 'O'"),
     "split_train": _split("<> 'O'"),

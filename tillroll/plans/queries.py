@@ -9,14 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.constants import MIN_SUPPORT, N_CLUSTERS, SAMPLE_VISITS, TOP_UPCS, WEEKDAYS
-from tillroll.operators import clusters, crosstab, features, itemsets, profile, split, vocabulary
-from tillroll.session import checkpoint
+from tillroll.operators import (
+    clusters,
+    crosstab,
+    features,
+    itemsets,
+    matrix,
+    minibatch,
+    profile,
+    split,
+    vocabulary,
+)
+from tillroll.session import checkpoint, written
 from tillroll.sources import scanlog, sinks, star
 
 # Parameters of the order tables. The small UPC vocabulary leaves UPCs out at the scale
 # where results are checked.
 IGNORED = [5]
 FEW_UPCS = 500
+FEW_BATCHES = 4
 # The department names of the part table, two words each, and both signs of them.
 DEPARTMENTS = [
     f"{kind} {thing}"
@@ -40,7 +51,7 @@ def _on(columns: str, operator: Callable[..., DataFrame], *args, part: str | Non
 
 
 def _upcs(spark: SparkSession, folder: str, k: int = TOP_UPCS) -> DataFrame:
-    return vocabulary.top_terms(star.scans(spark, folder, ["upc"], "train"), "upc", k)
+    return checkpoint(vocabulary.top_terms(star.scans(spark, folder, ["upc"], "train"), "upc", k))
 
 
 def _features(
@@ -61,9 +72,10 @@ def _dictionary(
 
 def _matrix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     # Vocabularies first, each fitted once; then the rows over them.
-    upcs = checkpoint(_upcs(spark, folder))
+    upcs = _upcs(spark, folder)
     dictionary = checkpoint(_dictionary(spark, folder, upcs))
-    return features.sparse_rows(_features(spark, folder, upcs), dictionary), dictionary
+    encoded = matrix.encoding(dictionary, star.categories(spark, folder))
+    return matrix.matrix_rows(star.scans(spark, folder, FEATURE_COLUMNS, even=True), encoded), dictionary
 
 
 def _baskets(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,15 +134,21 @@ def _part_of(part: str) -> Query:
 
 
 def _matrix_of(part: str) -> Query:
-    """The final matrix of a part: all features and the matched itemset, over one dictionary."""
+    """The final matrix of a part: all features, matched itemset and cluster, over one dictionary."""
 
     def query(spark, folder):
-        upcs = checkpoint(_upcs(spark, folder))
-        dictionary = checkpoint(_dictionary(spark, folder, upcs, [features.ITEM_SET]))
-        matched = itemsets.match(_purchases(spark, folder, part), _itemsets(spark, folder))
-        item_sets = features.fitted_feature(matched, "item_set", features.ITEM_SET)
-        full = _features(spark, folder, upcs, part).unionByName(item_sets)
-        return _joined(features.sparse_rows(full, dictionary), "indices", "values")
+        upcs = _upcs(spark, folder)
+        dictionary = checkpoint(_dictionary(spark, folder, upcs, features.FITTED_FEATURES))
+        encoded = matrix.encoding(dictionary, star.categories(spark, folder))
+        purchases = checkpoint(_purchases(spark, folder, part))
+        matched = itemsets.match(purchases, _itemsets(spark, folder))
+        points = minibatch.department_entries(purchases, DEPARTMENTS)
+        assigned = minibatch.nearest(points, _centres(spark, folder))
+        rows = star.scans(spark, folder, FEATURE_COLUMNS, part, even=True)
+        full = matrix.matrix_rows(
+            rows, encoded, (matched, "item_set", features.ITEM_SET), (assigned, "cluster", features.DEPT_CATEGORY)
+        )
+        return _joined(full, "indices", "values")
 
     return query
 
@@ -147,6 +165,34 @@ def _visit_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.assign_clusters(model, vectors)
 
 
+def _points(spark: SparkSession, folder: str, part: str | None = None) -> DataFrame:
+    return minibatch.department_entries(_purchases(spark, folder, part), DEPARTMENTS)
+
+
+def _centres(spark: SparkSession, folder: str) -> DataFrame:
+    """Centres of the settled orders, from the first visits of the shuffled order on."""
+    train = written(_points(spark, folder, "train"))
+    width = len(DEPARTMENTS)
+    start = minibatch.first_centres(train, N_CLUSTERS, 0, width)
+    return minibatch.train(train, width, N_CLUSTERS, batches=FEW_BATCHES, start=start)
+
+
+def _cluster_centres(spark: SparkSession, folder: str) -> DataFrame:
+    return _joined(_centres(spark, folder), "centre")
+
+
+def _nearest_to(centres: Callable[[SparkSession, str], DataFrame]) -> Query:
+    def query(spark, folder):
+        found = minibatch.nearest(_points(spark, folder), centres(spark, folder))
+        return found.select("visit_number", "cluster", "distance")
+
+    return query
+
+
+def _frozen(spark: SparkSession, folder: str) -> DataFrame:
+    return minibatch.frozen(_points(spark, folder, "train"), N_CLUSTERS, 0, len(DEPARTMENTS))
+
+
 def _department_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = clusters.department_vectors(_purchases(spark, folder), DEPARTMENTS)
     sums = F.transform(vector_to_array("vector"), lambda value: value.cast("bigint"))
@@ -242,6 +288,9 @@ QUERIES: dict[str, Query] = {
     # clusters, training and test sets
     "department_vectors": _department_vectors,
     "visit_clusters": _visit_clusters,
+    "cluster_centres": _cluster_centres,
+    "nearest_centre": _nearest_to(_centres),
+    "nearest_frozen_centre": _nearest_to(_frozen),
     "split_train": _part_of("train"),
     "split_test": _part_of("test"),
     "shuffled_train": _shuffled_train,

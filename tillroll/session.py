@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,21 +65,59 @@ def constants(spark: SparkSession, rows: Sequence[tuple], *names: str) -> DataFr
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _base(spark: SparkSession) -> str:
+    # The folder for what is materialised. A temporary one goes with the process.
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not sc.master.startswith("local"):
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="tillroll-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def _folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(_base(spark))
+    return sc.getCheckpointDir()
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there.
 
     That is ``spark.checkpoint.dir``; on a cluster without it, a folder in the warehouse,
-    which all executors share; in local mode a temporary one.
+    which all executors share; in local mode a temporary one, removed with the process.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not sc.master.startswith("local"):
-            folder = df.sparkSession.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tillroll-"))
+    _folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` from a Parquet table in the shared checkpoint folder, in a folder per value of ``by``."""
+    path = f"{_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scoped(spark: SparkSession) -> Iterator[str]:
+    """What is checkpointed or written inside lives in one folder of its own, which is removed at
+    the end, also of a failure. Nothing lazy that reads it may leave the scope; scopes may nest.
+    """
+    sc = spark.sparkContext
+    before = sc.getCheckpointDir()
+    folder = f"{before or _base(spark)}/scope-{uuid.uuid4().hex}"
+    sc.setCheckpointDir(folder)
+    try:
+        yield folder
+    finally:
+        sc._jsc.sc().setCheckpointDir(before or folder.rpartition("/")[0])
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def lookup(df: DataFrame) -> DataFrame:
     """Materialise a lookup table and hint its broadcast if its size allows."""
     return size_checked(checkpoint(df))
