@@ -45,6 +45,31 @@ def test_read_unlabelled_csv_by_name(spark, tmp_path):
     assert rows(scanlog.with_label(log), "trip_type") == [(None,)]
 
 
+MALFORMED = LABELLED + """3,5,Monday,4011,two,PRODUCE,5501
+3,6,Monday,4011,2
+3,7,Monday,4011,2,PRODUCE,5501,more,fields
+3,8,Monday,12345678901234567890123,2,PRODUCE,5501
+"""
+
+
+def test_malformed_lines_are_rejected_or_fail(spark, tmp_path):
+    (tmp_path / "train.csv").write_text(MALFORMED)
+    (tmp_path / "good.csv").write_text(LABELLED)
+    path = str(tmp_path / "train.csv")
+    kept = scanlog.read_scans(spark, path, malformed="drop")
+    assert rows(kept) == rows(scanlog.read_scans(spark, str(tmp_path / "good.csv")))
+    assert kept.count() == kept.select("upc").count() == 5
+    found = sorted(rows(scanlog.rejected_lines(spark, path)))
+    assert [reason for _, reason in found] == ["ScanCount", "fields", "fields", "Upc"]
+    assert found[1][0] == "3,6,Monday,4011,2" and found[2][0].endswith("more,fields")
+    assert scanlog.rejected_lines(spark, str(tmp_path / "good.csv")).count() == 0
+    for columns in (["visit_number"], scanlog.SCAN_COLUMNS):
+        with pytest.raises(Exception, match="malformed"):
+            scanlog.read_scans(spark, path).select(*columns).collect()
+    with pytest.raises(ValueError, match="fail or drop"):
+        scanlog.read_scans(spark, path, malformed="skip")
+
+
 def test_union_leaves_unknown_labels_null(both):
     assert rows(both) == sorted(TRAIN + TEST, key=repr)
 

@@ -19,7 +19,7 @@ from tillroll.session import written
 #: Units of a centre per unit of a sum.
 SCALE = 1000
 #: Batches that the training visits are dealt into by hash; a fit passes over each once.
-BATCHES = 16
+BATCHES = 8
 #: Distinct vectors from which well separated first centres are drawn.
 SAMPLE = 4096
 

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.constants import IGNORED_TRIP_TYPES, MIN_SUPPORT, N_CLUSTERS, SAMPLE_VISITS, TOP_UPCS
-from tillroll.operators import clusters, features, itemsets, split, vocabulary
-from tillroll.session import checkpoint, prepare
+from tillroll.operators import features, itemsets, matrix, minibatch, split, vocabulary
+from tillroll.session import checkpoint, prepare, scoped
 from tillroll.sources import scanlog, sinks
 
 
@@ -39,44 +39,60 @@ def build(
     - ``visit_features``, ``itemset_table``, ``train_matrix``, ``test_matrix``: Parquet,
     - ``itemsets``: text lines,
     - ``features``, ``labels``, ``test_ids``: CSV,
-    - ``train``, ``test``: dense gzipped CSV in the order of ``labels`` and ``test_ids``.
+    - ``train``, ``test``: dense gzipped CSV in the order of ``labels`` and ``test_ids``,
+    - ``fitted``: what was fitted, see :meth:`Fitted.load`, and returned from there, for
+      :func:`apply` on later logs, also of other sessions.
 
-    What was fitted is returned, for :func:`apply` on later logs.
+    Whatever else is materialised on the way is removed at the end, also of a failure.
     """
     spark = prepare(train.sparkSession)
-    both = scanlog.union_inputs(train, test)
-    upcs = checkpoint(vocabulary.top_terms(train, "upc", top_upcs)) if upcs is None else upcs
-
-    # The one pass over all columns of both logs; what follows reads the written table.
-    features.visit_features(both, categories, upcs).write.mode("overwrite").parquet(f"{out}/visit_features")
-    base = spark.read.parquet(f"{out}/visit_features")
-
-    mined = itemsets.mine(itemsets.transactions(train, ignored), min_support)
-    mined.write.mode("overwrite").parquet(f"{out}/itemset_table")
-    sets = spark.read.parquet(f"{out}/itemset_table")
-    sinks.write_itemsets(sets, f"{out}/itemsets")
-
-    departments = vocabulary.column_terms(train, "department") if departments is None else departments
-    vectors = clusters.points(_purchases(base), departments)
-    model = clusters.train_clusters(split.of_visits(vectors, train), n_clusters, seed)
-
-    if dictionary is None:
-        summed = F.col("family").isin(features.RETURNED, features.PURCHASED, features.FINELINE)
-        occurring = base.where(summed).select("family", "feature").distinct()
-        terms = vocabulary.feature_terms(occurring, categories, upcs, features.FITTED_FEATURES)
-        dictionary = checkpoint(vocabulary.feature_dictionary(terms))
-    sinks.write_columns(dictionary.orderBy("idx"), f"{out}/features")
-
-    fitted = Fitted(categories, upcs, sets, departments, model, dictionary)
-    matrix = checkpoint(_matrix(base, vectors, fitted))
-    labelled = matrix.join(features.extract_labels(train), "visit_number")
-    written = _write_part(split.shuffled(labelled, seed), dictionary, f"{out}/train")
-    sinks.write_columns(written.select("visit_number", "trip_type"), f"{out}/labels")
-    written = _write_part(split.of_visits(matrix, test).orderBy("visit_number"), dictionary, f"{out}/test")
-    sinks.write_columns(written.select("visit_number"), f"{out}/test_ids")
+    with scoped(spark):
+        both = scanlog.union_inputs(train, test)
+        upcs = checkpoint(vocabulary.top_terms(train, "upc", top_upcs) if upcs is None else upcs)
+
+        features.visit_features(both, categories, upcs).write.mode("overwrite").parquet(f"{out}/visit_features")
+        base = spark.read.parquet(f"{out}/visit_features")
+
+        mined = itemsets.mine(itemsets.transactions(train, ignored), min_support)
+        mined.write.mode("overwrite").parquet(f"{out}/itemset_table")
+        sets = spark.read.parquet(f"{out}/itemset_table")
+        sinks.write_itemsets(sets, f"{out}/itemsets")
+
+        departments = vocabulary.column_terms(train, "department") if departments is None else list(departments)
+        points = minibatch.department_entries(features.purchases(train), departments)
+        centres = minibatch.train(points, len(departments), n_clusters, seed)
+
+        if dictionary is None:
+            summed = F.col("family").isin(features.RETURNED, features.PURCHASED, features.FINELINE)
+            occurring = base.where(summed).select("family", "feature").distinct()
+            terms = vocabulary.feature_terms(occurring, categories, upcs, features.FITTED_FEATURES)
+            dictionary = vocabulary.feature_dictionary(terms)
+        dictionary = checkpoint(dictionary)
+        sinks.write_columns(dictionary.orderBy("idx"), f"{out}/features")
+
+        Fitted(categories, upcs, sets, departments, centres, dictionary).save(f"{out}/fitted")
+        fitted = Fitted.load(spark, f"{out}/fitted")
+        matrix_of_both = checkpoint(apply(both, fitted))
+        labelled = matrix_of_both.join(features.extract_labels(train), "visit_number")
+        rows = _write_part(split.shuffled(labelled, seed), dictionary, f"{out}/train")
+        sinks.write_columns(rows.select("visit_number", "trip_type"), f"{out}/labels")
+        rows = _write_part(split.of_visits(matrix_of_both, test).orderBy("visit_number"), dictionary, f"{out}/test")
+        sinks.write_columns(rows.select("visit_number"), f"{out}/test_ids")
     return fitted
 
 
+#: Of the saved form of a fit; one of another version is not read.
+VERSION = 1
+
+_TABLES = {
+    "categories": "department string, category string",
+    "upcs": "upc bigint",
+    "itemsets": "trip_type int, items array<string>, freq bigint",
+    "centres": "cluster int, centre array<bigint>, n bigint",
+    "dictionary": "idx bigint, family int, feature string",
+}
+
+
 @dataclass(frozen=True)
 class Fitted:
     """Everything a later log needs to get the columns of the first one."""
@@ -85,14 +101,52 @@ class Fitted:
     upcs: DataFrame
     itemsets: DataFrame
     departments: Sequence[str]
-    model: KMeansModel
+    centres: DataFrame
     dictionary: DataFrame
 
+    def save(self, folder: str) -> None:
+        """Write the tables as Parquet, and last what they are, so a broken save is not read."""
+        spark = self.dictionary.sparkSession
+        for name, schema in _TABLES.items():
+            columns = [field.split(" ")[0] for field in schema.split(", ")]
+            getattr(self, name).select(*columns).write.mode("overwrite").parquet(f"{folder}/{name}")
+        places = [(n, name) for n, name in enumerate(self.departments)]
+        named = spark.createDataFrame(places, "place int, department string")
+        named.write.mode("overwrite").parquet(f"{folder}/departments")
+        said = json.dumps({"version": VERSION, "tables": _TABLES, "departments": len(places)})
+        spark.createDataFrame([(said,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/about")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> Fitted:
+        """A saved fit, in any session. Another version, or tables that are not as saved, are an error."""
+        about = json.loads(spark.read.text(f"{folder}/about").first()[0])
+        if about["version"] != VERSION:
+            raise ValueError(f"a fit of version {about['version']}, not {VERSION}")
+        tables = {name: spark.read.parquet(f"{folder}/{name}") for name in _TABLES}
+        for name, schema in _TABLES.items():
+            held = ", ".join(f"{column} {kind}" for column, kind in tables[name].dtypes)
+            if held != schema or about["tables"][name] != schema:
+                raise ValueError(f"{name} has {held}, not {schema}")
+        named = spark.read.parquet(f"{folder}/departments").orderBy("place").collect()
+        if len(named) != about["departments"]:
+            raise ValueError(f"{len(named)} departments, not {about['departments']}")
+        return Fitted(departments=[r.department for r in named], **tables)
+
 
 def apply(log: DataFrame, fitted: Fitted) -> DataFrame:
     """(visit_number, indices, values) of a log over what was fitted before; nothing is refitted."""
-    base = checkpoint(features.visit_features(scanlog.with_label(log), fitted.categories, fitted.upcs))
-    return _matrix(base, clusters.points(_purchases(base), fitted.departments), fitted)
+    log = scanlog.with_label(log)
+    purchases = checkpoint(features.purchases(log))
+    item_sets = itemsets.match(purchases, fitted.itemsets)
+    points = minibatch.department_entries(purchases, fitted.departments)
+    assigned = minibatch.nearest(points, fitted.centres)
+    encoded = matrix.encoding(fitted.dictionary, fitted.categories)
+    return matrix.matrix_rows(
+        log,
+        encoded,
+        (item_sets, "item_set", features.ITEM_SET),
+        (assigned, "cluster", features.DEPT_CATEGORY),
+    )
 
 
 def run(spark: SparkSession, source: str, out: str, categories: DataFrame, mini: bool = False, **settings) -> Fitted:
@@ -106,20 +160,6 @@ def run(spark: SparkSession, source: str, out: str, categories: DataFrame, mini:
     return build(*logs, out, categories, **settings)
 
 
-def _purchases(base: DataFrame) -> DataFrame:
-    bought = F.when(F.col("family") == features.PURCHASED, F.col("feature"))
-    return base.select("visit_number", bought.alias("department"), "value")
-
-
-def _matrix(base: DataFrame, vectors: DataFrame, fitted: Fitted) -> DataFrame:
-    item_sets = itemsets.match(_purchases(base), fitted.itemsets)
-    assigned = clusters.assign_clusters(fitted.model, vectors)
-    full = base.unionByName(
-        features.fitted_feature(item_sets, "item_set", features.ITEM_SET)
-    ).unionByName(features.fitted_feature(assigned, "cluster", features.DEPT_CATEGORY))
-    return features.sparse_rows(full, fitted.dictionary)
-
-
 def _write_part(rows: DataFrame, dictionary: DataFrame, path: str) -> DataFrame:
     # Sorted once: all forms are written from the materialised order.
     ordered = checkpoint(rows)

@@ -490,6 +490,17 @@ ORACLE_SQL: dict[str, str] = {
     "nearest_frozen_centre": _with(_POINTS, _assigned(0), select=_distances(0)),
     "train_matrix": _matrix("<> 'O'"),
     "test_matrix": _matrix("= 'O'"),
+    "scans_by_csv": _with(select=f"select {ALL} from scans where status <> 'O'"),
+    "rejected_by_csv": _with(
+        select="""select case when scan_count = -50 then 'fields' else 'ScanCount' end as reason, count(*) as n
+        from scans where scan_count in (-50, -49) group by 1"""
+    ),
+    "itemsets_by_lines": _mined("select trip_type, items from itemsets"),
+    "labels_by_csv": _with(
+        select="""select visit_number, min(trip_type) as trip_type from scans
+        where status <> 'O' group by visit_number"""
+    ),
+    "test_ids_by_csv": _with(select="select distinct visit_number from scans where status = 'O'"),
     "split_train": _split("<> 'O'"),
     "split_test": _split("= 'O'"),
     "shuffled_train": _with(

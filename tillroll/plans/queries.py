@@ -20,7 +20,7 @@ from tillroll.operators import (
     split,
     vocabulary,
 )
-from tillroll.session import checkpoint, written
+from tillroll.session import checkpoint, new_folder, written
 from tillroll.sources import scanlog, sinks, star
 
 # Parameters of the order tables. The small UPC vocabulary leaves UPCs out at the scale
@@ -199,6 +199,47 @@ def _department_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return _joined(vectors.select("visit_number", sums.alias("vector")), "vector")
 
 
+def _scans_by_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The settled orders, written as the CSV of a scan log and read from it."""
+    path = new_folder(spark)
+    scanlog.write_scans(star.scans(spark, folder, ALL_COLUMNS, "train"), path)
+    return scanlog.read_scans(spark, path)
+
+
+def _rejected_by_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """What reading the scan log leaves out if every line with a return of 50 is cut, and with one of 49 misspelt."""
+    path = new_folder(spark)
+    rows = star.scans(spark, folder, ALL_COLUMNS)
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("NULL")) for name in ALL_COLUMNS]
+    count = ALL_COLUMNS.index("scan_count")
+    cut, misspelt = F.col("scan_count") == -50, F.col("scan_count") == -49
+    wrong = [F.concat(f, F.lit("x")) if n == count else f for n, f in enumerate(fields)]
+    line = F.when(cut, F.concat_ws(",", *fields[:count])).when(misspelt, F.concat_ws(",", *wrong))
+    header = ",".join(scanlog.SCAN_COLUMNS[name][0] for name in ALL_COLUMNS)
+    # The header is the name of the only column: nothing is to be quoted.
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}
+    rows.select(line.alias("value")).na.fill(",".join(["1"] * 7)).toDF(header).write.options(**plain).csv(path)
+    lines = scanlog.rejected_lines(spark, path)
+    return lines.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _itemsets_by_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark)
+    sinks.write_itemsets(_itemsets(spark, folder), path)
+    return _joined(itemsets.read_itemsets(spark, path), "items")
+
+
+def _by_csv(rows: Query, schema: str) -> Query:
+    """What a query gives, written as CSV with a header and read from it."""
+
+    def query(spark, folder):
+        path = new_folder(spark)
+        sinks.write_columns(rows(spark, folder), path)
+        return spark.read.schema(schema).csv(path, header=True)
+
+    return query
+
+
 def _describe(rows: DataFrame) -> DataFrame:
     return _rounded(profile.describe(rows, "scan_count"), "mean", "std", *profile.QUARTILES)
 
@@ -295,5 +336,15 @@ QUERIES: dict[str, Query] = {
     "split_test": _part_of("test"),
     "shuffled_train": _shuffled_train,
     "train_matrix": _matrix_of("train"),
+    # through files and back
+    "scans_by_csv": _scans_by_csv,
+    "rejected_by_csv": _rejected_by_csv,
+    "itemsets_by_lines": _itemsets_by_lines,
+    "labels_by_csv": _by_csv(
+        _on("visit_number trip_type", features.extract_labels, part="train"), "visit_number bigint, trip_type int"
+    ),
+    "test_ids_by_csv": _by_csv(
+        _on("visit_number", lambda r: r.select("visit_number").distinct(), part="test"), "visit_number bigint"
+    ),
     "test_matrix": _matrix_of("test"),
 }

@@ -94,9 +94,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A name for files that all executors see, beside what is checkpointed."""
+    return f"{_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, *by: str) -> DataFrame:
     """``df`` from a Parquet table in the shared checkpoint folder, in a folder per value of ``by``."""
-    path = f"{_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
