@@ -113,21 +113,21 @@ def test_later_logs_get_the_columns_of_the_first(spark, train, test_log, categor
     assert rows(frozen.dictionary) == rows(fitted.dictionary) and list(frozen.departments) == ["DAIRY", "PRODUCE"]
 
 
-def test_a_saved_fit_serves_another_session(spark, train, test_log, categories, tmp_path):
-    settings = {"ignored": [8], "min_support": 0.5, "top_upcs": 2, "n_clusters": 2}
-    fitted = dataset.build(train, test_log, str(tmp_path), categories, **settings)
-    expected = rows(dataset.apply(test_log, fitted), "visit_number", "indices", "values")
-    fitted.save(str(tmp_path / "copy"))
+def test_a_saved_fit_serves_another_session(spark, built, test_log):
     other = spark.newSession()
-    loaded = dataset.Fitted.load(other, str(tmp_path / "copy"))
+    loaded = dataset.Fitted.load(other, f"{built}/fitted")
     log = other.createDataFrame([tuple(r) for r in test_log.collect()], test_log.schema)
-    assert rows(dataset.apply(log, loaded), "visit_number", "indices", "values") == expected
-    assert loaded.departments == fitted.departments and rows(loaded.centres, "cluster", "n") == rows(fitted.centres, "cluster", "n")
+    expected = spark.read.parquet(f"{built}/test_matrix")
+    columns = ["visit_number", "indices", "values"]
+    assert rows(dataset.apply(log, loaded), *columns) == rows(expected, *columns)
+    assert loaded.departments == ["DAIRY", "PHARMACY RX", "PRODUCE", "TOYS"]
 
 
-def test_a_damaged_fit_is_not_loaded(spark, train, test_log, categories, tmp_path):
-    fitted = dataset.build(train, test_log, str(tmp_path), categories, ignored=[8], min_support=0.5, top_upcs=2, n_clusters=2)
+def test_a_damaged_fit_is_not_loaded(spark, built, tmp_path):
+    fitted = dataset.Fitted.load(spark, f"{built}/fitted")
     fitted.save(str(tmp_path / "copy"))
+    copy = dataset.Fitted.load(spark, str(tmp_path / "copy"))
+    assert rows(copy.dictionary) == rows(fitted.dictionary)
     fitted.upcs.selectExpr("cast(upc as string) as upc").write.mode("overwrite").parquet(str(tmp_path / "copy/upcs"))
     with pytest.raises(ValueError, match="upcs has upc string"):
         dataset.Fitted.load(spark, str(tmp_path / "copy"))
@@ -142,15 +142,12 @@ def test_a_build_leaves_only_its_files(spark, train, test_log, categories, tmp_p
 
     before = spark.sparkContext.getCheckpointDir()
     spark.sparkContext.setCheckpointDir(str(tmp_path / "shared"))
-    settings = {"ignored": [8], "min_support": 0.5, "top_upcs": 2, "n_clusters": 2}
-    fitted = dataset.build(train, test_log, str(tmp_path / "out"), categories, **settings)
-    assert fitted.upcs.count() == 2  # what is returned outlives the build
-    monkeypatch.setattr(dataset.sinks, "write_itemsets", lambda *_: 1 / 0)
-    with pytest.raises(ZeroDivisionError):
-        dataset.build(train, test_log, str(tmp_path / "out2"), categories, **settings)
     with session.scoped(spark) as folder:
-        inner = session.checkpoint(spark.range(5))
+        inner = session.written(session.checkpoint(spark.range(5)))
         assert inner.count() == 5 and glob.glob(f"{folder.removeprefix('file:')}/*")
+    monkeypatch.setattr(dataset.sinks, "write_itemsets", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        dataset.build(train, test_log, str(tmp_path / "out"), categories, ignored=[8], min_support=0.5, top_upcs=2)
     spark.sparkContext.setCheckpointDir(before or str(tmp_path / "after"))
     assert not [f for f in glob.glob(f"{tmp_path}/shared/**/*", recursive=True) if "scope-" in f]
 

@@ -5,7 +5,7 @@ from fixture import rows
 from pyspark.sql import functions as F
 
 from tillroll.functions import scalars
-from tillroll.operators import features, vocabulary
+from tillroll.operators import features, matrix, vocabulary
 from tillroll.sources import sinks
 
 
@@ -189,3 +189,24 @@ def test_retail_categories_are_many_to_many(spark):
     assert pairs.count() == 127
     assert pairs.select("category").distinct().count() == 10
     assert pairs.select("department").distinct().count() == 67
+
+
+def test_matrix_rows_equal_the_long_form(spark, both, categories, dictionary, long):
+    """Integer keys give what joining names gives, with fitted values beside them."""
+    encoded = matrix.encoding(dictionary, categories)
+    columns = ["visit_number", "indices", "values"]
+    assert rows(matrix.matrix_rows(both, encoded), *columns) == rows(features.sparse_rows(long, dictionary), *columns)
+    last = dictionary.count()
+    more = dictionary.unionByName(spark.createDataFrame([(last, features.FITTED, "ItemSet")], dictionary.schema))
+    sets = both.select("visit_number").distinct().withColumn("item_set", F.col("visit_number") % 3)
+    fitted = features.fitted_feature(sets, "item_set", "ItemSet")
+    wide = matrix.matrix_rows(both, matrix.encoding(more, categories), (sets, "item_set", "ItemSet"))
+    expected = features.sparse_rows(long.unionByName(fitted), more)
+    assert rows(wide, *columns) == rows(expected, *columns)
+    # What the dictionary lacks is left out, here all but the visit features, or everything.
+    few = dictionary.where(F.col("family") == features.VISIT)
+    assert rows(matrix.matrix_rows(both, matrix.encoding(few, categories)), *columns) == rows(
+        features.sparse_rows(long, few), *columns
+    )
+    none = matrix.matrix_rows(both, matrix.encoding(dictionary.limit(0), categories))
+    assert rows(none, "visit_number", "indices") == [(v, ()) for v in range(1, 8)]

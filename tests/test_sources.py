@@ -154,3 +154,33 @@ def test_constants(spark):
     from tillroll.session import constants
 
     assert rows(constants(spark, [(1, "a"), (2, "b")], "n", "name")) == [(1, "a"), (2, "b")]
+
+
+def test_stored_by_visit_moves_no_rows(spark, both, train, categories):
+    """Split, labels and matrix over stored logs: one exchange was when they were written."""
+    from tillroll.operators import features, matrix, vocabulary
+    from tillroll.plans.queries import labelled_rows
+    from tillroll.session import checkpoint
+    from tillroll.sources.visits import stored_by_visit
+
+    upcs = vocabulary.top_terms(train, "upc", 2)
+    terms = vocabulary.feature_terms(vocabulary.occurring_terms(both), categories, upcs)
+    encoded = matrix.encoding(checkpoint(vocabulary.feature_dictionary(terms)), categories)
+    stored, labelled = stored_by_visit(both, 4), stored_by_visit(train, 4)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = labelled_rows(stored, labelled, encoded)
+        plans = [split.of_visits(stored, labelled), features.extract_labels(labelled), found]
+        texts = [plan._jdf.queryExecution().executedPlan().toString() for plan in plans]
+        assert not any("Exchange hashpartitioning" in text for text in texts)
+        assert "SortMergeJoin" in texts[2] and "HashAggregate" in texts[2]
+        got = rows(found, "visit_number", "trip_type", "indices", "values")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    plain = labelled_rows(both, train, encoded)
+    assert got == rows(plain, "visit_number", "trip_type", "indices", "values")
+    assert rows(stored) == rows(both)

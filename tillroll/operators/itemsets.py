@@ -174,19 +174,19 @@ def match(purchases: DataFrame, itemsets: DataFrame) -> DataFrame:
 
     ``purchases`` holds department sums without returns, with a row for every visit; the
     basket is the sorted departments with a positive sum. Only its prefixes of two or
-    more are looked up, and none longer than the longest set, which could not match.
+    more are looked up. Known sets are keyed by their first two departments, so a basket is
+    one row of the join, whatever its length, and finds the sets that may be its prefixes there,
+    longest first.
     """
-    known = lookup(dictionary_of(itemsets))
-    longest = known.agg(F.coalesce(F.max(F.size("items")), F.lit(0))).first()[0]
+    first, second = F.get("items", F.lit(0)).alias("first"), F.get("items", F.lit(1)).alias("second")
+    entry = F.struct(F.size("items").alias("size"), "items", "trip_type")
+    known = dictionary_of(itemsets).where(F.size("items") >= 2)
+    known = known.groupBy(first, second).agg(F.sort_array(F.collect_list(entry), asc=False).alias("known"))
     basket = F.sort_array(F.collect_list(F.when(F.col("value") > 0, F.col("department"))))
     baskets = purchases.groupBy("visit_number").agg(basket.alias("basket"))
-    upto = F.least(F.size("basket"), F.lit(longest))
-    sizes = F.when(upto >= 2, F.sequence(F.lit(2), upto))
-    prefixes = baskets.select("visit_number", "basket", F.explode_outer(sizes).alias("size"))
-    tried = prefixes.select("visit_number", "size", F.slice("basket", 1, F.col("size")).alias("items"))
-    hit = F.when(F.col("trip_type").isNotNull(), F.col("size"))
-    return (
-        tried.join(known, "items", "left")
-        .groupBy("visit_number")
-        .agg(F.coalesce(F.max_by("trip_type", hit), F.lit(0)).alias("item_set"))
+    keyed = baskets.select(
+        "visit_number", "basket", F.get("basket", F.lit(0)).alias("first"), F.get("basket", F.lit(1)).alias("second")
     )
+    tried = keyed.join(lookup(known), ["first", "second"], "left")
+    prefixes = F.filter("known", lambda k: k["items"] == F.slice("basket", F.lit(1), k["size"]))
+    return tried.select("visit_number", F.coalesce(F.get(prefixes, F.lit(0))["trip_type"], F.lit(0)).alias("item_set"))

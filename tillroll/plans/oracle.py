@@ -490,6 +490,16 @@ ORACLE_SQL: dict[str, str] = {
     "nearest_frozen_centre": _with(_POINTS, _assigned(0), select=_distances(0)),
     "train_matrix": _matrix("<> 'O'"),
     "test_matrix": _matrix("= 'O'"),
+    "labelled_matrix": _with(
+        _TOP_UPCS,
+        _CATEGORIES,
+        _FEATURES,
+        _DICTIONARY,
+        f"packed as ({_PACKED.format(rows='features')})",
+        select="""select visit_number, trip_type, indices, values from packed join (
+            select visit_number, min(trip_type) as trip_type from scans where status <> 'O' group by visit_number
+        ) using (visit_number)""",
+    ),
     "scans_by_csv": _with(select=f"select {ALL} from scans where status <> 'O'"),
     "rejected_by_csv": _with(
         select="""select case when scan_count = -50 then 'fields' else 'ScanCount' end as reason, count(*) as n

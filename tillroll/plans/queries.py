@@ -21,7 +21,7 @@ from tillroll.operators import (
     vocabulary,
 )
 from tillroll.session import checkpoint, new_folder, written
-from tillroll.sources import scanlog, sinks, star
+from tillroll.sources import scanlog, sinks, star, visits
 
 # Parameters of the order tables. The small UPC vocabulary leaves UPCs out at the scale
 # where results are checked.
@@ -153,6 +153,21 @@ def _matrix_of(part: str) -> Query:
     return query
 
 
+def _labelled_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels beside the features of the settled orders, over a log stored by visit."""
+    stored = visits.stored_by_visit(star.scans(spark, folder, ALL_COLUMNS))
+    dictionary = checkpoint(_dictionary(spark, folder))
+    encoded = matrix.encoding(dictionary, star.categories(spark, folder))
+    train = visits.stored_by_visit(star.scans(spark, folder, ["visit_number", "trip_type"], "train"))
+    return _joined(labelled_rows(stored, train, encoded), "indices", "values")
+
+
+def labelled_rows(scans: DataFrame, train: DataFrame, encoded: matrix.Encoding) -> DataFrame:
+    """(visit_number, trip_type, indices, values) of the visits in ``train``: split, features and labels by visit."""
+    rows = matrix.matrix_rows(split.of_visits(scans, train), encoded)
+    return rows.join(features.extract_labels(train), "visit_number")
+
+
 def _shuffled_train(spark: SparkSession, folder: str) -> DataFrame:
     train = star.scans(spark, folder, ["visit_number", "trip_type"], "train")
     return split.shuffled(features.extract_labels(train))
@@ -336,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "split_test": _part_of("test"),
     "shuffled_train": _shuffled_train,
     "train_matrix": _matrix_of("train"),
+    "labelled_matrix": _labelled_matrix,
     # through files and back
     "scans_by_csv": _scans_by_csv,
     "rejected_by_csv": _rejected_by_csv,
