@@ -212,6 +212,35 @@ def test_decontamination_finds_copies_and_paraphrases(docs, benchmark, nothing):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
 
 
+def test_decontamination_goes_by_row(spark, benchmark):
+    """Rows that share an id with a contaminated one, or lack one like it, stay."""
+    hit = prose(4, 90) + "\n" + BENCHMARK[0][1] + "\n" + prose(5, 60)
+    rows = [(1, hit), (1, prose(6, 80)), (None, hit), (None, prose(7, 80)), (None, None), (2, hit), (3, "")]
+    kept = decontaminate.clean(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark)
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted((r for r in rows if r[1] != hit), key=repr)
+
+
+@pytest.mark.parametrize("at_once", [1, 500, 1 << 20])
+def test_weights_held_by_windows(monkeypatch, at_once):
+    monkeypatch.setattr(decontaminate, "_AT_ONCE", at_once)
+    rng = random.Random(3)
+    words = [f"w{n}" for n in range(60)]
+    items = [(n, " ".join(rng.choices(words[: 10 + n], k=25))) for n in range(40)]
+    index = decontaminate.new_index(items)
+    size = len(index.vocabulary) + 1
+    seen = np.array([0, *(rng.randrange(50) for _ in range(size - 1))])
+    decontaminate.factorise(index, 100, seen, np.zeros((size, decontaminate.RANK)))
+    assert 0 < len(index.common) < size - 1
+    ids = np.array([rng.randrange(size) for _ in range(900)], np.int32)
+    low = np.array(sorted(rng.randrange(900) for _ in range(70)))
+    high = np.minimum(low + np.array([rng.randrange(1, 200) for _ in low]), 900)
+    held = np.concatenate([weights for _, weights in decontaminate._held(index, ids, low, high)])
+    for row, (a, b) in enumerate(zip(low, high)):
+        there = set(ids[a:b].tolist())
+        expected = [sum(w for t, w in own.items() if t in there) for own in index.weights]
+        assert np.allclose(held[row], expected, atol=1e-5)
+
+
 def test_decontamination_in_blocks(docs, benchmark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK", 1)
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, benchmark).collect()}

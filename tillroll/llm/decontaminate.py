@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import as_texts, flat_ranges, slices
-from tillroll.session import checkpoint
+from tillroll.session import checkpoint, size_checked
 
 #: Words of a passage; passages overlap by half.
 PASSAGE = 48
@@ -53,7 +53,13 @@ class Index:
     basis: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     demand: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    shares: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    #: Shares of common terms, a row each, and the row of a term or -1.
+    common: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    column: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    #: Items that hold any other term and their shares, from ``begins[term]`` on.
+    begins: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    holders: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    held: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
 def new_index(rows: list[tuple[int, str]]) -> Index:
@@ -161,15 +167,30 @@ def factorise(index: Index, n_docs: int, seen: np.ndarray, product: np.ndarray)
         own = np.unique(item)
         index.weights.append(dict(zip(own.tolist(), (idf[own] / idf[own].sum()).tolist())))
     index.demand = _demand(index)
-    index.shares = np.zeros((len(idf), len(index.items)), np.float32)
-    for item, own in enumerate(index.weights):
-        index.shares[list(own), item] = list(own.values())
+    _by_term(index, len(idf))
     index.idf, index.latent = idf.astype(np.float32), latent.astype(np.float32)
     index.basis = (idf[:, None] * basis).astype(np.float32)
     index.basis[0] = 0
     return index
 
 
+def _by_term(index: Index, width: int) -> None:
+    # The shares of the items' weights by term: rows of common terms, lists of the others.
+    sizes = [len(own) for own in index.weights]
+    term = np.fromiter(chain.from_iterable(index.weights), np.int64, sum(sizes))
+    share = np.fromiter(chain.from_iterable(own.values() for own in index.weights), np.float64, len(term))
+    item = np.repeat(np.arange(len(sizes)), sizes)
+    often = np.flatnonzero(np.bincount(term, minlength=width) >= _COMMON)
+    index.column = np.full(width, -1)
+    index.column[often] = np.arange(len(often))
+    index.common = np.zeros((len(often), len(sizes)), np.float32)
+    common = index.column[term] >= 0
+    index.common[index.column[term[common]], item[common]] = share[common]
+    order = np.flatnonzero(~common)[np.argsort(term[~common], kind="stable")]
+    index.begins = np.append(0, np.cumsum(np.bincount(term[order], minlength=width)))
+    index.holders, index.held = item[order], share[order]
+
+
 def _demand(index: Index) -> np.ndarray:
     """Per term a number such that words which hold MIN_WEIGHT of any item sum up to 1 at least.
 
@@ -204,19 +225,54 @@ def common_subsequence(item: np.ndarray, words: np.ndarray) -> int:
     return len(item) - state.bit_count()
 
 
+#: Words of windows that are looked at side by side.
+_AT_ONCE = 1 << 20
+#: Items from which a term is common: its shares are multiplied as a row, those of others added one by one.
+_COMMON = 8
+
+
+def _held(index: Index, ids: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, weights): the weight of each item that the distinct terms of some windows [low, high) hold.
+
+    A word counts if its term did not occur in its window before: if the place where it occurred
+    last lies before the window. All windows of a part are looked at side by side.
+    """
+    used = np.flatnonzero(ids)
+    own = ids[used]
+    order = np.argsort(own, kind="stable")
+    again = own[order][1:] == own[order][:-1]
+    last = np.full(len(used), -1)
+    last[order[1:][again]] = order[:-1][again]
+    first = np.searchsorted(used, low)
+    sizes = np.searchsorted(used, high) - first
+    upto, n = np.cumsum(sizes), len(index.items)
+    start = 0
+    while start < len(low):
+        end = max(start + 1, int(np.searchsorted(upto, upto[start] - sizes[start] + _AT_ONCE, "right")))
+        places = flat_ranges(first[start:end], sizes[start:end])
+        row = np.repeat(np.arange(end - start), sizes[start:end])
+        fresh = last[places] < first[start:end][row]
+        term, row = own[places[fresh]], row[fresh]
+        column = index.column[term]
+        common = column >= 0
+        there = np.zeros((end - start, len(index.common)), np.float32)
+        there[row[common], column[common]] = 1
+        weights = there @ index.common
+        term, row = term[~common], row[~common]
+        begins, counts = index.begins[term], index.begins[term + 1] - index.begins[term]
+        entries = flat_ranges(begins, counts)
+        cells = np.repeat(row, counts) * n + index.holders[entries]
+        weights += np.bincount(cells, index.held[entries], (end - start) * n).reshape(-1, n)
+        yield start, weights
+        start = end
+
+
 def _weighty(index: Index, ids: np.ndarray, low: np.ndarray, high: np.ndarray, close: np.ndarray) -> Iterator[tuple[int, int]]:
     """The (row, item) pairs of ``close`` whose window of words holds MIN_WEIGHT of the item."""
-    for k in np.flatnonzero(close.any(axis=1)).tolist():
-        here = np.fromiter(set(ids[low[k] : high[k]].tolist()), np.int64)
-        if index.demand[here].sum() < 1 - 1e-6:
-            continue
-        items = np.flatnonzero(close[k])
-        if 4 * len(items) < close.shape[1]:
-            held = index.shares[here[:, None], items].sum(axis=0)
-        else:
-            held = index.shares[here].sum(axis=0)[items]
-        for item in items[held >= MIN_WEIGHT - 1e-4].tolist():
-            yield k, item
+    for start, weights in _held(index, ids, low, high):
+        found = close[start : start + len(weights)] & (weights >= MIN_WEIGHT - 1e-4)
+        for k, item in np.argwhere(found).tolist():
+            yield start + k, item
 
 
 def _matches(index: Index, lengths: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, int, float, float, bool]]:
@@ -287,13 +343,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     passage. Null, empty and short texts have the passages they can; repeated rows are
     found each; an empty table or benchmark gives no rows.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    schema = "doc_id bigint, item_id bigint, cosine double, share double, answered boolean"
+    return _found(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")), benchmark)
+
+
+def _found(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
+    # ``rows`` holds a key, of any type, and a text.
+    spark, key = rows.sparkSession, rows.columns[0]
+    schema = f"{key} {rows.dtypes[0][1]}, item_id bigint, cosine double, share double, answered boolean"
     found = None
     for block in _blocks(benchmark):
         index = new_index(block)
-        shared = spark.sparkContext.broadcast(factorise(index, *sketch(docs, index)))
+        shared = spark.sparkContext.broadcast(factorise(index, *sketch(rows, index)))
         made = rows.mapInArrow(_search(shared), schema)
         found = made if found is None else found.unionAll(made)
     return spark.createDataFrame([], schema) if found is None else found
@@ -303,16 +363,18 @@ def _search(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            texts, doc_ids = as_texts(batch.column("text")), batch.column("doc_id").to_pylist()
-            made = []
+            texts, keys = as_texts(batch.column("text")), batch.column(0)
+            rows, made = [], []
             for part in slices(texts, 1 << 18):
                 lengths, ids = _term_ids(index, texts[part])
                 for text, item, *rest in _matches(index, lengths, ids):
-                    made.append((doc_ids[part.start + text], index.item_ids[item], *rest))
+                    rows.append(part.start + text)
+                    made.append((index.item_ids[item], *rest))
             if made:
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
-                columns = [pa.array(c, k) for c, k in zip(zip(*made), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "cosine", "share", "answered"])
+                kinds = [pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
+                columns = [keys.take(pa.array(rows)), *(pa.array(c, k) for c, k in zip(zip(*made), kinds))]
+                names = [batch.schema.names[0], "item_id", "cosine", "share", "answered"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -320,7 +382,9 @@ def _search(shared):
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark passage, with all their columns.
 
-    Rows without doc_id are kept if no other row without one is contaminated.
+    A row goes by its own text, told by SHA-256, whatever other rows share its id or have none.
     """
-    hits = checkpoint(contaminated(docs, benchmark).select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(hits, docs["doc_id"].cast("bigint").eqNullSafe(hits["_hit"]), "left_anti")
+    told = F.sha2(F.col("text").cast("binary"), 256)
+    found = _found(docs.select(told.alias("digest"), F.col("text").cast("string")), benchmark)
+    hits = size_checked(checkpoint(found.select(F.col("digest").alias("_hit")).distinct()))
+    return docs.join(hits, told == hits["_hit"], "left_anti")
