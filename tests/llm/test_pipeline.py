@@ -33,7 +33,7 @@ def test_pipeline_against_its_stages(spark, tmp_path):
 
 def test_every_operator_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in entry.queries() if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", ["op5_preference_pairs", "op10_line_first_rules"])
