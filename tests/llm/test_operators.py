@@ -11,6 +11,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import xxhash
@@ -105,18 +107,44 @@ def test_words_give_the_ids_of_their_text():
     rng, alphabet = random.Random(5), "ab  \n\t\x1c\x1f\x85\xa0　'sléÉ²½٣中é́🙂ß.,!?<|endoftext|>09ΣİÅ_-"
     some = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(3000)]
     some += ["<|startoftext|>x<|endoftext|> y", "a<|endoftext|> <|endoftext|>b"]
-    lengths, ids = word_tokens.word_ids(word_tokens.VOCABULARY).of([word_tokens.words(t) for t in some])
+    some += [f"A{b} B{a}.{b}, {a}{b}. x{a},\n{b}" for a in alphabet for b in alphabet] + ["a ~ b~ ~c ~~", "~", "QX. qx, <|ENDOFTEXT|> Q."]
+    texts = word_tokens.folded(pa.array(some, pa.large_string()), word_tokens.VOCABULARY)
+    lengths, ids = word_tokens.word_ids(word_tokens.VOCABULARY).of_texts(texts)
     expected = library_ids(some)
     assert lengths.tolist() == [len(e) for e in expected]
     assert ids.tolist() == [i for e in expected for i in e]
 
 
 def test_full_word_tables_start_anew():
-    table = word_tokens.WordIds(lambda new: (np.full(len(new), 1), np.array([len(w) for w in new])), limit=4)
-    for some in (["a", "bb", "ccc"], ["dddd", "a"], ["bb", "eeeee"]):
+    table = word_tokens.WordIds(lambda new: (np.array([len(w) > 0 for w in new], int), np.array([len(w) for w in new if w])), limit=300)
+    for some in (["a", "bb", "ccc"], ["dddd", "a", "x" * 99], ["x" * 99, "bb", "y" * 98, "eeeee"], ["x" * 99]):
         lengths, ids = table.of([some])
         assert ids.tolist() == [len(w) for w in some] and lengths.tolist() == [len(some)]
-        assert len(table.rows) <= 4
+        found = table.of_texts(pa.array([" ".join(some), ""]))
+        assert found[1].tolist() == [len(w) for w in some] and found[0].tolist() == [len(some), 0]
+        assert len(table.rows) <= 4 and max(map(len, table.rows), default=0) <= 5
+        assert len(table.rows) == len(table.starts) == len(table.lengths) and len(table.ids) == table.lengths.sum()
+
+
+def test_word_tables_are_bounded_by_bytes():
+    """Texts without spaces, and many words: what a worker holds stays near its limit."""
+    rng = random.Random(3)
+    table = word_tokens.WordIds(lambda new: word_tokens.encode(word_tokens.VOCABULARY, new), limit=1 << 20)
+    han = ["".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(1000)) for _ in range(60)]
+    some = [*han, " ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(20_000)), "z" * 100_000]
+    expected = library_ids(some)
+    for text, ids in zip(some, expected):
+        assert table.of_texts(pa.array([text], pa.large_string()))[1].tolist() == ids
+    table.of([["a"]])
+    assert table.held < 1 << 20 and sum(map(len, table.rows)) < 1 << 20
+
+
+def test_length_table():
+    words = ["a", "bb", "ü", "x" * 60]
+    table = token_counts.LengthTable(words, np.array([1, 2, 3, 4]))
+    held, lengths = table.find(pa.array(["ü", "c", "x" * 60, "a", ""]))
+    assert held.tolist() == [True, False, True, True, False] and lengths.tolist() == [3, 0, 4, 1, 0]
+    assert token_counts.LengthTable([], np.zeros(0)).find(pa.array(["a"]))[0].tolist() == [False]
 
 
 def test_token_counts(docs):
@@ -129,8 +157,9 @@ def test_token_counts(docs):
 def test_token_counts_merge_many_summaries(docs, monkeypatch):
     monkeypatch.setattr(token_counts, "FAN_IN", 2)
     frequent = token_counts.frequent_words(docs.repartition(9), 1000)
-    counts = Counter(w for _, t in pairs(docs) for w in word_tokens.words(t))
-    assert set(frequent[:3]) == {w for w, _ in counts.most_common(3)}
+    texts = word_tokens.folded(pa.array([t for _, t in pairs(docs)]), word_tokens.VOCABULARY)
+    counts = Counter(w for t in texts.to_pylist() for w in t.split())
+    assert [counts[w] for w in frequent[:9]] == [n for _, n in counts.most_common(9)]
 
 
 def test_token_files(spark, docs):
@@ -144,7 +173,7 @@ def test_token_files(spark, docs):
         start += len(own)
 
 
-@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 1023, 1024, 1025, 20_000])
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 255, 256, 257, 1023, 1024, 1025, 20_000])
 def test_range_coder_round_trips(n):
     rng = np.random.default_rng(n)
     for ids in (rng.integers(0, 49_409, n), rng.integers(0, 5, n), np.full(n, 7), np.arange(n)):
@@ -153,15 +182,37 @@ def test_range_coder_round_trips(n):
 
 
 def test_range_coder_learns_and_detects_damage():
-    ids = np.tile(np.random.default_rng(0).integers(0, 49_409, 100), 160)
+    block = range_coder.BLOCK
+    ids = np.tile(np.random.default_rng(0).integers(0, 49_409, 100), 2 * block // 100 + 9)
     sizes, crcs, payload = range_coder.compress(ids)
-    assert len(payload) * 8 < 5 * len(ids)  # 16 bits each without a model
+    assert len(payload) * 8 < len(ids)  # 16 bits each without a model
     # Blocks stand alone: the second decodes without the first.
-    words, block = np.cumsum(sizes) * 4, range_coder.BLOCK
+    words = np.cumsum(sizes) * 4
     alone = range_coder.decompress(block, sizes[1:2], crcs[1:2], payload[words[0] : words[1]])
     assert (alone == ids[block : 2 * block]).all()
-    with pytest.raises(ValueError):
-        range_coder.decompress(len(ids), sizes, crcs, payload[:400] + b"\1" + payload[401:])
+    assert (range_coder.decompress(len(ids), sizes, crcs, payload) == ids).all()
+    for at in (1, 400, 9000, len(payload) - 3):
+        with pytest.raises(ValueError):
+            range_coder.decompress(len(ids), sizes, crcs, payload[:at] + bytes([payload[at] ^ 1]) + payload[at + 1 :])
+
+
+def test_range_coder_refuses_ids_beyond_its_limit():
+    for ids in ([3, range_coder.ID_LIMIT], [-1]):
+        with pytest.raises(ValueError):
+            range_coder.compress(np.array(ids))
+    ids = np.array([0, 65_534, 65_535, 65_536, range_coder.ID_LIMIT - 1])
+    assert (range_coder.decompress(5, *range_coder.compress(ids)) == ids).all()
+
+
+def test_range_coder_mixes():
+    """Fewer bits an id than the entropy of the ids, and than zlib, over whole texts of the test tables."""
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].combine_chunks()
+    table = word_tokens.word_ids(word_tokens.VOCABULARY)
+    ids = np.concatenate([table.of_texts(some)[1] for some in word_tokens.text_slices(texts.slice(0, 3000))])
+    n, share = len(ids), np.unique(ids, return_counts=True)[1] / len(ids)
+    bits = 8 * len(range_coder.compress(ids)[2]) / n
+    assert bits < -(share * np.log2(share)).sum()
+    assert bits < 8 * len(zlib.compress(ids.astype("<u2").tobytes())) / n
 
 
 # 2: byte-level BPE

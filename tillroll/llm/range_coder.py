@@ -1,162 +1,190 @@
 """Adaptive context-mixing range coder for token ids, in numpy lanes.
 
-A block of BLOCK ids starts from nothing and can be decoded alone. Lanes of one array
-code many blocks in step, one id of each at a time, so that the sequential work of a
-block costs array operations shared by all.
-
-The next id is predicted at three orders. Tables hashed by the last two ids and by the
-last id each propose one id with a confidence; order 0 is the distribution of the block's
-ids so far, renewed at growing distances. How often proposals of each pair of confidences
-came true, in this block, sets how the probability is shared among the three. What order
-0 has not met is escaped and follows as 16 bits.
+A block of BLOCK ids starts from nothing, can be decoded alone and carries a checksum. It
+is cut into lanes of STEPS ids, which are coded in step: one id of each lane at a time, by
+a model that all lanes share and that learns from all of them after each step.
+
+Tables keyed by the last two ids and by the last id each propose an id with a confidence.
+How likely a proposal is, is mixed from all orders: order 2 and order 1 by their
+confidence, order 0 by the frequency of the proposed id so far, each as the logarithm of
+the odds that such predictions had until now, weighted by weights that follow the error.
+An id that is not proposed is coded by order 0, without the ids proposed in vain. All that
+decides is whole numbers, or sums and products that every machine rounds alike.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 
-#: Ids of a block, and positions at which its order-0 distribution is renewed.
-BLOCK = 1024
-RENEWALS = (64, 128, 256, 512)
-#: Steps between renewals of the shares of the three orders.
-SHARE_STEPS = 128
+#: Ids of a block, and of a lane of it.
+BLOCK = 1 << 20
+STEPS = 256
+#: Ids have to be below this.
+ID_LIMIT = 1 << 22
 
 _U = np.uint64
 _WORD, _BOTTOM = _U(32), _U(1 << 32)
-#: Slots of an order-0 distribution, and entries of the tables of orders 1 and 2.
-_SLOTS, _ENTRIES = 4096, 1024
-#: What the proposals of orders 2 and 1 may take of the 2^16 parts of a step.
-_SHARED = 60_000
-#: Stands for an id that order 0 has not met.
-_ESCAPE = 0xFFFF
+#: Parts of a proposal's probability, and of an order-0 distribution.
+_PARTS, _SLOTS = 1 << 12, 1 << 24
+#: What an id has and gains in order 0, of which it always keeps at least a slot.
+_FIRST, _GAIN = 1, 7
+#: Confidences of orders 2 and 1, whether they propose the same, and sizes of a frequency.
+_SURE, _LEVELS = 8, 16
+_STATES = (_SURE, 2 * _SURE, _LEVELS)
+_WIDTH = (1 << 26) - 1
+#: Logarithms of odds are held in parts of 1 / 256.
+_UNIT = 256
+
+
+def _steps_of_update(steps: int) -> np.ndarray:
+    """After which steps the shared statistics are renewed: soon at first, then every 16."""
+    early = [n for n in (1, 2, 3, 4, 6, 8, 12) if n < steps]
+    due = np.zeros(steps + 1, bool)
+    due[early] = True
+    due[16::16] = True
+    return due
+
+
+_STRETCH = np.array([0] + [round(_UNIT * math.log(p / (_PARTS - p))) for p in range(1, _PARTS)])
+_FAR = 8 * _UNIT
+_SQUASH = np.array([round(_PARTS / (1 + math.exp(-x / _UNIT))) for x in range(-_FAR, _FAR + 1)]).clip(16, _PARTS - 16)
+
+
+class _Mixer:
+    """The probability that a proposal is right, by the states of the three orders; none where ``valid`` says so."""
+
+    def __init__(self, valid: np.ndarray):
+        self.valid = np.broadcast_to(valid, _STATES)
+        self.tried = [np.full(size, 2, np.int64) for size in _STATES]
+        self.right = [np.full(size, 1, np.int64) for size in _STATES]
+        # One set of weights for each confidence of order 2; all orders count alike at first.
+        self.weights = np.full((3, _SURE), 0.4)
+        self.notes: list[np.ndarray] = []
+        self._mix()
+
+    def _mix(self) -> None:
+        self.logs = []
+        for axis, (tried, right) in enumerate(zip(self.tried, self.right)):
+            odds = _STRETCH[((2 * right + 1) * _PARTS // (2 * tried + 2)).clip(8, _PARTS - 8)]
+            self.logs.append(odds.reshape([-1 if a == axis else 1 for a in range(3)]))
+        whole = np.rint(self.weights * 65536).astype(np.int64)
+        mixed = sum(w[:, None, None] * logs for w, logs in zip(whole, self.logs)) >> 16
+        self.table = (_SQUASH[mixed.clip(-_FAR, _FAR) + _FAR] * self.valid).ravel()
+
+    def update(self) -> None:
+        """Learns from all that was noted (state and, as its last bit, whether the proposal
+        was right): the counts of each order's states, then the weights."""
+        seen = np.bincount(np.concatenate(self.notes), minlength=2 * len(self.table))
+        self.notes = []
+        wrong, right = np.moveaxis(seen.reshape(*_STATES, 2) * self.valid[..., None], -1, 0)
+        tried = wrong + right
+        error = right * _PARTS - tried * self.table.reshape(_STATES)
+        n = tried.sum(axis=(1, 2))
+        for axis, logs in enumerate(self.logs):
+            slope = (error * logs).sum(axis=(1, 2))
+            self.weights[axis] += 0.5 * slope / ((n + 64) * float(_PARTS * _UNIT))
+            others = tuple(a for a in range(3) if a != axis)
+            self.tried[axis] += tried.sum(axis=others)
+            self.right[axis] += right.sum(axis=others)
+        self._mix()
 
 
 class _Model:
-    """What encoder and decoder both know, for ``lanes`` blocks in step."""
-
-    def __init__(self, lanes: int):
-        self.lanes = lanes
-        self.entry_base = np.arange(lanes, dtype=np.int32) * np.int32(_ENTRIES)
-        self.state_base = np.arange(lanes, dtype=np.int32) * np.int32(32)
-        self.one = np.zeros(lanes * _ENTRIES, np.int32)  # id << 2 | confidence
-        self.two = np.zeros(lanes * _ENTRIES, np.int32)
-        self.last = np.zeros(lanes, np.int32)
-        self.before = np.zeros(lanes, np.int32)
-        self.keys = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
-        self.seen = np.zeros((3, lanes * 32), np.int64)  # steps, hits of order 2, of order 1
-        self.history: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self._share()
-        self._distribute(0)
-
-    def renew(self, ids: np.ndarray, upto: int) -> None:
-        """Takes the new columns of ``ids`` (lane, position) into the order-0 distribution."""
-        lane = np.arange(self.lanes)[:, None] << 16
-        since = 0 if upto == RENEWALS[0] else RENEWALS[RENEWALS.index(upto) - 1]
-        fresh, n = np.unique((lane | ids[:, since:upto]).ravel(), return_counts=True)
-        keys, inverse = np.unique(np.concatenate((self.keys, fresh)), return_inverse=True)
-        self.counts = np.bincount(inverse, np.concatenate((self.counts, n))).astype(np.int64)
-        self.keys = keys
-        self._distribute(upto)
-
-    def _distribute(self, total: int) -> None:
-        lane = self.keys >> 16
-        distinct = np.bincount(lane, minlength=self.lanes)
-        once = np.bincount(lane[self.counts == 1], minlength=self.lanes)
-        escapes = np.clip(_SLOTS * once // max(total, 1), 32, 1536)
-        freq = 1 + self.counts * (_SLOTS - distinct - escapes)[lane] // max(total, 1)
-        # The escape of a lane comes behind its ids and takes what is left of its slots.
-        used = np.bincount(lane, freq, self.lanes).astype(np.int64)
-        keys = np.concatenate((self.keys, (np.arange(self.lanes) << 16) + _ESCAPE))
-        freq = np.concatenate((freq, _SLOTS - used))
-        order = np.argsort(keys, kind="stable")
-        self.symbol_keys, self.freq = keys[order], freq[order]
-        cum = np.cumsum(self.freq) - self.freq - (self.symbol_keys >> 16) * _SLOTS
-        # A symbol's id, end and start among the slots, in one number.
-        self.symbols = ((self.symbol_keys & 0xFFFF) << 32 | (cum + self.freq) << 16 | cum).astype(_U)
-
-    def find(self, ids: np.ndarray) -> np.ndarray:
-        """Order-0 symbols of ids (lane, position); the lane's escape where there is none."""
-        wanted = ((np.arange(self.lanes)[:, None] << 16) | ids).ravel()
-        at = np.searchsorted(self.symbol_keys, wanted)
-        escape = np.repeat(np.flatnonzero((self.symbol_keys & 0xFFFF) == _ESCAPE), ids.shape[1])
-        return self.symbols[np.where(self.symbol_keys[at] == wanted, at, escape)].reshape(ids.shape)
-
-    def _share(self) -> None:
-        """Sets the shares of orders 2 and 1 for each pair of confidences, from what came true."""
-        if self.history:
-            state, hit2, hit1 = (np.concatenate(x) for x in zip(*self.history))
-            for row, some in enumerate((state, state[hit2], state[hit1])):
-                self.seen[row] += np.bincount(some, minlength=self.seen.shape[1])
-            self.history = []
-        n, h2, h1 = self.seen.reshape(3, self.lanes, 2, 4, 4)  # same proposal, confidence of order 2, of order 1
-        m2 = _SHARED * (h2 + 1) // (n + 2)
-        m2[:, :, 0] = 0
-        m1 = (_SHARED - m2) * (h1 + 1) // (n - h2 + 2)
-        m1[:, :, :, 0] = 0
-        m1[:, 1, 1:] = 0
-        self.share2, self.share1 = m2.ravel().astype(_U), (m1 + m2).ravel().astype(_U)
+    """What encoder and decoder both know of a block."""
+
+    def __init__(self, lanes: int, steps: int, alphabet: int):
+        size = 1 << max(10, min(20, (lanes * steps).bit_length()))
+        self.mask = size - 1
+        self.one = np.zeros(alphabet, np.int64)  # id << 3 | confidence
+        self.two = np.zeros(size, np.int64)
+        self.last = np.zeros(lanes, np.int64)
+        self.before = np.zeros(lanes, np.int64)
+        self.counts = np.full(alphabet, _FIRST, np.int64)
+        sure2, alike, sure1 = np.arange(_SURE)[:, None, None], np.arange(2 * _SURE)[:, None] >> 3, np.arange(2 * _SURE)[:, None] & 7
+        self.second = _Mixer(sure2 > 0)
+        self.first = _Mixer((sure1 > 0) & (alike == 0))  # what order 2 proposes too is tried once
+        self.due = _steps_of_update(steps)
+        self.step, self.fresh = 0, []
+        self._distribute()
+
+    def _distribute(self) -> None:
+        # Products of floats that hold whole numbers: rounded alike everywhere. At least a
+        # slot each, as all counts together stay below the number of slots.
+        ends = np.cumsum(self.counts)
+        self.starts = np.zeros(len(ends) + 1, np.int64)
+        self.starts[1:] = ends * (_SLOTS / float(ends[-1]))
+        self.starts[-1] = _SLOTS
+        widths = np.diff(self.starts)
+        exponents = (widths.astype(np.float64).view(np.int64) >> 52) - 1023
+        levels = (exponents - 8).clip(0, _LEVELS - 1)
+        # An id's start, width and level in one number.
+        self.symbols = self.starts[:-1] << 30 | widths << 4 | levels
 
     def predict(self) -> None:
-        """Looks both tables up and shares out the step's probability: order 2 takes what is
-        below ``m2``, order 1 what is below ``m1``, order 0 the rest."""
-        mixed = self.last * np.int32(40503)
-        self.at1 = self.entry_base + (mixed >> 4 & _ENTRIES - 1)
-        self.at2 = self.entry_base + (mixed + self.before * np.int32(30011) >> 5 & _ENTRIES - 1)
-        self.e1, self.e2 = self.one[self.at1], self.two[self.at2]
-        self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
-        same = (self.p1 == self.p2).view(np.int8)
-        self.state = self.state_base + ((same.astype(np.int32) << 4) + ((self.e2 & 3) << 2) + (self.e1 & 3))
-        self.m2, self.m1 = self.share2[self.state], self.share1[self.state]
-        self.rest = _U(65536) - self.m1
-
-    def interval(self, start: np.ndarray, end: np.ndarray, hit2: np.ndarray, hit1: np.ndarray):
-        """Start and end of this step's ids; ``start`` and ``end`` are slots of order 0."""
-        first = self.m1 + (self.rest * start >> _U(12))
-        last = self.m1 + (self.rest * end >> _U(12))
-        if len(at := np.flatnonzero(hit1)):
-            first[at], last[at] = self.m2[at], self.m1[at]
-        if len(at := np.flatnonzero(hit2)):
-            first[at], last[at] = 0, self.m2[at]
-        return first, last
+        """The proposals of orders 2 and 1, and where their intervals of 2^24 parts end."""
+        self.at2 = (self.last * 2654435761 + self.before * 2246822519 >> 9) & self.mask
+        self.e1, self.e2 = self.one[self.last], self.two[self.at2]
+        self.p1, self.p2, self.c1, self.c2 = self.e1 >> 3, self.e2 >> 3, self.e1 & 7, self.e2 & 7
+        self.s1, self.s2 = self.symbols[self.p1], self.symbols[self.p2]
+        state = (self.c2 << 8) + ((self.p1 == self.p2).astype(np.int64) << 7) + (self.c1 << 4)
+        self.state1, self.state2 = state + (self.s1 & 15), state + (self.s2 & 15)
+        self.q1, self.q2 = self.first.table[self.state1], self.second.table[self.state2]
+        self.end2 = self.q2 << 12
+        self.end1 = self.end2 + (_PARTS - self.q2) * self.q1
+
+    def vain(self) -> tuple[np.ndarray, np.ndarray]:
+        """The widths that the proposals have in order 0, nothing where none was made."""
+        return (self.s1 >> 4 & _WIDTH) * (self.q1 > 0), (self.s2 >> 4 & _WIDTH) * (self.q2 > 0)
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        self.history.append((self.state, hit2, hit1))
-        if len(self.history) == SHARE_STEPS:
-            self._share()
-        fresh = ids << 2 | 1
-        for entries, at, entry, predicted in ((self.one, self.at1, self.e1, self.p1), (self.two, self.at2, self.e2, self.p2)):
-            sure = entry & 3
-            entries[at] = np.where(predicted == ids, entry + (sure < 3), np.where(sure > 1, entry - 1, fresh))
+        self.second.notes.append(self.state2 * 2 + hit2)
+        self.first.notes.append((self.state1 * 2 + hit1) * ~hit2)  # not tried: noted where nothing is valid
+        fresh = ids << 3 | 1
+        right1 = (ids == self.p1) & (self.c1 > 0)
+        for entries, at, entry, sure, right in (
+            (self.one, self.last, self.e1, self.c1, right1),
+            (self.two, self.at2, self.e2, self.c2, hit2),
+        ):
+            lower = np.where(sure > 1, entry - sure + (sure >> 1), fresh)
+            entries[at] = np.where(right, entry + (sure < 7), lower)
         self.before, self.last = self.last, ids
+        self.fresh.append(ids)
+        self.step += 1
+        if self.due[self.step]:
+            self.counts += _GAIN * np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
+            self.fresh = []
+            self._distribute()
+            self.first.update()
+            self.second.update()
 
 
-# The interval of a block narrows within 64 bits. Once it is below 32 of them its upper
+# The interval of a lane narrows within 64 bits. Once it is below 32 of them its upper
 # word is written: it is settled, or the interval is cut where it would change.
 
 
 class _Encoder:
     def __init__(self, lanes: int, steps: int):
         self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-        self.width = steps + 8
+        self.width = 2 * steps + 2
         self.words = np.zeros(lanes * self.width, "<u4")
         self.base = np.arange(lanes) * self.width
         self.n = np.zeros(lanes, np.int64)
 
     def put(self, start: np.ndarray, end: np.ndarray) -> None:
-        span = self.range >> _U(16)
+        span = self.range >> _U(24)
         self.low += span * start
         self.range = span * (end - start)
         if len(at := np.flatnonzero(self.range < _BOTTOM)):
             self._write(at)
 
-    def put_some(self, lanes: np.ndarray, ids: np.ndarray) -> None:
-        span = self.range[lanes] >> _U(16)
-        self.low[lanes] += span * ids.astype(_U)
-        self.range[lanes] = span
-        if len(at := lanes[span < _BOTTOM]):
+    def put_of(self, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
+        span = self.range // total
+        self.low += span * start
+        self.range = span * size
+        if len(at := np.flatnonzero(self.range < _BOTTOM)):
             self._write(at)
 
     def _write(self, at: np.ndarray) -> None:
@@ -167,9 +195,9 @@ class _Encoder:
         self.low[at] = low << _WORD
 
     def finish(self) -> tuple[np.ndarray, bytes]:
-        every = np.arange(len(self.low))
-        for _ in range(2):
-            self._write(every)
+        """Words of each lane, and all of them. The last is the one that, with zeros behind, lies inside."""
+        self.low += _BOTTOM - _U(1)
+        self._write(np.arange(len(self.low)))
         kept = np.arange(self.width) < self.n[:, None]
         return self.n, self.words.reshape(-1, self.width)[kept].tobytes()
 
@@ -179,17 +207,19 @@ def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
 
 
 class _Decoder:
-    def __init__(self, sizes: np.ndarray, payload: bytes):
-        lanes = len(sizes)
+    def __init__(self, n: np.ndarray, words: np.ndarray):
+        lanes = len(n)
         self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-        self.words = np.concatenate((np.frombuffer(payload, "<u4"), np.zeros(2, "<u4")))
-        self.at = np.cumsum(sizes) - sizes
-        self.code = self.words[self.at].astype(_U) << _WORD | self.words[self.at + 1]
-        self.at = self.at + 2
+        self.words = words
+        self.end = np.cumsum(n)
+        self.at = self.end - n
+        self.code = np.zeros(lanes, _U)
+        for _ in range(2):
+            self._shift(np.arange(lanes))
 
     def value(self) -> np.ndarray:
-        self.span = self.range >> _U(16)
-        return np.minimum((self.code - self.low) // self.span, _U(65535))
+        self.span = self.range >> _U(24)
+        return np.minimum((self.code - self.low) // self.span, _U(_SLOTS - 1)).astype(np.int64)
 
     def take(self, start: np.ndarray, end: np.ndarray) -> None:
         self.low += self.span * start
@@ -197,90 +227,122 @@ class _Decoder:
         if len(at := np.flatnonzero(self.range < _BOTTOM)):
             self._read(at)
 
-    def take_some(self, lanes: np.ndarray) -> np.ndarray:
-        span = self.range[lanes] >> _U(16)
-        ids = np.minimum((self.code[lanes] - self.low[lanes]) // span, _U(65535))
-        self.low[lanes] += span * ids
-        self.range[lanes] = span
-        if len(at := lanes[span < _BOTTOM]):
+    def value_of(self, total: np.ndarray) -> np.ndarray:
+        self.span = self.range // total
+        return np.minimum((self.code - self.low) // self.span, total - _U(1)).astype(np.int64)
+
+    def take_of(self, start: np.ndarray, size: np.ndarray) -> None:
+        self.low += self.span * start
+        self.range = self.span * size
+        if len(at := np.flatnonzero(self.range < _BOTTOM)):
             self._read(at)
-        return ids
+
+    def _shift(self, at: np.ndarray) -> None:
+        word = np.where(self.at[at] < self.end[at], self.words[np.minimum(self.at[at], len(self.words) - 1)], 0)
+        self.code[at] = self.code[at] << _WORD | word.astype(_U)
+        self.at[at] += 1
 
     def _read(self, at: np.ndarray) -> None:
         low, span = self.low[at], self.range[at]
-        # A damaged payload may ask for words behind its end; its checksum will tell.
-        word = self.words[np.minimum(self.at[at], len(self.words) - 1)]
-        self.code[at] = self.code[at] << _WORD | word
-        self.at[at] += 1
+        self._shift(at)
         self.range[at] = _cut(low, span) << _WORD
         self.low[at] = low << _WORD
 
 
-def _blocks(n: int) -> tuple[int, int]:
-    """Number of blocks of ``n`` ids, and steps of the longest."""
-    return -(-n // BLOCK), min(n, BLOCK)
+def _shape(n: int) -> tuple[int, int]:
+    """Lanes of a block of ``n`` ids, and steps of each."""
+    lanes = -(-n // STEPS)
+    return lanes, -(-n // lanes)
 
 
-def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
-    """(32-bit words of each block, crc32 of each block's ids, payload) of ids below 65,535."""
-    lanes, steps = _blocks(len(ids))
-    if not lanes:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), b""
-    raw = ids.astype("<u4")
-    crcs = np.array([zlib.crc32(raw[k : k + BLOCK].tobytes()) for k in range(0, len(ids), BLOCK)])
-    block = np.zeros((lanes, steps), np.int64)
-    block.ravel()[: len(ids)] = ids
-    model, coder = _Model(lanes), _Encoder(lanes, steps)
-    bounds = [0, *(r for r in RENEWALS if r < steps), steps]
-    for start, stop in zip(bounds, bounds[1:]):
-        if start:
-            model.renew(block, start)
-        columns = np.ascontiguousarray(block[:, start:stop].T, np.int32)
-        symbols = np.ascontiguousarray(model.find(block[:, start:stop]).T)
-        slots = zip(symbols & _U(0xFFFF), symbols >> _U(16) & _U(0xFFFF))
-        for now, (first, last), escape in zip(columns, slots, symbols >> _WORD == _ESCAPE):
-            model.predict()
-            hit2 = (now == model.p2) & (model.m2 > 0)
-            hit1 = (now == model.p1) & (model.m1 > model.m2) & ~hit2
-            coder.put(*model.interval(first, last, hit2, hit1))
-            if len(new := np.flatnonzero(escape & ~(hit2 | hit1))):
-                coder.put_some(new, now[new])
-            model.learn(now, hit2, hit1)
-    sizes, payload = coder.finish()
-    return sizes, crcs, payload
+def _interval(model: _Model, hit2: np.ndarray, hit1: np.ndarray):
+    """Start and end of the hits, or of the rest, and the lanes that missed."""
+    missed = ~(hit2 | hit1)
+    start = model.end2 * hit1 + model.end1 * missed
+    end = model.end2 * hit2 + model.end1 * hit1 + _SLOTS * missed
+    return start.astype(_U), end.astype(_U), missed
 
 
-def decompress(n: int, sizes: np.ndarray, crcs: np.ndarray, payload: bytes) -> np.ndarray:
-    """The ``n`` ids of :func:`compress`; a block whose checksum differs is an error."""
-    lanes, steps = _blocks(n)
-    if not lanes:
-        return np.zeros(0, np.uint32)
-    block = np.zeros((steps, lanes), np.int32)
-    model, coder = _Model(lanes), _Decoder(np.asarray(sizes, np.int64), payload)
-    slot_base = np.arange(lanes, dtype=np.int64) * _SLOTS
-    table = np.repeat(model.symbols, model.freq)  # the symbol of each slot
+def _packed(ids: np.ndarray) -> bytes:
+    lanes, steps = _shape(len(ids))
+    columns = np.zeros((lanes, steps), np.int64)
+    columns.ravel()[: len(ids)] = ids
+    columns = np.ascontiguousarray(columns.T)
+    alphabet = int(ids.max()) + 1
+    model, coder = _Model(lanes, steps, alphabet), _Encoder(lanes, steps)
+    for now in columns:
+        model.predict()
+        hit2, hit1 = (now == model.p2) & (model.q2 > 0), (now == model.p1) & (model.q1 > 0)
+        start, end, missed = _interval(model, hit2, hit1)
+        coder.put(start, end)
+        # Order 0, for lanes without a hit: the others take the whole of one part.
+        symbol, (wide1, wide2) = model.symbols[now], model.vain()
+        start = symbol >> 30
+        start = (start - wide1 * (model.s1 < symbol) - wide2 * (model.s2 < symbol)) * missed
+        size = (symbol >> 4 & _WIDTH) * missed + ~missed
+        coder.put_of(start.astype(_U), size.astype(_U), ((_SLOTS - wide1 - wide2) * missed + ~missed).astype(_U))
+        model.learn(now, hit2, hit1)
+    sizes, words = coder.finish()
+    head = np.zeros(2 + lanes + lanes % 2, "<u2")  # the alphabet in two halves, and each lane's words
+    head[:2] = alphabet & 0xFFFF, alphabet >> 16
+    head[2 : 2 + lanes] = sizes
+    return head.tobytes() + words
+
+
+def _unpacked(n: int, words: np.ndarray) -> np.ndarray:
+    lanes, steps = _shape(n)
+    alphabet = min(int(words[0]), ID_LIMIT)
+    head = 1 + (lanes + 1) // 2
+    sizes = words[1:head].view("<u2")[:lanes].astype(np.int64)
+    block = np.zeros((steps, lanes), np.int64)
+    model = _Model(lanes, steps, alphabet)
+    coder = _Decoder(sizes, words[head:])
     for step in range(steps):
-        if step in RENEWALS:
-            model.renew(block.T, step)
-            table = np.repeat(model.symbols, model.freq)
         model.predict()
         value = coder.value()
-        hit2 = value < model.m2
-        below1 = value < model.m1
-        hit1 = below1 & ~hit2
-        inner = np.where(below1, _U(0), value - model.m1)
-        slot = ((inner + _U(1)) * _U(_SLOTS) - _U(1)) // model.rest
-        symbol = table[slot_base + slot.astype(np.int64)]
-        coder.take(*model.interval(symbol & _U(0xFFFF), symbol >> _U(16) & _U(0xFFFF), hit2, hit1))
-        now = (symbol >> _WORD).astype(np.int32)
-        if len(at := np.flatnonzero(below1)):
-            now[at] = np.where(hit2[at], model.p2[at], model.p1[at])
-        if len(new := np.flatnonzero((now == _ESCAPE) & ~below1)):
-            now[new] = coder.take_some(new)
+        hit2 = value < model.end2
+        hit1 = (value < model.end1) & ~hit2
+        start, end, missed = _interval(model, hit2, hit1)
+        coder.take(start, end)
+        (wide1, wide2), low1, low2 = model.vain(), model.s1 >> 30, model.s2 >> 30
+        slot = coder.value_of(((_SLOTS - wide1 - wide2) * missed + ~missed).astype(_U))
+        # Slots of order 0 again: the lower of the two proposals first.
+        swap = low1 > low2
+        slot += np.where(swap, wide2 * (slot >= low2), wide1 * (slot >= low1))
+        slot += np.where(swap, wide1 * (slot >= low1), wide2 * (slot >= low2))
+        found = np.searchsorted(model.starts, slot, side="right") - 1
+        symbol = model.symbols[found]
+        start = ((symbol >> 30) - wide1 * (model.s1 < symbol) - wide2 * (model.s2 < symbol)) * missed
+        size = (symbol >> 4 & _WIDTH) * missed + ~missed
+        coder.take_of(start.astype(_U), size.astype(_U))
+        now = found * missed + model.p2 * hit2 + model.p1 * hit1
         model.learn(now, hit2, hit1)
         block[step] = now
-    ids = np.ascontiguousarray(block.T).reshape(-1)[:n].astype("<u4")
-    for k, crc in enumerate(crcs):
-        if zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].tobytes()) != crc:
+    return np.ascontiguousarray(block.T).reshape(-1)[:n].astype("<u4")
+
+
+def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """(32-bit words of each block, crc32 of each block's ids, payload) of ids below ID_LIMIT."""
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < ID_LIMIT:
+        raise ValueError(f"ids have to be from 0 to {ID_LIMIT - 1}")
+    blocks = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
+    payloads = [_packed(block) for block in blocks]
+    sizes = np.array([len(p) // 4 for p in payloads], np.int64)
+    crcs = np.array([zlib.crc32(block.astype("<u4").tobytes()) for block in blocks], np.int64)
+    return sizes, crcs, b"".join(payloads)
+
+
+def decompress(n: int, sizes: np.ndarray, crcs: np.ndarray, payload: bytes) -> np.ndarray:
+    """The ``n`` ids of :func:`compress`; a block whose checksum differs is an error."""
+    words = np.frombuffer(payload, "<u4")
+    ends = np.cumsum(np.asarray(sizes, np.int64))
+    made = [np.zeros(0, "<u4")]
+    for k, (size, end, crc) in enumerate(zip(sizes, ends, crcs)):
+        try:
+            ids = _unpacked(min(n - k * BLOCK, BLOCK), words[end - size : end])
+        except (IndexError, ZeroDivisionError):  # what is damaged may point anywhere
+            ids = made[0]
+        if zlib.crc32(ids.tobytes()) != crc:
             raise ValueError(f"block {k} is damaged: its checksum differs")
-    return ids
+        made.append(ids)
+    return np.concatenate(made)

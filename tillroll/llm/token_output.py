@@ -12,9 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import as_texts, offsets, slices
+from tillroll.llm.common import offsets
 from tillroll.llm.range_coder import compress, decompress
-from tillroll.llm.word_tokens import VOCABULARY, word_ids, words
+from tillroll.llm.word_tokens import VOCABULARY, folded, text_slices, word_ids
 from tillroll.session import lookup
 
 #: Id that ends every document.
@@ -52,11 +52,12 @@ def _frames(path: str):
         part, number, before = TaskContext.get().partitionId(), 0, 0
         held, size = [], 0
         for batch in batches:
-            texts, doc_ids = as_texts(batch.column("text")), batch.column("doc_id").to_pylist()
-            for some in slices(texts):
-                lengths, ids = word_ids(path).of([words(text) for text in texts[some]])
+            doc_ids = batch.column("doc_id").to_pylist()
+            for some in text_slices(batch.column("text")):
+                lengths, ids = word_ids(path).of_texts(folded(some, path))
                 closed = np.insert(ids, offsets(lengths)[1:], END)
-                held.append((doc_ids[some], lengths + 1, closed))
+                held.append((doc_ids[: len(some)], lengths + 1, closed))
+                doc_ids = doc_ids[len(some) :]
                 size += len(closed)
                 if size >= FRAME:
                     yield frame(part, number, before, held)

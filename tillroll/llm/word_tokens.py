@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Iterator
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tillroll.llm.common import flat_ranges, worker_cache
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-#: Words that a worker remembers; beyond, it starts anew.
-REMEMBERED = 300_000
+#: Bytes that the words and ids a worker remembers may take, about; beyond, it starts anew.
+REMEMBERED = 96 << 20
+#: Longer words, in characters, are encoded where they are met and not remembered.
+LONGEST = 64
+#: What an entry of a word table takes beside its letters and ids.
+_ENTRY = 120
 
-# Python splits texts at these four, which are not white space to the tokenizer.
-_ODD = re.compile("[\x1c-\x1f]")
+# Stands between words that are encoded together: a word of its own that no merge crosses.
+_MARK = "~"
+#: Characters that are encoded together, about.
+_TOGETHER = 4096
 
 
 def tokenizer(path: str):
@@ -31,49 +38,89 @@ def tokenizer(path: str):
     return cache["tokenizer", path]
 
 
-def encode(path: str, texts: list[str]) -> list[list[int]]:
-    """Ids of each text as the library gives them, without added special tokens.
+def encode(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of ids of each word as the library gives them, without added special
+    tokens, and all ids. Words hold no ASCII white space.
 
-    Many words differ only in capitals or in the full stop or comma behind their letters.
-    The tokenizer lower-cases, and never merges letters with marks, so such words share
-    the ids of their letters, which a worker remembers.
+    White space ends every merge, so many words are encoded as one text, a mark between
+    them, and its ids cut at those of the mark. Words with the mark in them go alone.
     """
-    if not texts:
-        return []
-    known = worker_cache().setdefault(("letters", path), {})
-    forms = [_letters(text) for text in texts]
-    new = {form for form, _ in forms} - known.keys()
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = {form for form, _ in forms}
-    new = [*new, *{mark for _, mark in forms if mark} - known.keys() - new]
-    known.update(zip(new, (e.ids for e in tokenizer(path).encode_batch_fast(new, add_special_tokens=False))))
-    return [known[form] + known[mark] if mark else known[form] for form, mark in forms]
-
-
-def _letters(word: str) -> tuple[str, str]:
-    """A word's letters in lower case and the mark behind them, or the word as it is and nothing."""
-    for letters, mark in ((word, ""), (word[:-1], word[-1:])):
-        # Up to here in Unicode, lower case is one letter for one, whatever stands around it.
-        if letters.isalpha() and max(letters) < "\u0130" and mark in ("", ".", ","):
-            return letters.lower(), mark
-    return word, ""
-
-
-def words(text: str) -> list[str]:
-    """The parts of a text whose ids, put together, are the ids of the text.
+    library = tokenizer(path)
+    (mark,) = library.encode(_MARK, add_special_tokens=False).ids
+    parts, start, size = [], 0, 0
+    for n, word in enumerate(words):
+        if _MARK in word or size > _TOGETHER:
+            parts += [(start, n)] if n > start else []
+            start, size = n, 0
+            if _MARK in word:
+                parts.append((n, n + 1))
+                start = n + 1
+        size += len(word) + 3
+    parts += [(start, len(words))] if len(words) > start else []
+    joined = [f" {_MARK} ".join(words[i:j]) for i, j in parts]
+    lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for (i, j), found in zip(parts, library.encode_batch_fast(joined, add_special_tokens=False)):
+        some = np.array(found.ids, np.int32)
+        if j - i > 1:
+            cuts = np.flatnonzero(some == mark)
+            lengths.append(np.diff(cuts, prepend=-1, append=len(some)) - 1)
+            some = np.delete(some, cuts)
+        else:
+            lengths.append(np.array([len(some)]))
+        ids.append(some)
+    return np.concatenate(lengths), np.concatenate(ids)
+
+
+def _folds(path: str) -> bool:
+    """Whether the tokenizer lower-cases all but its special tokens, which hold "<"."""
+    library, cache = tokenizer(path), worker_cache()
+    if ("folds", path) not in cache:
+        special = library.get_added_tokens_decoder().values()
+        alike = library.encode("QX", add_special_tokens=False).ids == library.encode("qx", add_special_tokens=False).ids
+        cache["folds", path] = alike and all("<" in token.content for token in special)
+    return cache["folds", path]
+
+
+def folded(texts: pa.Array, path: str) -> pa.Array:
+    """``texts`` with fewer distinct words and the same ids: ASCII letters in lower case, a
+    full stop or comma between a letter and white space apart from its word.
+
+    The tokenizer lower-cases itself, and no merge crosses from letters to marks. Texts
+    that may hold a special token stay as they are.
+    """
+    if not _folds(path):
+        return texts
+    apart = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-zß-öø-ÿ])([.,])([ \\n])", r"\1 \2\3")
+    return pc.if_else(pc.match_substring(texts, "<"), texts, apart)
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The number of words of each text, and all words, each text's after another's.
 
     The tokenizer drops white space before it splits and merges, and no special token
-    holds any, so the words between white space can be encoded one by one. Texts with the
-    separators that only Python takes for white space stay in one part.
+    holds any, so the ids of a text are those of its words. Cutting at ASCII white space
+    is enough: what other white space a word holds the tokenizer drops itself.
     """
-    return text.split() if not _ODD.search(text) else [text]
+    found = pc.ascii_split_whitespace(texts)
+    return pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64), found.flatten().dictionary_encode()
+
+
+def text_slices(column: pa.Array, limit: int = 1 << 22) -> Iterator[pa.Array]:
+    """The texts of a column, null as empty, in slices of about ``limit`` bytes; one text at least each."""
+    texts = column.cast(pa.large_string()).fill_null("")
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes) - sizes) // limit
+    for at in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(part)) + 1):
+        if len(at):
+            yield texts.slice(at[0], len(at))
 
 
 class WordIds:
     """The ids of words met so far: a row number per word, and the ids row after row.
 
-    ``encoder`` gives the number of ids of each word and all ids.
+    ``encoder`` gives the number of ids of each word and all ids. Words over LONGEST are
+    forgotten after each call, all words once they and their ids take ``limit`` bytes: a
+    table holds that and the words of one call at most.
     """
 
     def __init__(self, encoder: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = REMEMBERED):
@@ -85,6 +132,7 @@ class WordIds:
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.held = 0
 
     def add(self, new: list[str]) -> None:
         lengths, flat = self.encoder(new)
@@ -92,34 +140,68 @@ class WordIds:
         self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
         self.lengths = np.concatenate((self.lengths, lengths))
         self.ids = np.concatenate((self.ids, flat.astype(np.int32)))
-
-    def of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The number of ids of each text, given as its words, and all ids."""
-        distinct = set(chain.from_iterable(texts))
-        new = distinct - self.rows.keys()
-        if len(self.rows) + len(new) > self.limit:
+        self.held += sum(map(len, new)) + _ENTRY * len(new) + 4 * len(flat)
+
+    def _forget(self, long: list[str]) -> None:
+        """Drops the words ``long``, the last that were added."""
+        kept = len(self.rows) - len(long)
+        for word in long:
+            del self.rows[word]
+        n = int(self.starts[kept])
+        self.held -= sum(map(len, long)) + _ENTRY * len(long) + 4 * (len(self.ids) - n)
+        self.starts, self.lengths, self.ids = self.starts[:kept].copy(), self.lengths[:kept].copy(), self.ids[:n].copy()
+
+    def _known(self, distinct: Collection[str]) -> list[str]:
+        """Adds what is new of ``distinct``; gives the words to forget after use."""
+        new = [word for word in distinct if word not in self.rows]
+        if new and self.held > self.limit:
             self.clear()
-            new = distinct
+            new = list(distinct)
+        long = [word for word in new if len(word) > LONGEST]
         if new:
-            self.add(list(new))
-        n_words = np.fromiter(map(len, texts), np.int64, len(texts))
-        rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(texts)), np.int64, int(n_words.sum()))
+            self.add([word for word in new if len(word) <= LONGEST] + long)
+        return long
+
+    def _gather(self, n_words: np.ndarray, rows: np.ndarray, long: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lengths = self.lengths[rows]
         ids = self.ids[flat_ranges(self.starts[rows], lengths)]
         before = np.concatenate(([0], np.cumsum(lengths)))
         ends = np.cumsum(n_words)
+        if long:
+            self._forget(long)
         return before[ends] - before[ends - n_words], ids
 
+    def of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each text, given as its words, and all ids."""
+        long = self._known(set(chain.from_iterable(texts)))
+        n_words = np.fromiter(map(len, texts), np.int64, len(texts))
+        rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(texts)), np.int64, int(n_words.sum()))
+        return self._gather(n_words, rows, long)
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of ids of each whole text, and all ids: each distinct word is looked up once.
+
+        A null text has none.
+        """
+        n_words, words = split(texts)
+        distinct = words.dictionary.to_pylist()
+        long = self._known(distinct)
+        rows = np.fromiter(map(self.rows.__getitem__, distinct), np.int64, len(distinct))
+        return self._gather(n_words, rows[words.indices.to_numpy()], long)
+
+    def lengths_of(self, distinct: list[str]) -> np.ndarray:
+        """The number of ids of each of these words."""
+        long = self._known(distinct)
+        rows = np.fromiter(map(self.rows.__getitem__, distinct), np.int64, len(distinct))
+        lengths = self.lengths[rows]
+        if long:
+            self._forget(long)
+        return lengths
+
 
 def word_ids(path: str) -> WordIds:
     """The word table of ``path`` of this worker."""
     cache = worker_cache()
     if ("words", path) not in cache:
-
-        def encoder(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = encode(path, new)
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            return lengths, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-
-        cache["words", path] = WordIds(encoder)
+        cache["words", path] = WordIds(lambda new: encode(path, new))
     return cache["words", path]
