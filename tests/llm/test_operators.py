@@ -164,7 +164,7 @@ def test_token_counts_merge_many_summaries(docs, monkeypatch):
 
 def test_token_files(spark, docs):
     found = token_output.written(docs).collect()
-    ordered = sorted(pairs(docs), key=lambda p: (p[0] is not None, p[0] or 0, p[1].encode()))
+    ordered = pairs(docs.orderBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
     ids = [i + [1] for i in library_ids([t for _, t in ordered])]
     assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == [d for d, _ in ordered]
     start = 0
@@ -173,6 +173,21 @@ def test_token_files(spark, docs):
         start += len(own)
 
 
+def test_token_files_without_ids(spark, nothing, tmp_path):
+    """Many rows without an id are not one task's, and none is lost; no rows give no files' rows."""
+    rows = spark.range(4000).selectExpr("cast(null as bigint) doc_id", "if(id % 2 = 0, 'same', 'text ' || id) text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_output.write_tokens(rows.repartition(4), str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    frames = spark.read.parquet(str(tmp_path / "t")).groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()
+    assert len(frames) > 1 and sum(r.n for r in frames) == 4000 and max(r.n for r in frames) < 2000
+    found = token_output.read_tokens(spark, str(tmp_path / "t"))
+    assert found.agg(F.countDistinct("start")).first()[0] == 4000
+    assert token_output.written(nothing).count() == 0
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 255, 256, 257, 1023, 1024, 1025, 20_000])
 def test_range_coder_round_trips(n):
     rng = np.random.default_rng(n)

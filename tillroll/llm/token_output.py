@@ -71,14 +71,18 @@ def _frames(path: str):
 def write_tokens(docs: DataFrame, folder: str, path: str = VOCABULARY) -> None:
     """Writes the ids of every whole text, each document closed by id 1, under ``folder``.
 
-    Documents go in ascending doc_id (null first, equal ids by text): the texts are range
-    partitioned once, and a partition is encoded and compressed as it is read in order.
+    Documents go in ascending doc_id (null first, equal ids by a hash of their text): the
+    texts are range partitioned once, and a partition is encoded and compressed as it is
+    read in order. Rows of one id, or without one, may lie in several partitions.
     Null and empty texts hold the end id alone; repeated rows are written each; an empty
     table gives no frames. A frame is a row of a Parquet file, which Spark commits as a
     whole, so tasks may fail and be run again.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows alike in id and text are told by a number, so that no number of them goes to one task.
+    keys = ["doc_id", "hash", "row"]
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     ordered.mapInArrow(_frames(path), FRAMES).write.parquet(folder)
 
 
