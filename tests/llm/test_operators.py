@@ -493,7 +493,7 @@ def test_surrogates_never_run_out(spark):
     assert all(r.surrogate.startswith("192.168.") for r in found if r.entity.startswith("192.168.") and r.entity != "192.168.01.7")
     for name in names:
         made = pii.surrogate("person", name, 0)
-        assert made != name[2:] and len(made) == len(name[2:]) and pii._letters(name[2]) == pii._letters(made[0])
+        assert made != name[2:] and len(made) == len(name[2:]) and pii._letters(name[2]).casefold() == pii._letters(made[0]).casefold()
     for kind, entity in [("ssn", "111-22-3333"), ("phone", "+1 23 45"), ("ip", "192.168.1.1"), ("person", "u:สมชาย")]:
         assert len({pii.surrogate(kind, entity, n) for n in range(pii.WIDE, pii.WIDE + 20)}) == 20
 

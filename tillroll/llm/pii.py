@@ -9,6 +9,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.common import slices
+from tillroll.llm.people import TITLES, people
 from tillroll.session import checkpoint
 
 #: Key of the surrogates: the same key gives the same surrogates. Set your own in production.
@@ -28,13 +30,6 @@ CROWDED = 8192
 
 EMAIL, TOKEN, CARD, PHONE, IP, SSN, IBAN, PERSON = "email token card phone ip ssn iban person".split()
 
-# Titles that a name follows, with the gender they say (m, f, or unknown).
-_TITLES = {
-    "Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m",
-    "Mrs": "f", "Ms": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Mlle": "f", "Señora": "f", "Sra": "f",
-    "Dr": "u", "Prof": "u",
-}
-
 # Names that surrogates are made of, by gender; unknown takes either list.
 _GIVEN = {
     "m": "Adam Bruno Carl Daniel Erik Felix Georg Hugo Ivan Jonas Karim Louis Martin Noel Oscar Paul Quentin Robert "
@@ -42,10 +37,18 @@ _GIVEN = {
     "f": "Anna Berta Clara Diana Elena Flora Greta Helena Irene Julia Karin Laura Maria Nora Olivia Paula Rosa Sara "
     "Tanja Ursula Vera Wanda Xenia Yvonne Zoe".split(),
 }
+# Family names are a beginning, a middle and an end.
 _FAMILY = (
-    "Abel Bauer Costa Dietz Evans Fabre Garcia Hansen Ibarra Jensen Keller Lopez Meyer Navarro Olsen Perez Quinn "
-    "Rossi Silva Torres Ullmann Vidal Weber Young Zimmer Alba Berger Colin Duarte Engel"
-).split()
+    "Ab Ba Bor Cas Dan Eb Fal Gar Han Ib Jor Kal Lam Mar Nor Ol Pel Quin Ros Sal Tor Ul Vel Wen Zim".split(),
+    "be di fa ga ke li lo ma me mi na ni no pe ra re ri ro sa se si ta te ti to va ve vi za zi".split(),
+    "ck d ger hl k l ler lt m mann n nd nger ns r rd rt s sen ss st t tt x y z".split(),
+)
+
+# Country codes of two digits; 1 and 7 have one, all others three.
+_TWO_DIGITS = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98".split()
+)
 
 _LOCAL = r"[^\W_](?:[\w.+-]*[^\W_])?"
 _PATTERNS = [
@@ -59,57 +62,81 @@ _PATTERNS = [
 ]
 # Every kind but addresses and names holds a digit.
 _DIGIT = re.compile("[0-9]")
-_NAMES = re.compile(rf"\b({'|'.join(_TITLES)})(\.?\s+)([^\W\d_a-zß-öø-ÿ][^\W\d_]+(?:[ -][^\W\d_a-zß-öø-ÿ][^\W\d_]+)?)")
-
 _CLOUD = ("AKIA", "ASIA")
 
+#: What separates the digits of a number; its mentions are one entity however it is written.
+_SEPARATORS = str.maketrans("", "", " .()-")
+_NUMBERS = {CARD, PHONE, SSN, IBAN}
+
+#: An entity's mention: where it is, and how it is written.
+_FIELDS = [("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("entity", pa.string()), ("form", pa.list_(pa.int32()))]
 _SPANS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("start", T.IntegerType()),
-            T.StructField("end", T.IntegerType()),
-            T.StructField("kind", T.StringType()),
-            T.StructField("entity", T.StringType()),
-            T.StructField("upper", T.BooleanType()),
-        ]
-    )
+    T.StructType()
+    .add("start", T.IntegerType())
+    .add("end", T.IntegerType())
+    .add("kind", T.StringType())
+    .add("entity", T.StringType())
+    .add("form", T.ArrayType(T.IntegerType()))
 )
+_ARROW_SPANS = pa.list_(pa.struct(_FIELDS))
 
-_ARROW_SPANS = pa.list_(
-    pa.struct(
-        [("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("entity", pa.string()), ("upper", pa.bool_())]
-    )
-)
+
+class Span(NamedTuple):
+    """A mention of an entity; ``form`` says which words of a person's name are written, and is None for others."""
+
+    start: int
+    end: int
+    kind: str
+    entity: str
+    form: tuple[int, ...] | None
 
 
-def detect(text: str) -> list[tuple[int, int, str, str, bool]]:
-    """(start, end, kind, entity, upper) of each entity, in order and apart.
+def detect(text: str) -> list[Span]:
+    """The mentions of entities, in order and apart.
 
-    Where two overlap, the one whose pattern is listed first stays. ``entity`` is what
-    mentions of one entity share: e-mail addresses and hexadecimal tokens in lower case
-    (``upper`` tells of capitals), numbers as written, names with the gender of their title.
+    Where two overlap, the one whose pattern is listed first stays; names come last.
+    ``entity`` is what mentions of one entity share: e-mail addresses and hexadecimal tokens
+    in lower case, other numbers without what separates their digits, persons by their
+    fullest name in the text and the gender of their titles (see :mod:`people`).
     """
-    found: list[tuple[int, int, str, str, bool]] = []
+    found: list[Span] = []
     taken = bytearray(len(text))
 
-    def add(start: int, end: int, kind: str, entity: str, upper: bool) -> None:
+    def add(start: int, end: int, kind: str, entity: str, form: tuple[int, ...] | None) -> None:
         if not any(taken[start:end]):
             taken[start:end] = b"\1" * (end - start)
-            found.append((start, end, kind, entity, upper))
+            found.append(Span(start, end, kind, entity, form))
 
     digits = _DIGIT.search(text) is not None
     for kind, pattern, needed in _PATTERNS:
         if (needed is None or needed in text) and (digits or kind == EMAIL):
             for match in pattern.finditer(text):
-                folded = kind == EMAIL or kind == TOKEN and not match[0].startswith(_CLOUD)
-                entity = match[0].lower() if folded else match[0]
-                add(match.start(), match.end(), kind, entity, folded and match[0].isupper())
-    if any(title in text for title in _TITLES):
-        for match in _NAMES.finditer(text):
-            add(match.start(3), match.end(3), PERSON, f"{_TITLES[match[1]]}:{match[3]}", False)
+                entity = match[0]
+                if kind in _NUMBERS:
+                    entity = entity.translate(_SEPARATORS)
+                elif kind == EMAIL or kind == TOKEN and not entity.startswith(_CLOUD):
+                    entity = entity.lower()
+                add(match.start(), match.end(), kind, entity, None)
+    if any(title in text for title in TITLES):
+        for mention in people(text):
+            add(mention.start, mention.end, PERSON, mention.entity, mention.form)
     return sorted(found)
 
 
+def written(mention: str, kind: str, made: str, form: list[int] | None) -> str:
+    """The surrogate ``made`` in the form of a mention: its separators, shortening and capitals."""
+    if kind == PERSON:
+        words = made.split(" ")
+        made = " ".join(words[n] if n >= 0 else words[-1 - n][0] + "." for n in form)
+    elif kind in _NUMBERS:
+        digits = iter(made)
+        made = "".join(next(digits, "") if c.isalnum() or c == "+" else c for c in mention) + "".join(digits)
+    elif kind == IP or mention.startswith(_CLOUD):
+        return made
+    letters = [c for c in mention if c.isalpha()]
+    return made.upper() if len(letters) > 1 and mention.isupper() else made
+
+
 class _Stream:
     """Numbers that the key, the entity and the attempt determine."""
 
@@ -151,7 +178,7 @@ def _like(text: str, numbers: _Stream) -> str:
                     char = chr(low + numbers.below(high - low + 1))
                     break
             else:
-                if char.isalpha() and (letters := _letters(char)):
+                if char.isalnum() and (letters := _letters(char)):
                     char = letters[numbers.below(len(letters))]
         made.append(char)
     return "".join(made)
@@ -197,10 +224,11 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
         drawn = [str(1 + numbers.below(254)) for _ in parts]
         return ".".join(parts[:keep] + drawn[keep:])
     if kind == PHONE:
-        country = re.match(r"\+\d{1,3}(?=[ .-])|\+\d", entity)
-        head = country[0] if country else ""
-        tail = _like(entity[len(head) :], numbers)
-        return head + re.sub(r"\d", lambda m: str(2 + int(m[0]) % 8), tail, count=1)
+        country = 0
+        if entity.startswith("+"):
+            country = 2 if entity[1] in "17" else 3 if entity[1:3] in _TWO_DIGITS else 4
+        tail = _like(entity[country:], numbers)
+        return entity[:country] + re.sub(r"[0-9]", lambda m: str(2 + int(m[0]) % 8), tail, count=1)
     if kind == IBAN:
         return entity[:2] + _like(entity[2:], numbers)
     if kind == PERSON:
@@ -209,13 +237,16 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes = KEY) -> str:
 
 
 def _person(entity: str, numbers: _Stream, attempt: int) -> str:
+    """A name with as many words: given names of the gender, and a family name, which longer attempts make double."""
     gender, _, name = entity.partition(":")
-    if attempt < WIDE and any(ord(c) > 0x24F for c in name):  # another script: letters of that script
-        return _like(name, numbers)
+    words = name.split(" ")
+    if attempt < WIDE and any(ord(c) > 0x24F for c in name if c != "’"):  # another script: letters of that script
+        return " ".join(w[:1].upper() + w[1:] for w in _like(name.replace("_", " "), numbers).split(" ")[-len(words) :])
     given = _GIVEN.get(gender) or _GIVEN["m"] + _GIVEN["f"]
-    family = "-".join(_FAMILY[numbers.below(len(_FAMILY))] for _ in range(1 + attempt // 2))
-    made = f"{given[numbers.below(len(given))]} {family}" if " " in name else family
-    return made.upper() if name.isupper() else made
+    family = "-".join("".join(part[numbers.below(len(part))] for part in _FAMILY) for _ in range(1 + attempt // 2))
+    if words[-1][1:2] == "'" and len(words[-1]) > 2:  # O'Brien
+        family = f"{words[-1][:2].upper()}{family}"
+    return " ".join([*(given[numbers.below(len(given))] for _ in words[1:]), family])
 
 
 @lru_cache(4)
@@ -259,7 +290,9 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
         return run
 
     entities = checkpoint(entities)
-    real = entities.select("kind", F.regexp_replace("entity", "^[mfu]:", "").alias("surrogate"))
+    # Persons are told in lower case.
+    told = F.when(F.col("kind") == PERSON, F.lower("surrogate")).otherwise(F.col("surrogate"))
+    real = entities.select("kind", F.when(F.col("kind") == PERSON, F.expr("substr(entity, 3)")).otherwise(F.col("entity")).alias("told"))
     pending, accepted, attempt = entities, None, 0
     # Leading zeros would give an address two spellings; they are drawn like any other.
     private = (F.col("kind") == IP) & F.col("entity").rlike(r"^192\.168\.(0|[1-9]\d*)\.(0|[1-9]\d*)$")
@@ -269,7 +302,7 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     while True:
         proposed = checkpoint(pending.mapInArrow(propose(attempt), "kind string, entity string, surrogate string"))
         best = proposed.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
-        best = best.join(real, ["kind", "surrogate"], "left_anti")
+        best = best.withColumn("told", told).join(real, ["kind", "told"], "left_anti")
         if accepted is not None:
             best = best.join(accepted, ["kind", "surrogate"], "left_anti")
         best = best.select("kind", "entity", "surrogate")
@@ -281,7 +314,10 @@ def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
 
 
 def _spread(docs: DataFrame, keep: bool, schema: T.StructType):
-    """Rows with entities and their spans (``keep``), or the rows without any."""
+    """Rows with entities and their spans (``keep``), or the rows without any.
+
+    Both halves detect: to store the texts without entities, most of all, costs more.
+    """
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,13 +331,47 @@ def _spread(docs: DataFrame, keep: bool, schema: T.StructType):
                 continue
             columns = list(batch.take(pa.array(rows)).columns)
             if keep:
-                named = [[dict(zip(_SPANS.elementType.names, s)) for s in spans[n]] for n in rows]
+                named = [[s._asdict() for s in spans[n]] for n in rows]
                 columns.append(pa.array(named, _ARROW_SPANS))
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)
 
 
+def _written(place: str, schema: T.StructType):
+    """The texts of the column ``place``, with spans and the surrogates of their entities, made anew: in one pass over each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made, sizes = [], []
+            for text, spans, known in zip(*(batch.column(n).to_pylist() for n in (place, "spans", "known"))):
+                new = {(k["kind"], k["entity"]): k["surrogate"] for k in known}
+                pieces, at = [], 0
+                for s in spans:
+                    mention = text[s["start"] : s["end"]]
+                    pieces += [text[at : s["start"]], written(mention, s["kind"], new[s["kind"], s["entity"]], s["form"])]
+                    at = s["end"]
+                made.append("".join([*pieces, text[at:]]))
+                sizes.append(len(spans))
+            columns = [batch.column(n) for n in batch.schema.names if n not in ("id", "spans", "known")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.string()), pa.array(sizes, pa.int64())], schema.names)
+
+    return run
+
+
+def _one_person(entities: DataFrame) -> DataFrame:
+    """(kind, entity, same) of distinct entities: a person of unknown gender is the man or the woman of that
+    name if the corpus has only one of them, so both get one surrogate."""
+    name = F.when(F.col("kind") == PERSON, F.expr("substr(entity, 3)")).alias("name")
+    gender = F.when(F.col("kind") == PERSON, F.expr("substr(entity, 1, 1)"))
+    men, women = (F.max(gender == g).alias(g) for g in "mf")
+    unknown = entities.where(gender == "u").select("kind", "entity", name)
+    told = entities.where(gender != "u").groupBy(name).agg(men, women).where("m <> f")
+    same = F.concat(F.when(F.col("m"), "m:").otherwise("f:"), "name")
+    moved = unknown.join(told, "name").select("kind", "entity", same.alias("same"))
+    return entities.join(moved, ["kind", "entity"], "left").select("kind", "entity", F.coalesce("same", "entity").alias("same"))
+
+
 def _replaced(docs: DataFrame, key: bytes) -> tuple[list[str], DataFrame]:
     """The documents with entities: their columns under other names, ``made``, the new
     text, and ``n``, the number of its entities."""
@@ -310,28 +380,23 @@ def _replaced(docs: DataFrame, key: bytes) -> tuple[list[str], DataFrame]:
     given = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
     found = _spread(docs, True, T.StructType([*given, T.StructField("spans", _SPANS)]))
     found = checkpoint(found.withColumn("id", F.monotonically_increasing_id()))
-    spans = found.select("id", F.inline("spans"))
-    known = assign(spans.select("kind", "entity").distinct(), key)
-    named = spans.join(known, ["kind", "entity"]).withColumn("new", F.when(F.col("upper"), F.upper("surrogate")).otherwise(F.col("surrogate")))
-    cuts = named.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "new"))).alias("cuts"))
-    text = F.col(names[docs.columns.index("text")])
-
-    def piece(cut, i):  # the text since the cut before, and the surrogate
-        since = F.when(i > 0, F.get("cuts", i - 1)["end"]).otherwise(0)
-        return F.concat(F.substring(text, since + 1, cut["start"] - since), cut["new"])
-
-    rest = F.substring(text, F.element_at("cuts", -1)["end"] + 1, F.length(text))
-    made = F.concat(F.array_join(F.transform("cuts", piece), ""), rest)
-    joined = found.drop("spans").join(cuts, "id").withColumns({"made": made, "n": F.size("cuts").cast("bigint")})
-    return names, joined
+    each = found.select("id", F.inline(F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"], s["entity"])))))
+    each = each.toDF("id", "kind", "entity")
+    entities = checkpoint(_one_person(each.select("kind", "entity").distinct()))
+    known = assign(entities.select("kind", F.col("same").alias("entity")).distinct(), key)
+    known = entities.join(known.withColumnRenamed("entity", "same"), ["kind", "same"]).drop("same")
+    pairs = each.join(known, ["kind", "entity"]).groupBy("id").agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("known"))
+    schema = T.StructType([*given, T.StructField("made", T.StringType()), T.StructField("n", T.LongType())])
+    joined = found.join(pairs, "id").select(*names, "spans", "known")
+    return names, joined.mapInArrow(_written(names[docs.columns.index("text")], schema), schema)
 
 
 def hidden(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """``docs`` with every entity replaced, ``n_chars`` set anew where a text has changed.
 
     All columns are kept, whatever their names. Null and empty texts have no entities.
-    Repeated rows and repeated mentions get the same surrogates: an entity has one in the
-    whole corpus. An empty table gives no rows.
+    Repeated rows and repeated mentions get the same surrogates, each in the form of its
+    mention: an entity has one in the whole corpus. An empty table gives no rows.
     """
     names, changed = _replaced(docs, key)
     made = {"text": F.col("made"), "n_chars": F.length("made").cast("bigint")}
