@@ -133,7 +133,7 @@ def _links_of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     held: list[pa.RecordBatch] = []
 
     def runs(rows: pa.Table, last: bool):
-        cell, part, fp, rep = (rows.column(c).to_numpy() for c in ("cell", "part", "fp", "rep"))
+        cell, part, fp = (rows.column(c).to_numpy() for c in ("cell", "part", "fp"))
         cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1])) + 1
         starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(fp)]))
         if not last:
@@ -141,8 +141,8 @@ def _links_of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         a, b = [], []
         for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
             for x, y in near_links(fp[s:e].view(np.uint64), references):
-                a.append(rep[s + x])
-                b.append(rep[s + y])
+                a.append(fp[s + x])
+                b.append(fp[s + y])
         rest = int(ends[-1]) if len(ends) else 0
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]), rest
 
@@ -164,29 +164,37 @@ def _links_of_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield made
 
 
-def linked(prints: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id) of materialised (doc_id, fp) rows.
+def classes(prints: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of materialised (doc_id, fp) rows: ``root`` names the component of a fingerprint.
 
-    Equal fingerprints collapse to one, with the smallest doc_id as its name. A pair
-    within MAX_BITS bits agrees in six of the eight bytes, so it meets in one of 28 cells,
-    each named by six bytes; two free bytes bound a cell at 65,536 fingerprints, however
-    many rows there are. Within a cell the pivot distance table decides.
+    Equal fingerprints collapse to one, and it is fingerprints that links connect: rows
+    may share a doc_id, or have none, and still be told apart. A pair within MAX_BITS bits
+    agrees in six of the eight bytes, so it meets in one of 28 cells, each named by six
+    bytes; two free bytes bound a cell at 65,536 fingerprints, however many rows there
+    are. Within a cell the pivot distance table decides.
     """
     reps = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    cells = reps.where(F.col("rep").isNotNull()).select("fp", "rep", _cells())
-    dealt = cells.repartition("cell", "part").sortWithinPartitions("cell", "part", "fp")
+    dealt = reps.select("fp", _cells()).repartition("cell", "part").sortWithinPartitions("cell", "part", "fp")
     links = checkpoint(dealt.mapInArrow(_links_of_cells, "a bigint, b bigint"))
-    found = components(links).withColumnRenamed("node", "rep")
-    named = reps.join(found, "rep", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
-    return prints.join(named, "fp")
+    found = components(links).toDF("fp", "root")
+    linked = checkpoint(found.join(reps, "fp"))
+    smallest = linked.groupBy("root").agg(F.min("rep").alias("smallest"))
+    moved = linked.select("fp", "root").join(smallest, "root")
+    own = F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("smallest"))
+    return reps.join(moved, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), own.alias("component_id"))
+
+
+def linked(prints: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of materialised (doc_id, fp) rows."""
+    return prints.join(classes(prints), "fp").select("doc_id", "fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row of ``docs``.
 
     Null and empty texts have fingerprint zero and link like any other. Repeated rows
-    share their component; rows without doc_id take part under the component of their
-    fingerprint, null if nothing else has it. An empty table gives no rows.
+    share their component; rows without doc_id link like any other, and a component of
+    such rows alone has null. An empty table gives no rows.
     """
     found = linked(checkpoint(fingerprinted(docs)))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -194,31 +202,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of each component, one row each.
+    """One row of ``docs`` per component: that of smallest doc_id; rows without one only where no other is.
 
-    Rows that share that doc_id are equal or close; the one that sorts first stays. Rows
-    without doc_id stay only if no row with one is linked to them: one per fingerprint.
+    Rows that share a doc_id but no component all stay; of rows that share both, and of
+    those without doc_id, the one that sorts first stays.
     """
     prints = checkpoint(fingerprinted(docs))
-    found = linked(prints)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counts = checkpoint(kept.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("fp")).agg(F.count("*").alias("n")))
+    named = classes(prints)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    counts = prints.join(named, "fp").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(first).alias("first"))
+    counts = checkpoint(counts)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"))
-    ids = counts.where("doc_id is not null").select(F.col("doc_id").alias("id"), "n")
-    joined = rows.join(ids, "id")
-    single = joined.where("n = 1").select("row.*")
-    if counts.where("n > 1 or doc_id is null").isEmpty():
+    ids = counts.where("doc_id is not null and n = 1 and first").select(F.col("doc_id").alias("id"))
+    single = rows.join(ids, "id").select("row.*")
+    again = counts.where("first and (n > 1 or doc_id is null)").select(F.col("doc_id").alias("id"))
+    if again.isEmpty():
         return single
-    # Rare: several rows under one id, or rows without an id.
-    repeated = joined.where("n > 1").groupBy("id").agg(F.min("row").alias("row")).select("row.*")
-    nameless = fingerprinted_rows(docs.where("doc_id is null")).join(
-        counts.where("doc_id is null").select("fp"), "fp", "left_semi"
-    )
-    return single.unionAll(repeated).unionAll(nameless.groupBy("fp").agg(F.min("row").alias("row")).select("row.*"))
+    # Several rows under one id, or rows without an id: these go by their text.
+    several = rows.join(again, rows["id"].eqNullSafe(again["id"]), "left_semi").select("row.*")
+    each = fingerprinted_rows(several).join(named, "fp").where(F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("component_id")))
+    return single.unionAll(each.groupBy("root").agg(F.min("row").alias("row")).select("row.*"))
 
 
 def fingerprinted_rows(docs: DataFrame) -> DataFrame:
-    """(row, fp) for rows without a doc_id, joined by their text."""
+    """(row, fp) for rows that no doc_id tells apart, joined by their text."""
     texts = docs.select("text").distinct().withColumn("doc_id", F.xxhash64("text"))
     prints = fingerprinted(texts).select("doc_id", "fp")
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("doc_id"))
