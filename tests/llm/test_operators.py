@@ -313,6 +313,17 @@ def test_decontamination_in_blocks(docs, benchmark, monkeypatch):
     assert found == {(11, 1), (12, 2)}
 
 
+def test_benchmark_blocks_are_bounded(spark, monkeypatch):
+    """Every item is in one block, by count and by size, items of one id or none too."""
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 600)
+    items = [(n % 3 or None, prose(n, 12 + n % 60)) for n in range(90)] + [(1, prose(200, 400)), (2, ""), (2, None), (1, prose(200, 400))]
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    blocks = list(decontaminate._blocks(frame))
+    assert Counter(sum(blocks, [])) == Counter({(i, t) for i, t in items if t})
+    assert all(len(block) == 1 or sum(len(t) for _, t in block) <= 600 for block in blocks)
+    assert not list(decontaminate._blocks(frame.limit(0)))
+
+
 def test_latent_recall_against_brute_force(spark):
     """Planted windows of items, words replaced at random: what word-by-word search finds."""
     rng = random.Random(2)
@@ -548,6 +559,19 @@ def test_deduplicated_keeps_one_row_per_group(docs, nothing):
     assert simhash.deduplicated(nothing).count() == 0
 
 
+def test_deduplicated_keeps_unlinked_texts_of_one_id(spark):
+    """Ids that repeat, or are missing, lose no text without a copy."""
+    a, b, c, d, e = (prose(40 + n, 60 + 9 * n) for n in range(5))
+    rows = [(1, a), (1, b), (1, a), (2, b), (3, c), (2, c), (None, d), (None, d), (None, e), (4, e), (None, a), (3, d)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id int, text string, row int")
+    kept = simhash.deduplicated(docs)
+    expected = {a: 1, b: 1, c: 2, d: 3, e: 4}
+    assert kept.columns == docs.columns
+    assert sorted((r.text, r.doc_id) for r in kept.collect()) == sorted(expected.items())
+    found = sorted(((r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(docs).collect()))
+    assert found == sorted((i or 0, expected[t]) for i, t in rows)
+
+
 def test_links_of_planted_fingerprints(spark):
     rng = random.Random(4)
     fps = [rng.getrandbits(64) for _ in range(60)]

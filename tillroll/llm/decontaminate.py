@@ -29,7 +29,7 @@ MIN_WEIGHT = 0.5
 #: The answer of an item: its last words. It counts as found from this share on.
 ANSWER_WORDS, ANSWER_SHARE = 8, 0.75
 #: Items that are searched for in one scan, and bytes that a benchmark may have.
-BLOCK, MAX_BENCHMARK = 1000, 64 << 20
+BLOCK, BLOCK_CHARS = 1000, 16 << 20
 #: Weight of the items among the passages of the factorisation.
 ITEM_WEIGHT = 30.0
 
@@ -322,14 +322,26 @@ def _matches(index: Index, lengths: np.ndarray, ids: np.ndarray) -> Iterator[tup
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The distinct items with terms, in blocks of BLOCK items or BLOCK_CHARS characters at most, or one longer item.
+
+    The driver holds a block, and a range of the sorted benchmark of about that size.
+    """
     rows = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).where("text is not null")
+    rows = checkpoint(rows.distinct())
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_BENCHMARK:
-        raise ValueError(f"a benchmark of {size} bytes; give its parts one by one")
-    items = [tuple(row) for row in rows.distinct().orderBy("item_id", "text").collect()]
-    items = [row for row in items if terms(row[1])]
-    for start in range(0, len(items), BLOCK):
-        yield items[start : start + BLOCK]
+    # The text takes part in the range, so that items of one id are divided too.
+    ranges = rows.repartitionByRange(size // BLOCK_CHARS + 1, "item_id", F.xxhash64("text"))
+    block, held = [], 0
+    for item_id, text in ranges.sortWithinPartitions("item_id", "text").toLocalIterator():
+        if not terms(text):
+            continue
+        if block and (len(block) == BLOCK or held + len(text) > BLOCK_CHARS):
+            yield block
+            block, held = [], 0
+        block.append((item_id, text))
+        held += len(text)
+    if block:
+        yield block
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
