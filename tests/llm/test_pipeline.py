@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import base64
 import os
 
 import __spark_entry__ as entry
 import corpus_pipeline
+import public_tokenizers
 import pytest
+import tiktoken
 from check_oracle import compare, connect
+from test_operators import brute_fingerprint, reach
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -31,6 +35,21 @@ def test_pipeline_against_its_stages(spark, tmp_path):
     assert found.count() == left and not found.where("n_tokens = 0 or size(ids) <> n_tokens").count()
 
 
+def test_stages_against_plain_python(spark):
+    """Near-duplicates by comparing all fingerprints, tokens by the library."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in docs.collect()]
+    ids = [i for i, _ in rows]
+    kept = {r.doc_id for r in stages["near_duplicates"](spark, docs, FOLDER).collect()}
+    assert kept == set(reach(ids, [brute_fingerprint(t) for _, t in rows]))
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines if line.strip())}
+    library = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r.doc_id: list(r.ids) for r in stages["tokens"](spark, docs, FOLDER).collect()}
+    assert found == {i: library.encode_ordinary(t) for i, t in rows}
+
+
 def test_every_operator_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in entry.queries() if name.startswith("op")}
     assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
