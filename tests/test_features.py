@@ -210,3 +210,19 @@ def test_matrix_rows_equal_the_long_form(spark, both, categories, dictionary, lo
     )
     none = matrix.matrix_rows(both, matrix.encoding(dictionary.limit(0), categories))
     assert rows(none, "visit_number", "indices") == [(v, ()) for v in range(1, 8)]
+
+
+def test_wide_and_vectors_hold_no_column_per_term_while_summing(spark):
+    """Sums are listed per visit and spread last; equal rows are added, null sums and unknown terms are 0."""
+    from tillroll.operators import clusters
+
+    sums = [(1, "a", 2), (1, "a", 3), (1, "x", 9), (2, "b", None), (3, None, 4), (None, "b", 5), (4, "b.c", 6)]
+    frame = spark.createDataFrame(sums, "visit_number bigint, feature string, value bigint")
+    wide = features.wide(frame, ["a", "b", "b.c"])
+    expected = [(1, 5, 0, 0), (2, 0, 0, 0), (3, 0, 0, 0), (4, 0, 0, 6), (None, 0, 5, 0)]
+    assert rows(wide) == sorted(expected, key=repr)
+    vectors = clusters.department_vectors(frame.withColumnRenamed("feature", "department"), ["a", "b", "b.c"])
+    found = [(r.visit_number, *map(int, r.vector.toArray())) for r in vectors.collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    for plan in (wide, vectors):
+        assert "pivotfirst" not in plan._jdf.queryExecution().toString().lower()

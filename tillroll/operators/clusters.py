@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.constants import N_CLUSTERS
+from tillroll.operators.features import spread_sums
 from tillroll.session import checkpoint
 
 
@@ -19,12 +20,9 @@ def department_vectors(purchases: DataFrame, departments: Sequence[str]) -> Data
     Departments a visit did not buy are 0, also those that never occur; ones outside the
     list are left out. A vector is sparse where that is smaller.
     """
-    # Pivoted by place, as a name may be no good as a column.
-    place = F.array_position(F.array(*map(F.lit, departments)), F.col("department"))
-    places = list(range(1, len(departments) + 1))
-    wide = purchases.withColumn("place", place).groupBy("visit_number").pivot("place", places).sum("value")
-    names = [str(p) for p in places]
-    cells = wide.fillna(0, subset=names)
+    # Columns named by place, as a name may be no good as a column.
+    names = [str(place) for place in range(1, len(departments) + 1)]
+    cells = spread_sums(purchases, "department", departments, names)
     return VectorAssembler(inputCols=names, outputCol="vector").transform(cells).select("visit_number", "vector")
 
 

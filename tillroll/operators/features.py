@@ -265,9 +265,24 @@ def mean_features(scans: DataFrame) -> DataFrame:
 
 
 def wide(features: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
-    """One row per visit and one column per term of a small vocabulary, 0 where absent."""
-    pivoted = features.groupBy("visit_number").pivot("feature", list(vocabulary)).sum("value")
-    return pivoted.fillna(0, subset=list(vocabulary))
+    """One row per visit and one column per term of a small vocabulary, 0 where absent.
+
+    A visit's few sums are listed by place and spread over the columns last, row by row; a pivot
+    holds all columns of every visit while it sums.
+    """
+    return spread_sums(features, "feature", vocabulary, vocabulary)
+
+
+def spread_sums(rows: DataFrame, column: str, terms: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One row per visit and, called ``names``, one column per term: the sum of ``value`` where ``column`` is
+    the term, or 0. Other terms are left out, and every visit is kept.
+    """
+    sums = rows.groupBy("visit_number", column).agg(F.sum("value").alias("value"))
+    place = F.array_position(F.array(*map(F.lit, terms)), F.col(column)).cast("int")
+    entry = F.when(place > 0, F.struct(place.alias("place"), F.col("value").alias("value")))
+    listed = sums.groupBy("visit_number").agg(F.map_from_entries(F.collect_list(entry)).alias("places"))
+    cells = [F.coalesce(F.try_element_at("places", F.lit(n)), F.lit(0)) for n in range(1, len(terms) + 1)]
+    return listed.select("visit_number", *[cell.alias(name) for cell, name in zip(cells, names)])
 
 
 def sparse_rows(features: DataFrame, dictionary: DataFrame) -> DataFrame:
