@@ -52,6 +52,38 @@ def _size_shuffles(spark: SparkSession, input_bytes: int | None) -> None:
         spark.conf.set(initial, str(wanted))
 
 
+#: Stored bytes that a scan gives to one task, and that a shuffle gives to one task at most, compressed.
+_SHARE = "16m"
+#: Stored bytes of input per partition that a shuffle starts with; adaptive execution merges small ones.
+_PER_SHUFFLE = 2 << 20
+_SIZED = "tillroll.shuffle.initial"
+
+
+def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Let the number of tasks grow with the input and not what each of them sorts and sums.
+
+    Splits and shuffle partitions are cut at 16 MB where the session leaves their sizes unset.
+    Shuffles start with a partition per 2 MB of input, also beyond the session's shuffle partitions,
+    unless it sets the initial number itself; the number only rises within a session.
+    """
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, _SHARE)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = spark.conf.get(initial, None)
+    if now is not None and now != spark.conf.get(_SIZED, None):
+        return
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(now or 0))
+    if (wanted := -(-input_bytes // _PER_SHUFFLE)) > least:
+        spark.conf.set(initial, str(wanted))
+        spark.conf.set(_SIZED, str(wanted))
+
+
+def stored_bytes(rows: DataFrame) -> int:
+    """The size of the files that ``rows`` reads, as their listing gives it."""
+    return int(rows._jdf.queryExecution().analyzed().stats().sizeInBytes())
+
+
 def spread(rows: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
     """Redistribute a scan that comes in few splits, such as one gzipped file, over
     ``partitions``; None leaves it alone. Give keys that together are nearly unique.

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.constants import WEEKDAYS
-from tillroll.session import prepare, spread
+from tillroll.session import bound_tasks, prepare, spread, stored_bytes, written
 from tillroll.sources.scanlog import SCAN_COLUMNS
 
 _FROM_PART = {"department", "fineline"}
 _FROM_ORDERS = {"trip_type", "weekday"}
+# A line without order counts as open.
+_OPEN = "coalesce(o_orderstatus, 'O') = 'O'"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,25 +41,45 @@ def scans(
     Orders are joined last: what follows groups by visit, and the rows are then already
     partitioned by it.
     """
+    rows = _joined(spark, folder, columns, part is not None, even)
+    if part == "train":
+        rows = rows.where(F.col("o_orderstatus") != "O")
+    elif part == "test":
+        rows = rows.where(_OPEN)
+    return rows.select(*_expressions(columns))
+
+
+def stored(spark: SparkSession, folder: str, columns: Iterable[str] = tuple(SCAN_COLUMNS)) -> DataFrame:
+    """The scan log with ``part``, ``train`` or ``test``, from a table in a folder per part.
+
+    For what reads the log more than once: the three tables are joined once, when it is written.
+    """
+    rows = _joined(spark, folder, columns, True, True)
+    return written(rows.select(*_expressions(columns), F.when(F.expr(_OPEN), "test").otherwise("train").alias("part")), "part")
+
+
+def _expressions(columns: Iterable[str]) -> list:
+    wanted = set(columns)
+    return [_expression(name).alias(name) for name in SCAN_COLUMNS if name in wanted]
+
+
+def _joined(spark: SparkSession, folder: str, columns: Iterable[str], status: bool, even: bool) -> DataFrame:
     prepare(spark)
     wanted = set(columns)
     rows = table(spark, folder, "lineitem")
+    bound_tasks(spark, stored_bytes(rows))
     if even:
         partitions = spark.conf.get("tillroll.scan.partitions", None)
         rows = spread(rows, partitions and int(partitions), "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     if wanted & _FROM_PART:
         parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
         rows = rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-    if wanted & _FROM_ORDERS or part:
+    if wanted & _FROM_ORDERS or status:
         orders = table(spark, folder, "orders").select(
             "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
         )
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if part == "train":
-        rows = rows.where(F.col("o_orderstatus") != "O")
-    elif part == "test":
-        rows = rows.where(F.coalesce("o_orderstatus", F.lit("O")) == "O")
-    return rows.select(*[_expression(name).alias(name) for name in SCAN_COLUMNS if name in wanted])
+    return rows
 
 
 def _expression(name: str):
