@@ -123,8 +123,9 @@ def _department_pivot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _both_inputs(spark: SparkSession, folder: str) -> DataFrame:
-    train = star.scans(spark, folder, ALL_COLUMNS, "train")
-    test = star.scans(spark, folder, FEATURE_COLUMNS, "test")
+    log = star.stored(spark, folder)
+    train = log.where("part = 'train'").select(*ALL_COLUMNS)
+    test = log.where("part = 'test'").select(*FEATURE_COLUMNS)
     return scanlog.union_inputs(train, test)
 
 
