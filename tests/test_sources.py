@@ -5,7 +5,9 @@ from fixture import SCHEMA, TEST, TRAIN, rows
 from pyspark.sql import functions as F
 
 from tillroll.operators import split
-from tillroll.sources import scanlog
+from tillroll.sources import scanlog, star
+
+FOLDER = "/root/testdata/sf0.001"
 
 LABELLED = """TripType,VisitNumber,Weekday,Upc,ScanCount,DepartmentDescription,FinelineNumber
 3,1,Monday,4011,2,PRODUCE,5501
@@ -184,3 +186,43 @@ def test_stored_by_visit_moves_no_rows(spark, both, train, categories):
     plain = labelled_rows(both, train, encoded)
     assert got == rows(plain, "visit_number", "trip_type", "indices", "values")
     assert rows(stored) == rows(both)
+
+
+def test_tasks_are_bounded_by_the_scan(spark, monkeypatch):
+    """Shuffles start with partitions by the size of the log, also beyond the session's number; a session's own
+    initial number stays."""
+    from tillroll import session
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {key: spark.conf.get(key, None) for key in (name, session._SIZED)}
+    size = session.stored_bytes(star.table(spark, FOLDER, "lineitem"))
+    assert size > 8000
+    monkeypatch.setattr(session, "_PER_SHUFFLE", 1000)
+    try:
+        for key in before:
+            spark.conf.unset(key)
+        star.scans(spark, FOLDER, ["visit_number"])
+        assert spark.conf.get(name) == str(-(-size // 1000))
+        spark.conf.set(name, "3")
+        star.scans(spark, FOLDER, ["visit_number"])
+        assert spark.conf.get(name) == "3"
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is not None
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", ["both_inputs", "dense_rows", "train_matrix", "test_matrix"])
+def test_line_items_are_joined_once(spark, monkeypatch, name):
+    from tillroll.plans.queries import QUERIES
+
+    read, table = [], star.table
+    monkeypatch.setattr(star, "table", lambda spark, folder, name: read.append(name) or table(spark, folder, name))
+    QUERIES[name](spark, FOLDER)
+    assert read.count("lineitem") == 1
+
+
+def test_stored_log_equals_the_scans(spark):
+    log = star.stored(spark, FOLDER)
+    for part in ("train", "test"):
+        assert rows(log.where(F.col("part") == part).drop("part")) == rows(star.scans(spark, FOLDER, part=part))

@@ -65,17 +65,21 @@ def _dictionary(
     spark: SparkSession, folder: str, upcs: DataFrame | None = None, fitted: Sequence[str] = ()
 ) -> DataFrame:
     rows = star.scans(spark, folder, ["scan_count", "department", "fineline"])
-    occurring = vocabulary.occurring_terms(rows)
-    terms = vocabulary.feature_terms(occurring, star.categories(spark, folder), upcs or _upcs(spark, folder), fitted)
+    return _dictionary_of(rows, star.categories(spark, folder), upcs or _upcs(spark, folder), fitted)
+
+
+def _dictionary_of(rows: DataFrame, categories: DataFrame, upcs: DataFrame, fitted: Sequence[str] = ()) -> DataFrame:
+    terms = vocabulary.feature_terms(vocabulary.occurring_terms(rows), categories, upcs, fitted)
     return vocabulary.feature_dictionary(terms)
 
 
 def _matrix(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     # Vocabularies first, each fitted once; then the rows over them.
-    upcs = _upcs(spark, folder)
-    dictionary = checkpoint(_dictionary(spark, folder, upcs))
-    encoded = matrix.encoding(dictionary, star.categories(spark, folder))
-    return matrix.matrix_rows(star.scans(spark, folder, FEATURE_COLUMNS, even=True), encoded), dictionary
+    log = star.stored(spark, folder, FEATURE_COLUMNS)
+    categories = star.categories(spark, folder)
+    upcs = checkpoint(vocabulary.top_terms(log.where("part = 'train'"), "upc", TOP_UPCS))
+    dictionary = checkpoint(_dictionary_of(log, categories, upcs))
+    return matrix.matrix_rows(log, matrix.encoding(dictionary, categories)), dictionary
 
 
 def _baskets(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,14 +142,16 @@ def _matrix_of(part: str) -> Query:
     """The final matrix of a part: all features, matched itemset and cluster, over one dictionary."""
 
     def query(spark, folder):
-        upcs = _upcs(spark, folder)
-        dictionary = checkpoint(_dictionary(spark, folder, upcs, features.FITTED_FEATURES))
-        encoded = matrix.encoding(dictionary, star.categories(spark, folder))
-        purchases = checkpoint(_purchases(spark, folder, part))
-        matched = itemsets.match(purchases, _itemsets(spark, folder))
+        log, categories = star.stored(spark, folder), star.categories(spark, folder)
+        train, rows = log.where("part = 'train'"), log.where(F.col("part") == part)
+        upcs = checkpoint(vocabulary.top_terms(train, "upc", TOP_UPCS))
+        dictionary = checkpoint(_dictionary_of(log, categories, upcs, features.FITTED_FEATURES))
+        encoded = matrix.encoding(dictionary, categories)
+        purchases = checkpoint(features.purchases(rows))
+        matched = itemsets.match(purchases, itemsets.mine(itemsets.transactions(train, IGNORED), MIN_SUPPORT))
         points = minibatch.department_entries(purchases, DEPARTMENTS)
-        assigned = minibatch.nearest(points, _centres(spark, folder))
-        rows = star.scans(spark, folder, FEATURE_COLUMNS, part, even=True)
+        fitted = points if part == "train" else minibatch.department_entries(features.purchases(train), DEPARTMENTS)
+        assigned = minibatch.nearest(points, _centres_of(fitted))
         full = matrix.matrix_rows(
             rows, encoded, (matched, "item_set", features.ITEM_SET), (assigned, "cluster", features.DEPT_CATEGORY)
         )
@@ -186,8 +192,12 @@ def _points(spark: SparkSession, folder: str, part: str | None = None) -> DataFr
 
 
 def _centres(spark: SparkSession, folder: str) -> DataFrame:
+    return _centres_of(_points(spark, folder, "train"))
+
+
+def _centres_of(points: DataFrame) -> DataFrame:
     """Centres of the settled orders, from the first visits of the shuffled order on."""
-    train = written(_points(spark, folder, "train"))
+    train = written(points)
     width = len(DEPARTMENTS)
     start = minibatch.first_centres(train, N_CLUSTERS, 0, width)
     return minibatch.train(train, width, N_CLUSTERS, batches=FEW_BATCHES, start=start)
