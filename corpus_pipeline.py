@@ -40,8 +40,7 @@ def private_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The ids of each text, with digests of them and of the bytes they decode to (op 2)."""
     prepare(spark)
-    found = byte_bpe.decoded(byte_bpe.encoded(docs))
-    return byte_bpe.digests(found, "ids")
+    return byte_bpe.digests(byte_bpe.round_trip(docs), "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [

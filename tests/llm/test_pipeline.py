@@ -59,3 +59,14 @@ def test_every_operator_is_registered():
 def test_query_equals_sql(spark, name):
     folder = os.environ.get("CHECK_SF_DIR", FOLDER)
     assert compare(spark, connect(folder), folder, name) is None
+
+
+def test_tokens_take_one_python_worker_a_task(spark):
+    """Encoding and decoding share a worker and its tables, and give what the two steps give."""
+    from tillroll.llm import byte_bpe
+
+    docs = spark.createDataFrame([(1, "Ein  Satz, two words\n"), (1, ""), (None, None)], "doc_id bigint, text string")
+    found = byte_bpe.round_trip(docs)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, byte_bpe.decoded(byte_bpe.encoded(docs)).collect()))
+    for made in (entry.queries()["op2_byte_bpe"](spark, FOLDER), corpus_pipeline.tokens(spark, docs, FOLDER)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from itertools import chain
 
 import numpy as np
@@ -222,20 +222,38 @@ def encoded(docs: DataFrame, path: str = RANKS) -> DataFrame:
     Null and empty texts have no ids; repeated rows are encoded alike; an empty table
     gives no rows.
     """
+    return _texts(docs).mapInArrow(over_batches(_encoder(path)), "doc_id bigint, ids array<int>")
 
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
+def _encoder(path: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         bpe, texts = load(path), as_texts(rows.column("text"))
         made = [bpe.encode(texts[part]) for part in slices(texts)]
         lengths, ids = (np.concatenate(x) for x in zip(*made))
         return pa.RecordBatch.from_arrays([rows.column("doc_id"), lists(lengths, ids.astype(np.int32))], ["doc_id", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(over_batches(batch), "doc_id bigint, ids array<int>")
+    return batch
 
 
 def decoded(tokens: DataFrame, path: str = RANKS) -> DataFrame:
     """(doc_id, ids, bytes): the bytes that the ids stand for; null ids give none."""
+    return tokens.mapInArrow(over_batches(_decoder(path)), _DECODED)
+
+
+def round_trip(docs: DataFrame, path: str = RANKS) -> DataFrame:
+    """``decoded(encoded(docs))`` in one Python worker a task instead of two, with one set of tables."""
+    encode, decode = _encoder(path), _decoder(path)
+    return _texts(docs).mapInArrow(over_batches(lambda rows: decode(encode(rows))), _DECODED)
+
+
+_DECODED = "doc_id bigint, ids array<int>, bytes binary"
+
 
+def _decoder(path: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
         bpe, ids = load(path), rows.column("ids").fill_null([])
         ends = ids.offsets.to_numpy().astype(np.int64)
@@ -251,7 +269,7 @@ def decoded(tokens: DataFrame, path: str = RANKS) -> DataFrame:
         found = pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
         return pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("ids"), found], ["doc_id", "ids", "bytes"])
 
-    return tokens.mapInArrow(over_batches(batch), "doc_id bigint, ids array<int>, bytes binary")
+    return batch
 
 
 def _parts(ends: np.ndarray, limit: int = 1 << 18) -> Iterable[slice]:

@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_context_mixing_tokens": lambda spark, folder: token_output.written(documents(spark, folder)),
-    "op2_byte_bpe": lambda spark, folder: byte_bpe.digests(byte_bpe.decoded(byte_bpe.encoded(documents(spark, folder)))),
+    "op2_byte_bpe": lambda spark, folder: byte_bpe.digests(byte_bpe.round_trip(documents(spark, folder))),
     "op3_latent_decontamination": lambda spark, folder: decontaminate.contaminated(
         documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")
     ),
