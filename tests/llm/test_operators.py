@@ -126,6 +126,22 @@ def test_full_word_tables_start_anew():
         assert len(table.rows) == len(table.starts) == len(table.lengths) and len(table.ids) == table.lengths.sum()
 
 
+def test_each_new_word_is_encoded_once():
+    """Words that differ in capitals or in marks share their letters' ids; known words do not reach the encoder again."""
+    asked = []
+
+    def encoder(new):
+        asked.extend(new)
+        return word_tokens.encode(word_tokens.VOCABULARY, new)
+
+    table, some = word_tokens.WordIds(encoder), ["The house### theory,***", "the.%%% HOUSE, theory!\nhouse\tThe$$$", "it's THE\u3000house~"]
+    for _ in range(2):
+        ids = table.of_texts(word_tokens.folded(pa.array(some), word_tokens.VOCABULARY))[1]
+        assert ids.tolist() == [i for e in library_ids(some) for i in e]
+    assert len(asked) == len(set(asked))
+    assert {"the", "house", "theory", "###", ",***", ".%%%", "$$$"} <= set(asked) and not {"house###", "the."} & set(asked)
+
+
 def test_word_tables_are_bounded_by_bytes():
     """Texts without spaces, and many words: what a worker holds stays near its limit."""
     rng = random.Random(3)
@@ -219,6 +235,15 @@ def test_range_coder_refuses_ids_beyond_its_limit():
     assert (range_coder.decompress(5, *range_coder.compress(ids)) == ids).all()
 
 
+def test_range_coder_models_the_ids_of_a_block_only():
+    """Ids far apart cost what ids side by side do: a block's tables hold its own ids."""
+    ids = np.random.default_rng(1).integers(0, 3, 5000)
+    far = np.array([7, 49_000, range_coder.ID_LIMIT - 1])[ids]
+    near, packed = range_coder.compress(ids), range_coder.compress(far)
+    assert (range_coder.decompress(5000, *packed) == far).all()
+    assert len(packed[2]) < len(near[2]) + 32
+
+
 def test_range_coder_mixes():
     """Fewer bits an id than the entropy of the ids, and than zlib, over whole texts of the test tables."""
     texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].combine_chunks()

@@ -10,6 +10,9 @@ confidence, order 0 by the frequency of the proposed id so far, each as the loga
 the odds that such predictions had until now, weighted by weights that follow the error.
 An id that is not proposed is coded by order 0, without the ids proposed in vain. All that
 decides is whole numbers, or sums and products that every machine rounds alike.
+
+A block names the ids it holds once and codes their numbers among these, so that tables
+are as large as the block's own alphabet.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ import zlib
 
 import numpy as np
 
+from tillroll.llm.common import flat_ranges, offsets
+
 #: Ids of a block, and of a lane of it.
 BLOCK = 1 << 20
 STEPS = 256
@@ -29,12 +34,17 @@ _U = np.uint64
 _WORD, _BOTTOM = _U(32), _U(1 << 32)
 #: Parts of a proposal's probability, and of an order-0 distribution.
 _PARTS, _SLOTS = 1 << 12, 1 << 24
+#: Slots, as a power of two, of which the first one's id is kept.
+_RUN = 9
 #: What an id has and gains in order 0, of which it always keeps at least a slot.
 _FIRST, _GAIN = 1, 7
 #: Confidences of orders 2 and 1, whether they propose the same, and sizes of a frequency.
 _SURE, _LEVELS = 8, 16
 _STATES = (_SURE, 2 * _SURE, _LEVELS)
+_STATE = _SURE * 2 * _SURE * _LEVELS
 _WIDTH = (1 << 26) - 1
+#: What a right, and a wrong, proposal does to an entry by its confidence; a wrong one of 0 or 1 is replaced.
+_GAINS = np.array([0, 0, *(-((c + 1) >> 1) for c in range(2, _SURE)), *(c < _SURE - 1 for c in range(_SURE))], np.int64)
 #: Logarithms of odds are held in parts of 1 / 256.
 _UNIT = 256
 
@@ -62,7 +72,6 @@ class _Mixer:
         self.right = [np.full(size, 1, np.int64) for size in _STATES]
         # One set of weights for each confidence of order 2; all orders count alike at first.
         self.weights = np.full((3, _SURE), 0.4)
-        self.notes: list[np.ndarray] = []
         self._mix()
 
     def _mix(self) -> None:
@@ -74,11 +83,9 @@ class _Mixer:
         mixed = sum(w[:, None, None] * logs for w, logs in zip(whole, self.logs)) >> 16
         self.table = (_SQUASH[mixed.clip(-_FAR, _FAR) + _FAR] * self.valid).ravel()
 
-    def update(self) -> None:
-        """Learns from all that was noted (state and, as its last bit, whether the proposal
-        was right): the counts of each order's states, then the weights."""
-        seen = np.bincount(np.concatenate(self.notes), minlength=2 * len(self.table))
-        self.notes = []
+    def update(self, seen: np.ndarray) -> None:
+        """Learns from how often each state, and as its last bit whether the proposal was
+        right, was seen: the counts of each order's states, then the weights."""
         wrong, right = np.moveaxis(seen.reshape(*_STATES, 2) * self.valid[..., None], -1, 0)
         tried = wrong + right
         error = right * _PARTS - tried * self.table.reshape(_STATES)
@@ -93,21 +100,23 @@ class _Mixer:
 
 
 class _Model:
-    """What encoder and decoder both know of a block."""
+    """What encoder and decoder both know of a block. Order 2 is the first row of what has two."""
 
     def __init__(self, lanes: int, steps: int, alphabet: int):
         size = 1 << max(10, min(20, (lanes * steps).bit_length()))
         self.mask = size - 1
         self.one = np.zeros(alphabet, np.int64)  # id << 3 | confidence
-        self.two = np.zeros(size, np.int64)
+        self.two = np.zeros(size, np.uint16 if alphabet << 3 < 1 << 16 else np.int32)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
+        self.entries = np.zeros((2, lanes), np.int64)
         self.counts = np.full(alphabet, _FIRST, np.int64)
         sure2, alike, sure1 = np.arange(_SURE)[:, None, None], np.arange(2 * _SURE)[:, None] >> 3, np.arange(2 * _SURE)[:, None] & 7
-        self.second = _Mixer(sure2 > 0)
-        self.first = _Mixer((sure1 > 0) & (alike == 0))  # what order 2 proposes too is tried once
+        # What order 2 proposes too is tried once.
+        self.mixers = _Mixer(sure2 > 0), _Mixer((sure1 > 0) & (alike == 0))
+        self.tables = np.concatenate([mixer.table for mixer in self.mixers])
         self.due = _steps_of_update(steps)
-        self.step, self.fresh = 0, []
+        self.step, self.fresh, self.notes = 0, [], []
         self._distribute()
 
     def _distribute(self) -> None:
@@ -119,134 +128,171 @@ class _Model:
         self.starts[-1] = _SLOTS
         widths = np.diff(self.starts)
         exponents = (widths.astype(np.float64).view(np.int64) >> 52) - 1023
-        levels = (exponents - 8).clip(0, _LEVELS - 1)
-        # An id's start, width and level in one number.
-        self.symbols = self.starts[:-1] << 30 | widths << 4 | levels
+        self.levels = (exponents - 8).clip(0, _LEVELS - 1)
+        self.symbols = self.starts[:-1] << 26 | widths  # an id's start and width in one number
+        self.first = None
 
     def predict(self) -> None:
-        """The proposals of orders 2 and 1, and where their intervals of 2^24 parts end."""
+        """The proposals of both orders, and the widths of their intervals in 2^24 parts."""
         self.at2 = (self.last * 2654435761 + self.before * 2246822519 >> 9) & self.mask
-        self.e1, self.e2 = self.one[self.last], self.two[self.at2]
-        self.p1, self.p2, self.c1, self.c2 = self.e1 >> 3, self.e2 >> 3, self.e1 & 7, self.e2 & 7
-        self.s1, self.s2 = self.symbols[self.p1], self.symbols[self.p2]
-        state = (self.c2 << 8) + ((self.p1 == self.p2).astype(np.int64) << 7) + (self.c1 << 4)
-        self.state1, self.state2 = state + (self.s1 & 15), state + (self.s2 & 15)
-        self.q1, self.q2 = self.first.table[self.state1], self.second.table[self.state2]
-        self.end2 = self.q2 << 12
-        self.end1 = self.end2 + (_PARTS - self.q2) * self.q1
-
-    def vain(self) -> tuple[np.ndarray, np.ndarray]:
-        """The widths that the proposals have in order 0, nothing where none was made."""
-        return (self.s1 >> 4 & _WIDTH) * (self.q1 > 0), (self.s2 >> 4 & _WIDTH) * (self.q2 > 0)
-
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        self.second.notes.append(self.state2 * 2 + hit2)
-        self.first.notes.append((self.state1 * 2 + hit1) * ~hit2)  # not tried: noted where nothing is valid
-        fresh = ids << 3 | 1
-        right1 = (ids == self.p1) & (self.c1 > 0)
-        for entries, at, entry, sure, right in (
-            (self.one, self.last, self.e1, self.c1, right1),
-            (self.two, self.at2, self.e2, self.c2, hit2),
-        ):
-            lower = np.where(sure > 1, entry - sure + (sure >> 1), fresh)
-            entries[at] = np.where(right, entry + (sure < 7), lower)
+        self.entries[0] = self.two[self.at2]
+        self.one.take(self.last, out=self.entries[1], mode="clip")
+        self.proposed, self.sure = self.entries >> 3, self.entries & 7
+        self.alike = self.proposed[0] == self.proposed[1]
+        state = (self.sure[0] << 8) + (self.sure[1] << 4)
+        state += self.alike.view(np.int8).astype(np.int64) << 7
+        self.states = self.levels.take(self.proposed, mode="clip") + state
+        self.states[1] += _STATE
+        self.chance = self.tables.take(self.states, mode="clip")
+        self.wide2 = (self.chance[0] << 12).view(_U)
+        self.wide1 = ((_PARTS - self.chance[0]) * self.chance[1]).view(_U)
+
+    def vain(self, at: np.ndarray) -> np.ndarray:
+        """What both orders have proposed in vain to the lanes ``at``: start and width in order 0, zero where nothing was."""
+        vain = np.empty((2, len(at)), np.int64)
+        for row, proposed, chance in zip(vain, self.proposed, self.chance):
+            np.multiply(self.symbols[proposed[at]], chance[at] > 0, out=row)
+        return vain
+
+    def at_slots(self, slots: np.ndarray) -> np.ndarray:
+        """The ids of these slots of order 0: by the first id of each run of slots, mostly the one or the next."""
+        if self.first is None:
+            begun = np.bincount((self.starts[1:-1] - 1 >> _RUN) + 1, minlength=(_SLOTS >> _RUN) + 1)
+            self.first = np.cumsum(begun)[: _SLOTS >> _RUN]
+        found = self.first[slots >> _RUN]
+        beyond = slots >= self.starts[found + 1]
+        found += beyond
+        at = np.flatnonzero(beyond)
+        at = at[slots[at] >= self.starts[found[at] + 1]]
+        found[at] = np.searchsorted(self.starts, slots[at], side="right") - 1
+        return found
+
+    def right(self, ids: np.ndarray) -> np.ndarray:
+        """Which entries of both orders hold ``ids``."""
+        return (self.proposed == ids) & (self.sure > 0)
+
+    def learn(self, ids: np.ndarray, right: np.ndarray, hit1: np.ndarray) -> None:
+        note = self.states << 1
+        note[0] += right[0]
+        note[1] += hit1
+        note[1] *= ~right[0]  # not tried: noted where nothing is valid
+        self.notes.append(note)
+        worn = ~right & (self.sure < 2)
+        self.entries += _GAINS.take(self.sure + (right.view(np.int8) << 3), mode="clip")
+        self.entries += ((ids << 3 | 1) - self.entries) * worn
+        self.two[self.at2] = self.entries[0].astype(self.two.dtype)
+        self.one[self.last] = self.entries[1]
         self.before, self.last = self.last, ids
         self.fresh.append(ids)
         self.step += 1
         if self.due[self.step]:
             self.counts += _GAIN * np.bincount(np.concatenate(self.fresh), minlength=len(self.counts))
-            self.fresh = []
+            seen = np.bincount(np.concatenate(self.notes, axis=None), minlength=4 * _STATE)
+            self.fresh, self.notes = [], []
             self._distribute()
-            self.first.update()
-            self.second.update()
+            for mixer, own in zip(self.mixers, seen.reshape(2, -1)):
+                mixer.update(own)
+            self.tables = np.concatenate([mixer.table for mixer in self.mixers])
 
 
 # The interval of a lane narrows within 64 bits. Once it is below 32 of them its upper
-# word is written: it is settled, or the interval is cut where it would change.
+# word is written: it is settled, or the interval is cut where it would change. Lanes
+# that missed narrow theirs a second time, in order 0; the others have no part in that.
+
+
+def _narrowed(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return low << _WORD, np.minimum(span, _BOTTOM - (low & (_BOTTOM - _U(1)))) << _WORD
 
 
 class _Encoder:
-    def __init__(self, lanes: int, steps: int):
+    def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-        self.width = 2 * steps + 2
-        self.words = np.zeros(lanes * self.width, "<u4")
-        self.base = np.arange(lanes) * self.width
-        self.n = np.zeros(lanes, np.int64)
-
-    def put(self, start: np.ndarray, end: np.ndarray) -> None:
-        span = self.range >> _U(24)
-        self.low += span * start
-        self.range = span * (end - start)
-        if len(at := np.flatnonzero(self.range < _BOTTOM)):
-            self._write(at)
-
-    def put_of(self, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        span = self.range // total
-        self.low += span * start
-        self.range = span * size
-        if len(at := np.flatnonzero(self.range < _BOTTOM)):
-            self._write(at)
-
-    def _write(self, at: np.ndarray) -> None:
-        low, span = self.low[at], self.range[at]
-        self.words[self.base[at] + self.n[at]] = low >> _WORD
-        self.n[at] += 1
-        self.range[at] = _cut(low, span) << _WORD
-        self.low[at] = low << _WORD
+        self.lanes, self.words = [], []
+
+    def _write(self, low: np.ndarray, span: np.ndarray, lanes: np.ndarray | None = None) -> None:
+        """Writes a word of those of ``lanes``, or of all, whose interval is small."""
+        if len(at := np.flatnonzero(span < _BOTTOM)):
+            some = low[at]
+            self.lanes.append((at if lanes is None else lanes[at]).astype(np.uint16))
+            self.words.append((some >> _WORD).astype("<u4"))
+            low[at], span[at] = _narrowed(some, span[at])
+
+    def put(self, model: _Model, ids: np.ndarray, right: np.ndarray, hit1: np.ndarray) -> None:
+        parts = self.range >> _U(24)
+        first, second = parts * model.wide2, parts * model.wide1
+        at = np.flatnonzero(~(right[0] | hit1))
+        end = first[at] + second[at]
+        low, span = self.low[at] + end, (parts[at] << _U(24)) - end
+        self._write(low, span, at)
+        symbol, vain = model.symbols[ids[at]], model.vain(at)
+        wide = vain & _WIDTH
+        parts = span // (_SLOTS - wide[0] - wide[1]).view(_U)
+        wide *= vain < symbol
+        low += parts * ((symbol >> 26) - wide[0] - wide[1]).view(_U)
+        self.low += first * hit1
+        self.range = first + (second - first) * hit1
+        self.low[at], self.range[at] = low, parts * (symbol & _WIDTH).view(_U)
+        self._write(self.low, self.range)
 
     def finish(self) -> tuple[np.ndarray, bytes]:
         """Words of each lane, and all of them. The last is the one that, with zeros behind, lies inside."""
-        self.low += _BOTTOM - _U(1)
-        self._write(np.arange(len(self.low)))
-        kept = np.arange(self.width) < self.n[:, None]
-        return self.n, self.words.reshape(-1, self.width)[kept].tobytes()
-
-
-def _cut(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    return np.minimum(span, _BOTTOM - (low & (_BOTTOM - _U(1))))
+        self.lanes.append(np.arange(len(self.low), dtype=np.uint16))
+        self.words.append((self.low + (_BOTTOM - _U(1)) >> _WORD).astype("<u4"))
+        lanes = np.concatenate(self.lanes)
+        return np.bincount(lanes), np.concatenate(self.words)[np.argsort(lanes, kind="stable")].tobytes()
 
 
 class _Decoder:
     def __init__(self, n: np.ndarray, words: np.ndarray):
-        lanes = len(n)
-        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
-        self.words = words
-        self.end = np.cumsum(n)
-        self.at = self.end - n
-        self.code = np.zeros(lanes, _U)
-        for _ in range(2):
-            self._shift(np.arange(lanes))
-
-    def value(self) -> np.ndarray:
-        self.span = self.range >> _U(24)
-        return np.minimum((self.code - self.low) // self.span, _U(_SLOTS - 1)).astype(np.int64)
-
-    def take(self, start: np.ndarray, end: np.ndarray) -> None:
-        self.low += self.span * start
-        self.range = self.span * (end - start)
-        if len(at := np.flatnonzero(self.range < _BOTTOM)):
-            self._read(at)
-
-    def value_of(self, total: np.ndarray) -> np.ndarray:
-        self.span = self.range // total
-        return np.minimum((self.code - self.low) // self.span, total - _U(1)).astype(np.int64)
-
-    def take_of(self, start: np.ndarray, size: np.ndarray) -> None:
-        self.low += self.span * start
-        self.range = self.span * size
-        if len(at := np.flatnonzero(self.range < _BOTTOM)):
-            self._read(at)
-
-    def _shift(self, at: np.ndarray) -> None:
-        word = np.where(self.at[at] < self.end[at], self.words[np.minimum(self.at[at], len(self.words) - 1)], 0)
-        self.code[at] = self.code[at] << _WORD | word.astype(_U)
-        self.at[at] += 1
-
-    def _read(self, at: np.ndarray) -> None:
-        low, span = self.low[at], self.range[at]
-        self._shift(at)
-        self.range[at] = _cut(low, span) << _WORD
-        self.low[at] = low << _WORD
+        # Two more words of each lane, zeros, are read.
+        self.at = offsets(n + 2)[:-1]
+        self.words = np.zeros(int(n.sum()) + 2 * len(n), _U)
+        self.words[flat_ranges(self.at, n)] = words
+        self.low, self.range = np.zeros(len(n), _U), np.full(len(n), 2**64 - 1, _U)
+        self.code = self.words[self.at] << _WORD | self.words[self.at + 1]  # less ``low``
+        self.at += 2
+
+    def _read(self, low: np.ndarray, span: np.ndarray, code: np.ndarray, lanes: np.ndarray | None = None) -> None:
+        """Reads a word for those of ``lanes``, or for all, whose interval is small."""
+        if len(at := np.flatnonzero(span < _BOTTOM)):
+            own = at if lanes is None else lanes[at]
+            place = self.at[own]
+            code[at] = code[at] << _WORD | self.words[place]
+            self.at[own] = place + 1
+            low[at], span[at] = _narrowed(low[at], span[at])
+
+    def take(self, model: _Model) -> tuple[np.ndarray, np.ndarray]:
+        """The ids, and which of them order 1 proposed."""
+        parts = self.range >> _U(24)
+        first, second = parts * model.wide2, parts * model.wide1
+        end = first + second
+        proposed = self.code < end
+        hit1 = proposed & (self.code >= first)
+        at = np.flatnonzero(~proposed)
+        end = end[at]
+        low, span, code = self.low[at] + end, (parts[at] << _U(24)) - end, self.code[at] - end
+        self._read(low, span, code, at)
+        vain = model.vain(at)
+        wide = vain & _WIDTH
+        total = _SLOTS - wide[0] - wide[1]
+        parts = span // total.view(_U)
+        slot = np.minimum((code // parts).view(np.int64), total - 1)
+        # Slots of order 0 again: the lower of the two proposals first.
+        for gap in (np.minimum(vain[0], vain[1]), np.maximum(vain[0], vain[1])):
+            slot += (gap & _WIDTH) * (slot >= gap >> 26)
+        found = model.at_slots(slot)
+        symbol = model.symbols[found]
+        wide *= vain < symbol
+        start = parts * ((symbol >> 26) - wide[0] - wide[1]).view(_U)
+        ids = model.proposed[0] + (model.proposed[1] - model.proposed[0]) * hit1
+        ids[at] = found
+        before = first * hit1
+        self.low += before
+        self.code -= before
+        self.range = first + (second - first) * hit1
+        self.low[at], self.range[at], self.code[at] = low + start, parts * (symbol & _WIDTH).view(_U), code - start
+        self._read(self.low, self.range, self.code)
+        return ids, hit1
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -255,70 +301,45 @@ def _shape(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def _interval(model: _Model, hit2: np.ndarray, hit1: np.ndarray):
-    """Start and end of the hits, or of the rest, and the lanes that missed."""
-    missed = ~(hit2 | hit1)
-    start = model.end2 * hit1 + model.end1 * missed
-    end = model.end2 * hit2 + model.end1 * hit1 + _SLOTS * missed
-    return start.astype(_U), end.astype(_U), missed
-
-
 def _packed(ids: np.ndarray) -> bytes:
     lanes, steps = _shape(len(ids))
-    columns = np.zeros((lanes, steps), np.int64)
-    columns.ravel()[: len(ids)] = ids
-    columns = np.ascontiguousarray(columns.T)
-    alphabet = int(ids.max()) + 1
-    model, coder = _Model(lanes, steps, alphabet), _Encoder(lanes, steps)
-    for now in columns:
+    held = np.zeros(int(ids.max()) + 1, bool)
+    held[ids] = True
+    alphabet = np.flatnonzero(held)
+    columns = np.zeros((lanes, steps), np.int32)
+    columns.ravel()[: len(ids)] = (np.cumsum(held, dtype=np.int32) - 1)[ids]
+    model, coder = _Model(lanes, steps, len(alphabet)), _Encoder(lanes)
+    for now in np.ascontiguousarray(columns.T):
+        now = now.astype(np.int64)
         model.predict()
-        hit2, hit1 = (now == model.p2) & (model.q2 > 0), (now == model.p1) & (model.q1 > 0)
-        start, end, missed = _interval(model, hit2, hit1)
-        coder.put(start, end)
-        # Order 0, for lanes without a hit: the others take the whole of one part.
-        symbol, (wide1, wide2) = model.symbols[now], model.vain()
-        start = symbol >> 30
-        start = (start - wide1 * (model.s1 < symbol) - wide2 * (model.s2 < symbol)) * missed
-        size = (symbol >> 4 & _WIDTH) * missed + ~missed
-        coder.put_of(start.astype(_U), size.astype(_U), ((_SLOTS - wide1 - wide2) * missed + ~missed).astype(_U))
-        model.learn(now, hit2, hit1)
+        right = model.right(now)
+        hit1 = right[1] & ~model.alike
+        coder.put(model, now, right, hit1)
+        model.learn(now, right, hit1)
     sizes, words = coder.finish()
-    head = np.zeros(2 + lanes + lanes % 2, "<u2")  # the alphabet in two halves, and each lane's words
-    head[:2] = alphabet & 0xFFFF, alphabet >> 16
-    head[2 : 2 + lanes] = sizes
-    return head.tobytes() + words
+    # Number of ids and bytes of their gaps, these, and each lane's words.
+    gaps = zlib.compress(np.diff(alphabet, prepend=0).astype("<u4").tobytes())
+    head = np.array([len(alphabet), len(gaps)], "<u4").tobytes() + gaps + bytes(-len(gaps) % 4)
+    return head + np.append(sizes, [0] * (lanes % 2)).astype("<u2").tobytes() + words
 
 
 def _unpacked(n: int, words: np.ndarray) -> np.ndarray:
     lanes, steps = _shape(n)
-    alphabet = min(int(words[0]), ID_LIMIT)
-    head = 1 + (lanes + 1) // 2
-    sizes = words[1:head].view("<u2")[:lanes].astype(np.int64)
-    block = np.zeros((steps, lanes), np.int64)
-    model = _Model(lanes, steps, alphabet)
-    coder = _Decoder(sizes, words[head:])
-    for step in range(steps):
+    n_held, size = int(words[0]), int(words[1])
+    head = 2 + -(-size // 4)
+    if not 0 < n_held <= n:
+        raise IndexError(n_held)
+    gaps = zlib.decompressobj().decompress(words[2:head].tobytes()[:size], 4 * n_held)
+    alphabet = np.cumsum(np.frombuffer(gaps, "<u4", n_held), dtype="<u4")
+    sizes = words[head : head + (lanes + 1) // 2].view("<u2")[:lanes].astype(np.int64)
+    block = np.zeros((steps, lanes), np.int32)
+    model, coder = _Model(lanes, steps, n_held), _Decoder(sizes, words[head + (lanes + 1) // 2 :])
+    for row in block:
         model.predict()
-        value = coder.value()
-        hit2 = value < model.end2
-        hit1 = (value < model.end1) & ~hit2
-        start, end, missed = _interval(model, hit2, hit1)
-        coder.take(start, end)
-        (wide1, wide2), low1, low2 = model.vain(), model.s1 >> 30, model.s2 >> 30
-        slot = coder.value_of(((_SLOTS - wide1 - wide2) * missed + ~missed).astype(_U))
-        # Slots of order 0 again: the lower of the two proposals first.
-        swap = low1 > low2
-        slot += np.where(swap, wide2 * (slot >= low2), wide1 * (slot >= low1))
-        slot += np.where(swap, wide1 * (slot >= low1), wide2 * (slot >= low2))
-        found = np.searchsorted(model.starts, slot, side="right") - 1
-        symbol = model.symbols[found]
-        start = ((symbol >> 30) - wide1 * (model.s1 < symbol) - wide2 * (model.s2 < symbol)) * missed
-        size = (symbol >> 4 & _WIDTH) * missed + ~missed
-        coder.take_of(start.astype(_U), size.astype(_U))
-        now = found * missed + model.p2 * hit2 + model.p1 * hit1
-        model.learn(now, hit2, hit1)
-        block[step] = now
-    return np.ascontiguousarray(block.T).reshape(-1)[:n].astype("<u4")
+        now, hit1 = coder.take(model)
+        model.learn(now, model.right(now), hit1)
+        row[:] = now
+    return alphabet[np.ascontiguousarray(block.T).reshape(-1)[:n]]
 
 
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -339,8 +360,9 @@ def decompress(n: int, sizes: np.ndarray, crcs: np.ndarray, payload: bytes) -> n
     made = [np.zeros(0, "<u4")]
     for k, (size, end, crc) in enumerate(zip(sizes, ends, crcs)):
         try:
-            ids = _unpacked(min(n - k * BLOCK, BLOCK), words[end - size : end])
-        except (IndexError, ZeroDivisionError):  # what is damaged may point anywhere
+            with np.errstate(divide="ignore"):
+                ids = _unpacked(min(n - k * BLOCK, BLOCK), words[end - size : end])
+        except (IndexError, ValueError, zlib.error):  # what is damaged may point anywhere
             ids = made[0]
         if zlib.crc32(ids.tobytes()) != crc:
             raise ValueError(f"block {k} is damaged: its checksum differs")

@@ -22,6 +22,9 @@ END = 1
 #: Ids of a frame, about: what a task codes at once, in blocks of its own.
 FRAME = 1 << 22
 
+#: Bytes of text whose words are looked up at once, about.
+TEXT = 1 << 23
+
 #: A frame: its place, the documents and their lengths, and per block words and checksum.
 FRAMES = (
     "part int, frame int, before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<int>, "
@@ -53,7 +56,7 @@ def _frames(path: str):
         held, size = [], 0
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
-            for some in text_slices(batch.column("text")):
+            for some in text_slices(batch.column("text"), TEXT):
                 lengths, ids = word_ids(path).of_texts(folded(some, path))
                 closed = np.insert(ids, offsets(lengths)[1:], END)
                 held.append((doc_ids[: len(some)], lengths + 1, closed))

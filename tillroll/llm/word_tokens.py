@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Collection, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -21,6 +22,9 @@ LONGEST = 64
 #: What an entry of a word table takes beside its letters and ids.
 _ENTRY = 120
 
+#: Words that the tokenizer neither cuts nor drops from: the letters of Latin-1.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
 # Stands between words that are encoded together: a word of its own that no merge crosses.
 _MARK = "~"
 #: Characters that are encoded together, about.
@@ -38,14 +42,44 @@ def tokenizer(path: str):
     return cache["tokenizer", path]
 
 
-def encode(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The number of ids of each word as the library gives them, without added special
-    tokens, and all ids. Words hold no ASCII white space.
+def _together(words: list[str], ends: int) -> Iterator[tuple[int, int]]:
+    """Where runs of words begin and end that have about _TOGETHER characters, ``ends`` more a word."""
+    start = size = 0
+    for n, word in enumerate(words):
+        if size > _TOGETHER:
+            yield start, n
+            start, size = n, 0
+        size += len(word) + ends
+    if start < len(words):
+        yield start, len(words)
 
-    White space ends every merge, so many words are encoded as one text, a mark between
-    them, and its ids cut at those of the mark. Words with the mark in them go alone.
-    """
-    library = tokenizer(path)
+
+def _last(path: str) -> np.ndarray | None:
+    """Whether an id is the last of its piece, by its number; None if the tokenizer does not mark these."""
+    library, cache = tokenizer(path), worker_cache()
+    if ("last", path) not in cache:
+        vocabulary, suffix = library.get_vocab(), getattr(library.model, "end_of_word_suffix", None)
+        last = np.zeros(max(vocabulary.values()) + 1, bool)
+        last[[n for token, n in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        cache["last", path] = last if suffix else None
+    return cache["last", path]
+
+
+def _of_letters(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+    """As :func:`encode`, of words that are one piece each; None if they are not."""
+    last = _last(path)
+    if last is None:
+        return None
+    joined = [" ".join(words[i:j]) for i, j in _together(words, 1)]
+    found = tokenizer(path).encode_batch_fast(joined, add_special_tokens=False)
+    ids = np.concatenate([np.zeros(0, np.int32), *(np.array(each.ids, np.int32) for each in found)])
+    ends = np.flatnonzero(last[ids])
+    return (np.diff(ends, prepend=-1), ids) if len(ends) == len(words) else None
+
+
+def _between_marks(library, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`encode`, of any words: a mark stands between them, and their ids are cut
+    at those of the mark. Words with the mark in them go alone."""
     (mark,) = library.encode(_MARK, add_special_tokens=False).ids
     parts, start, size = [], 0, 0
     for n, word in enumerate(words):
@@ -71,6 +105,24 @@ def encode(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(lengths), np.concatenate(ids)
 
 
+def encode(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of ids of each word as the library gives them, without added special
+    tokens, and all ids. Words hold no ASCII white space.
+
+    White space ends every merge, so many words are encoded as one text: words of letters
+    with a space between them, the others with a mark.
+    """
+    plain = np.fromiter((_LETTERS(word) is not None for word in words), bool, len(words))
+    own = _of_letters(path, [word for word, one in zip(words, plain) if one])
+    if own is None:
+        return _between_marks(tokenizer(path), words)
+    rest = _between_marks(tokenizer(path), [word for word, one in zip(words, plain) if not one])
+    order = np.argsort(np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain))))
+    lengths, ids = np.concatenate((own[0], rest[0])), np.concatenate((own[1], rest[1]))
+    starts = np.cumsum(lengths) - lengths
+    return lengths[order], ids[flat_ranges(starts[order], lengths[order])]
+
+
 def _folds(path: str) -> bool:
     """Whether the tokenizer lower-cases all but its special tokens, which hold "<"."""
     library, cache = tokenizer(path), worker_cache()
@@ -82,19 +134,19 @@ def _folds(path: str) -> bool:
 
 
 def folded(texts: pa.Array, path: str) -> pa.Array:
-    """``texts`` with fewer distinct words and the same ids: ASCII letters in lower case, a
-    full stop or comma between a letter and white space apart from its word.
+    """``texts`` with fewer distinct words and the same ids: ASCII letters in lower case,
+    ASCII marks after a letter, but for the apostrophe, apart from their word.
 
     The tokenizer lower-cases itself, and no merge crosses from letters to marks. Texts
     that may hold a special token stay as they are.
     """
     if not _folds(path):
         return texts
-    apart = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-zß-öø-ÿ])([.,])([ \\n])", r"\1 \2\3")
+    apart = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-zß-öø-ÿ])([!-&(-/:;=-@\[-`{-~]+)", r"\1 \2")
     return pc.if_else(pc.match_substring(texts, "<"), texts, apart)
 
 
-def split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+def cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """The number of words of each text, and all words, each text's after another's.
 
     The tokenizer drops white space before it splits and merges, and no special token
@@ -102,7 +154,13 @@ def split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     is enough: what other white space a word holds the tokenizer drops itself.
     """
     found = pc.ascii_split_whitespace(texts)
-    return pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64), found.flatten().dictionary_encode()
+    return pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64), found.flatten()
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """As :func:`cut`, the words by their numbers among the distinct ones."""
+    n_words, words = cut(texts)
+    return n_words, words.dictionary_encode()
 
 
 def text_slices(column: pa.Array, limit: int = 1 << 22) -> Iterator[pa.Array]:
@@ -129,6 +187,7 @@ class WordIds:
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
+        self.words = pa.array([], pa.large_string())  # the first of ``rows``, for Arrow
         self.lengths = np.zeros(0, np.int64)
         self.starts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
@@ -147,6 +206,7 @@ class WordIds:
         kept = len(self.rows) - len(long)
         for word in long:
             del self.rows[word]
+        self.words = self.words[:kept]
         n = int(self.starts[kept])
         self.held -= sum(map(len, long)) + _ENTRY * len(long) + 4 * (len(self.ids) - n)
         self.starts, self.lengths, self.ids = self.starts[:kept].copy(), self.lengths[:kept].copy(), self.ids[:n].copy()
@@ -179,15 +239,26 @@ class WordIds:
         return self._gather(n_words, rows, long)
 
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The number of ids of each whole text, and all ids: each distinct word is looked up once.
-
-        A null text has none.
+        """The number of ids of each whole text, and all ids: Arrow finds the words known,
+        Python only what is new. A null text has none.
         """
-        n_words, words = split(texts)
-        distinct = words.dictionary.to_pylist()
-        long = self._known(distinct)
-        rows = np.fromiter(map(self.rows.__getitem__, distinct), np.int64, len(distinct))
-        return self._gather(n_words, rows[words.indices.to_numpy()], long)
+        n_words, words = cut(texts.cast(pa.large_string()))
+        if len(self.words) < len(self.rows):
+            added = pa.array(islice(self.rows, len(self.words), None), pa.large_string())
+            self.words = pa.concat_arrays([self.words, added])
+        found = pc.index_in(words, value_set=self.words)
+        if found.null_count and self.held > self.limit:
+            self.clear()
+            found = pa.nulls(len(words), pa.int32())
+        rows = found.fill_null(-1).to_numpy().astype(np.int64)
+        long = []
+        if found.null_count:
+            new = words.filter(found.is_null()).dictionary_encode()
+            distinct = new.dictionary.to_pylist()
+            long = self._known(distinct)
+            numbers = np.fromiter(map(self.rows.__getitem__, distinct), np.int64, len(distinct))
+            rows[rows < 0] = numbers[new.indices.to_numpy()]
+        return self._gather(n_words, rows, long)
 
     def lengths_of(self, distinct: list[str]) -> np.ndarray:
         """The number of ids of each of these words."""
