@@ -43,8 +43,6 @@ _SURE, _LEVELS = 8, 16
 _STATES = (_SURE, 2 * _SURE, _LEVELS)
 _STATE = _SURE * 2 * _SURE * _LEVELS
 _WIDTH = (1 << 26) - 1
-#: What a right, and a wrong, proposal does to an entry by its confidence; a wrong one of 0 or 1 is replaced.
-_GAINS = np.array([0, 0, *(-((c + 1) >> 1) for c in range(2, _SURE)), *(c < _SURE - 1 for c in range(_SURE))], np.int64)
 #: Logarithms of odds are held in parts of 1 / 256.
 _UNIT = 256
 
@@ -64,57 +62,60 @@ _SQUASH = np.array([round(_PARTS / (1 + math.exp(-x / _UNIT))) for x in range(-_
 
 
 class _Mixer:
-    """The probability that a proposal is right, by the states of the three orders; none where ``valid`` says so."""
+    """The probability that a proposal of order 2, and of order 1, is right, by the states
+    of the three orders; none where ``valid`` says so. Order 2 comes first in all arrays."""
 
-    def __init__(self, valid: np.ndarray):
-        self.valid = np.broadcast_to(valid, _STATES)
-        self.tried = [np.full(size, 2, np.int64) for size in _STATES]
-        self.right = [np.full(size, 1, np.int64) for size in _STATES]
+    def __init__(self):
+        sure2, alike, sure1 = np.arange(_SURE)[:, None, None], np.arange(2 * _SURE)[:, None] >> 3, np.arange(2 * _SURE)[:, None] & 7
+        self.valid = np.zeros((2, *_STATES), np.int64)
+        self.valid[0] = sure2 > 0
+        self.valid[1] = (sure1 > 0) & (alike == 0)  # what order 2 proposes too is tried once
+        self.tried = [np.full((2, size), 2, np.int64) for size in _STATES]
+        self.right = [np.full((2, size), 1, np.int64) for size in _STATES]
         # One set of weights for each confidence of order 2; all orders count alike at first.
-        self.weights = np.full((3, _SURE), 0.4)
+        self.weights = np.full((3, 2, _SURE), 0.4)
         self._mix()
 
     def _mix(self) -> None:
         self.logs = []
         for axis, (tried, right) in enumerate(zip(self.tried, self.right)):
             odds = _STRETCH[((2 * right + 1) * _PARTS // (2 * tried + 2)).clip(8, _PARTS - 8)]
-            self.logs.append(odds.reshape([-1 if a == axis else 1 for a in range(3)]))
+            self.logs.append(odds.reshape([2, *(-1 if a == axis else 1 for a in range(3))]))
         whole = np.rint(self.weights * 65536).astype(np.int64)
-        mixed = sum(w[:, None, None] * logs for w, logs in zip(whole, self.logs)) >> 16
+        mixed = sum(w[..., None, None] * logs for w, logs in zip(whole, self.logs)) >> 16
         self.table = (_SQUASH[mixed.clip(-_FAR, _FAR) + _FAR] * self.valid).ravel()
 
     def update(self, seen: np.ndarray) -> None:
-        """Learns from how often each state, and as its last bit whether the proposal was
-        right, was seen: the counts of each order's states, then the weights."""
-        wrong, right = np.moveaxis(seen.reshape(*_STATES, 2) * self.valid[..., None], -1, 0)
+        """Learns from how often each state was seen with a wrong proposal, and with a right
+        one: the counts of each order's states, then the weights."""
+        wrong, right = seen.reshape(2, *self.valid.shape) * self.valid
         tried = wrong + right
-        error = right * _PARTS - tried * self.table.reshape(_STATES)
-        n = tried.sum(axis=(1, 2))
+        error = right * _PARTS - tried * self.table.reshape(self.valid.shape)
+        n = tried.sum(axis=(2, 3))
         for axis, logs in enumerate(self.logs):
-            slope = (error * logs).sum(axis=(1, 2))
+            slope = (error * logs).sum(axis=(2, 3))
             self.weights[axis] += 0.5 * slope / ((n + 64) * float(_PARTS * _UNIT))
-            others = tuple(a for a in range(3) if a != axis)
+            others = tuple(a + 1 for a in range(3) if a != axis)
             self.tried[axis] += tried.sum(axis=others)
             self.right[axis] += right.sum(axis=others)
         self._mix()
 
 
 class _Model:
-    """What encoder and decoder both know of a block. Order 2 is the first row of what has two."""
+    """What encoder and decoder both know of a block, whose ids are numbered from 1; 0 is
+    none. Order 2 is the first row of what has two."""
 
     def __init__(self, lanes: int, steps: int, alphabet: int):
         size = 1 << max(10, min(20, (lanes * steps).bit_length()))
         self.mask = size - 1
-        self.one = np.zeros(alphabet, np.int64)  # id << 3 | confidence
-        self.two = np.zeros(size, np.uint16 if alphabet << 3 < 1 << 16 else np.int32)
+        self.one = np.zeros(alphabet + 1, np.int64)  # id << 3 | confidence
+        self.two = np.zeros(size, np.uint16 if alphabet + 1 << 3 < 1 << 16 else np.int32)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.entries = np.zeros((2, lanes), np.int64)
-        self.counts = np.full(alphabet, _FIRST, np.int64)
-        sure2, alike, sure1 = np.arange(_SURE)[:, None, None], np.arange(2 * _SURE)[:, None] >> 3, np.arange(2 * _SURE)[:, None] & 7
-        # What order 2 proposes too is tried once.
-        self.mixers = _Mixer(sure2 > 0), _Mixer((sure1 > 0) & (alike == 0))
-        self.tables = np.concatenate([mixer.table for mixer in self.mixers])
+        self.counts = np.full(alphabet + 1, _FIRST, np.int64)
+        self.counts[0] = 0
+        self.mixer = _Mixer()
         self.due = _steps_of_update(steps)
         self.step, self.fresh, self.notes = 0, [], []
         self._distribute()
@@ -137,21 +138,21 @@ class _Model:
         self.at2 = (self.last * 2654435761 + self.before * 2246822519 >> 9) & self.mask
         self.entries[0] = self.two[self.at2]
         self.one.take(self.last, out=self.entries[1], mode="clip")
-        self.proposed, self.sure = self.entries >> 3, self.entries & 7
+        self.proposed, self.sure = self.entries >> 3, self.entries.astype(np.int8) & np.int8(7)
         self.alike = self.proposed[0] == self.proposed[1]
-        state = (self.sure[0] << 8) + (self.sure[1] << 4)
-        state += self.alike.view(np.int8).astype(np.int64) << 7
+        state = self.sure.astype(np.int16)
+        state = (state[0] << 8) + (self.alike.astype(np.int16) << 7) + (state[1] << 4)
         self.states = self.levels.take(self.proposed, mode="clip") + state
         self.states[1] += _STATE
-        self.chance = self.tables.take(self.states, mode="clip")
+        self.chance = self.mixer.table.take(self.states, mode="clip")
         self.wide2 = (self.chance[0] << 12).view(_U)
         self.wide1 = ((_PARTS - self.chance[0]) * self.chance[1]).view(_U)
 
     def vain(self, at: np.ndarray) -> np.ndarray:
         """What both orders have proposed in vain to the lanes ``at``: start and width in order 0, zero where nothing was."""
         vain = np.empty((2, len(at)), np.int64)
-        for row, proposed, chance in zip(vain, self.proposed, self.chance):
-            np.multiply(self.symbols[proposed[at]], chance[at] > 0, out=row)
+        vain[0] = self.symbols[self.proposed[0][at]]
+        np.multiply(self.symbols[self.proposed[1][at]], ~self.alike[at], out=vain[1])
         return vain
 
     def at_slots(self, slots: np.ndarray) -> np.ndarray:
@@ -167,19 +168,16 @@ class _Model:
         found[at] = np.searchsorted(self.starts, slots[at], side="right") - 1
         return found
 
-    def right(self, ids: np.ndarray) -> np.ndarray:
-        """Which entries of both orders hold ``ids``."""
-        return (self.proposed == ids) & (self.sure > 0)
-
-    def learn(self, ids: np.ndarray, right: np.ndarray, hit1: np.ndarray) -> None:
-        note = self.states << 1
-        note[0] += right[0]
-        note[1] += hit1
+    def learn(self, ids: np.ndarray, right: np.ndarray) -> None:
+        """``right``: which proposals were ``ids``."""
+        note = self.states + (right.astype(np.int16) << 12)
         note[1] *= ~right[0]  # not tried: noted where nothing is valid
         self.notes.append(note)
-        worn = ~right & (self.sure < 2)
-        self.entries += _GAINS.take(self.sure + (right.view(np.int8) << 3), mode="clip")
-        self.entries += ((ids << 3 | 1) - self.entries) * worn
+        # A right proposal gains confidence, a wrong one loses half or, unsure, is replaced.
+        sure, held = self.sure, right.view(np.int8)
+        loss = sure + np.int8(1) >> 1
+        self.entries += ((sure < 7) + loss) * held - loss
+        self.entries += ((ids << 3 | 1) - self.entries) * (~right & (sure < 2))
         self.two[self.at2] = self.entries[0].astype(self.two.dtype)
         self.one[self.last] = self.entries[1]
         self.before, self.last = self.last, ids
@@ -190,9 +188,7 @@ class _Model:
             seen = np.bincount(np.concatenate(self.notes, axis=None), minlength=4 * _STATE)
             self.fresh, self.notes = [], []
             self._distribute()
-            for mixer, own in zip(self.mixers, seen.reshape(2, -1)):
-                mixer.update(own)
-            self.tables = np.concatenate([mixer.table for mixer in self.mixers])
+            self.mixer.update(seen)
 
 
 # The interval of a lane narrows within 64 bits. Once it is below 32 of them its upper
@@ -261,8 +257,7 @@ class _Decoder:
             self.at[own] = place + 1
             low[at], span[at] = _narrowed(low[at], span[at])
 
-    def take(self, model: _Model) -> tuple[np.ndarray, np.ndarray]:
-        """The ids, and which of them order 1 proposed."""
+    def take(self, model: _Model) -> np.ndarray:
         parts = self.range >> _U(24)
         first, second = parts * model.wide2, parts * model.wide1
         end = first + second
@@ -292,7 +287,7 @@ class _Decoder:
         self.range = first + (second - first) * hit1
         self.low[at], self.range[at], self.code[at] = low + start, parts * (symbol & _WIDTH).view(_U), code - start
         self._read(self.low, self.range, self.code)
-        return ids, hit1
+        return ids
 
 
 def _shape(n: int) -> tuple[int, int]:
@@ -303,19 +298,19 @@ def _shape(n: int) -> tuple[int, int]:
 
 def _packed(ids: np.ndarray) -> bytes:
     lanes, steps = _shape(len(ids))
+    ids = ids.astype(np.int64)
     held = np.zeros(int(ids.max()) + 1, bool)
     held[ids] = True
     alphabet = np.flatnonzero(held)
-    columns = np.zeros((lanes, steps), np.int32)
-    columns.ravel()[: len(ids)] = (np.cumsum(held, dtype=np.int32) - 1)[ids]
+    columns = np.ones((lanes, steps), np.int32)
+    columns.ravel()[: len(ids)] = np.cumsum(held, dtype=np.int32)[ids]
     model, coder = _Model(lanes, steps, len(alphabet)), _Encoder(lanes)
     for now in np.ascontiguousarray(columns.T):
         now = now.astype(np.int64)
         model.predict()
-        right = model.right(now)
-        hit1 = right[1] & ~model.alike
-        coder.put(model, now, right, hit1)
-        model.learn(now, right, hit1)
+        right = model.proposed == now
+        coder.put(model, now, right, right[1] & ~model.alike)
+        model.learn(now, right)
     sizes, words = coder.finish()
     # Number of ids and bytes of their gaps, these, and each lane's words.
     gaps = zlib.compress(np.diff(alphabet, prepend=0).astype("<u4").tobytes())
@@ -330,14 +325,14 @@ def _unpacked(n: int, words: np.ndarray) -> np.ndarray:
     if not 0 < n_held <= n:
         raise IndexError(n_held)
     gaps = zlib.decompressobj().decompress(words[2:head].tobytes()[:size], 4 * n_held)
-    alphabet = np.cumsum(np.frombuffer(gaps, "<u4", n_held), dtype="<u4")
+    alphabet = np.append(0, np.cumsum(np.frombuffer(gaps, "<u4", n_held), dtype="<u4")).astype("<u4")
     sizes = words[head : head + (lanes + 1) // 2].view("<u2")[:lanes].astype(np.int64)
     block = np.zeros((steps, lanes), np.int32)
     model, coder = _Model(lanes, steps, n_held), _Decoder(sizes, words[head + (lanes + 1) // 2 :])
     for row in block:
         model.predict()
-        now, hit1 = coder.take(model)
-        model.learn(now, model.right(now), hit1)
+        now = coder.take(model)
+        model.learn(now, model.proposed == now)
         row[:] = now
     return alphabet[np.ascontiguousarray(block.T).reshape(-1)[:n]]
 
