@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from fixture import rows
 
-from tillroll.operators import clusters, features
+from tillroll.operators import clusters, features, split
 
 
 def test_vectors_hold_purchases_in_order(both):
@@ -50,3 +50,24 @@ def test_fit_is_reproducible(clustered):
     vectors, model = clustered
     again = clusters.train_clusters(vectors, k=4)
     assert np.array_equal(model.clusterCenters(), again.clusterCenters())
+
+
+def test_vectors_of_a_join_are_fitted(spark, clustered):
+    """The training vectors come of sort-merge joins where tables are large; a fit reads them twice in a task."""
+    vectors, _ = clustered
+    lines = spark.range(800).selectExpr("id % 200 as visit_number")
+    orders = spark.range(200).selectExpr("id as order")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        train = split.of_visits(vectors, lines.join(orders, lines.visit_number == orders.order))
+        assert "SortMergeJoin" in train._jdf.queryExecution().executedPlan().toString()
+        model = clusters.train_clusters(train, k=4)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assigned = dict(rows(clusters.assign_clusters(model, vectors)))
+    by_group = [{assigned[v] for v in range(g, 200, 4)} for g in range(4)]
+    assert all(len(found) == 1 for found in by_group) and len(set.union(*by_group)) == 4

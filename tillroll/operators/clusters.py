@@ -35,8 +35,12 @@ def points(purchases: DataFrame, departments: Sequence[str]) -> DataFrame:
 
 
 def train_clusters(vectors: DataFrame, k: int = N_CLUSTERS, seed: int = 0) -> KMeansModel:
-    """Fit k-means on materialised vectors."""
-    return KMeans(featuresCol="vector", predictionCol="cluster", k=k, seed=seed).fit(vectors)
+    """Fit k-means.
+
+    The vectors are materialised as they are given: the fit reads each partition twice side by side in one
+    task, vectors and their norms, and two readings of one sort-merge join end each other's sorts.
+    """
+    return KMeans(featuresCol="vector", predictionCol="cluster", k=k, seed=seed).fit(checkpoint(vectors.select("vector")))
 
 
 def assign_clusters(model: KMeansModel, vectors: DataFrame) -> DataFrame:
