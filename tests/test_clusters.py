@@ -71,3 +71,21 @@ def test_vectors_of_a_join_are_fitted(spark, clustered):
     assigned = dict(rows(clusters.assign_clusters(model, vectors)))
     by_group = [{assigned[v] for v in range(g, 200, 4)} for g in range(4)]
     assert all(len(found) == 1 for found in by_group) and len(set.union(*by_group)) == 4
+
+
+def test_cells_are_made_by_methods_that_are_compiled(spark, monkeypatch):
+    """Vectors are stored under the JVM's limit for compiling a method; a session's own limit stays."""
+    key, seen, stored = "spark.sql.codegen.hugeMethodLimit", [], clusters.checkpoint
+    monkeypatch.setattr(clusters, "checkpoint", lambda made: seen.append(spark.conf.get(key, None)) or stored(made))
+    names = [f"d{n}" for n in range(64)]
+    sums = [(visit, names[visit % 64], visit) for visit in range(200)] + [(None, "d1", 5), (1, "x", 2), (2, "d2", None)]
+    purchases = spark.createDataFrame(sums, "visit_number bigint, department string, value bigint")
+    plain = clusters.department_vectors(purchases, names)
+    assert rows(clusters.points(purchases, names)) == rows(plain)
+    spark.conf.set(key, "9000")
+    try:
+        clusters.points(purchases, names)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.unset(key)
+    assert seen == ["8000", "9000"] and spark.conf.get(key, None) is None

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillroll.constants import N_CLUSTERS
 from tillroll.operators.features import spread_sums
-from tillroll.session import checkpoint
+from tillroll.session import checkpoint, setting
 
 
 def department_vectors(purchases: DataFrame, departments: Sequence[str]) -> DataFrame:
@@ -29,9 +29,13 @@ def department_vectors(purchases: DataFrame, departments: Sequence[str]) -> Data
 def points(purchases: DataFrame, departments: Sequence[str]) -> DataFrame:
     """The vectors, materialised once in a fixed order.
 
-    A fit passes over them many times, and a lost executor must not change its start.
+    A fit passes over them many times, and a lost executor must not change its start. A column per
+    department makes one method of generated code so long that the JVM only interprets it; beyond its
+    limit for compiling, the cells are made by smaller methods.
     """
-    return checkpoint(department_vectors(purchases, departments).sortWithinPartitions("visit_number"))
+    rows = department_vectors(purchases, departments).sortWithinPartitions("visit_number")
+    with setting(rows.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
+        return checkpoint(rows)
 
 
 def train_clusters(vectors: DataFrame, k: int = N_CLUSTERS, seed: int = 0) -> KMeansModel:

@@ -155,6 +155,19 @@ def scoped(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """``key`` is ``value`` for what is materialised inside, unless the session sets it itself."""
+    unset = spark.conf.get(key, None) is None
+    if unset:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if unset:
+            spark.conf.unset(key)
+
+
 def lookup(df: DataFrame) -> DataFrame:
     """Materialise a lookup table and hint its broadcast if its size allows."""
     return size_checked(checkpoint(df))
