@@ -152,6 +152,30 @@ def test_shuffles_are_sized_by_the_input(spark):
     assert chosen in (None, str((100 << 30) // (64 << 20)))
 
 
+def test_bounds_of_a_scan_log_size_no_other_shuffle(spark):
+    """How many partitions a shuffle of known input starts with does not depend on a log read before."""
+    from tillroll import session
+
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {key: spark.conf.get(key, None) for key in (initial, session._ADVISORY, session._ADVISED)}
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for own, wanted in ((None, 1600), ("32m", 3200)):
+            for key in before:
+                spark.conf.unset(key)
+            spark.conf.unset("spark.sql.shuffle.partitions")
+            if own is not None:
+                spark.conf.set(session._ADVISORY, own)
+            session.bound_tasks(spark, 1)
+            assert spark.conf.get(session._ADVISORY) == (own or "16m")
+            session.prepare(spark, input_bytes=100 << 30)
+            assert spark.conf.get(initial) == str(wanted)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_constants(spark):
     from tillroll.session import constants
 

@@ -27,7 +27,8 @@ def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession
     this package on the path of the Python workers.
 
     Give the size of the input where it is known: shuffles then start with one partition
-    per ``advisoryPartitionSizeInBytes`` of it, however many cores there are.
+    per ``advisoryPartitionSizeInBytes`` of it, however many cores there are. The session's own size
+    counts, not what :func:`bound_tasks` has set for a scan log read before.
     """
     for key, value in _DEFAULTS.items():
         if spark.conf.get(key, None) is None:
@@ -47,7 +48,8 @@ def _size_shuffles(spark: SparkSession, input_bytes: int | None) -> None:
     chosen = (spark.conf.get(initial, None), spark.conf.get("spark.sql.shuffle.partitions", None))
     wanted = 4 * spark.sparkContext.defaultParallelism
     if input_bytes is not None:
-        wanted = max(wanted, -(-input_bytes // in_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes")))
+        bounded = spark.conf.get(_ADVISED, None) is not None and spark.conf.get(_ADVISORY) == _SHARE
+        wanted = max(wanted, -(-input_bytes // in_bytes(spark, _ADVISED if bounded else _ADVISORY)))
     if chosen == (None, None) and wanted > 200:
         spark.conf.set(initial, str(wanted))
 
@@ -57,6 +59,9 @@ _SHARE = "16m"
 #: Stored bytes of input per partition that a shuffle starts with; adaptive execution merges small ones.
 _PER_SHUFFLE = 2 << 20
 _SIZED = "tillroll.shuffle.initial"
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+#: The advisory size that held before these bounds replaced it.
+_ADVISED = "tillroll.shuffle.advised"
 
 
 def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
@@ -66,9 +71,11 @@ def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
     Shuffles start with a partition per 2 MB of input, also beyond the session's shuffle partitions,
     unless it sets the initial number itself; the number only rises within a session.
     """
-    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, _SHARE)
+    if spark.conf.get("spark.sql.files.maxPartitionBytes", None) is None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", _SHARE)
+    if spark.conf.get(_ADVISORY, None) is None:
+        spark.conf.set(_ADVISED, spark.conf.get(_ADVISORY))
+        spark.conf.set(_ADVISORY, _SHARE)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = spark.conf.get(initial, None)
     if now is not None and now != spark.conf.get(_SIZED, None):
@@ -79,6 +86,12 @@ def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set(_SIZED, str(wanted))
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions that a shuffle starts with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def stored_bytes(rows: DataFrame) -> int:
     """The size of the files that ``rows`` reads, as their listing gives it."""
     return int(rows._jdf.queryExecution().analyzed().stats().sizeInBytes())
