@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.ordering import running_total
-from tillroll.session import checkpoint, size_checked
+from tillroll.session import checkpoint, shuffle_partitions, size_checked
 
 #: Levels of a tree that one task derives: a partition of leaves holds 2 ** SPAN at most.
 SPAN = 12
@@ -124,10 +124,12 @@ def placed(rows: DataFrame) -> DataFrame:
 
     Rows without id come first, equal ids by leaf. Range partitioned by (tree, id, leaf), and equal
     rows by where they stand, so neither a language nor an id nor a row that many share is one
-    task's; only a count per partition and tree is put in sequence.
+    task's; only a count per partition and tree is put in sequence. The partitions are as many as a
+    shuffle starts with: equal rows compress to little and would be merged into one by their size.
     """
     keys = ["tree", "doc_id", "leaf", "_row"]
-    ordered = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys)
+    ordered = rows.withColumn("_row", F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange(shuffle_partitions(rows.sparkSession), *keys)
     ordered = ordered.sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id())
     ordered = checkpoint(ordered.withColumn("_line", F.monotonically_increasing_id()).drop("_row"))
     runs = ordered.groupBy("tree", "_part").agg(F.count("*").alias("_n"), F.min("_line").alias("_first"))
